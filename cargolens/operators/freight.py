@@ -105,6 +105,23 @@ def distinct_product_lines(items: DataFrame, quote_col: str = "quote_id") -> tup
     return pairs, counts
 
 
+def product_lines(parent_ids: DataFrame, items: DataFrame, item_key: str = "quote_id") -> DataFrame:
+    """A2 lines: ``(_q, product_id, n_lines)`` for every parent id in
+    ``parent_ids`` (column ``_q``); a parent without items gets one line
+    with a null product and ``n_lines = 1``.
+
+    Only the id column of the parents is read twice (for the anti branch),
+    so the parents' own attributes are computed once by the caller.
+    """
+    pairs, counts = distinct_product_lines(items, item_key)
+    pairs = pairs.join(parent_ids, "_q", "left_semi")
+    lined = pairs.join(counts, "_q", "inner")
+    empty = (parent_ids.join(counts, "_q", "left_anti")
+             .select("_q", F.lit(None).cast(pairs.schema["product_id"].dataType).alias("product_id"),
+                     F.lit(1).cast("bigint").alias("n_lines")))
+    return lined.select("_q", "product_id", "n_lines").unionByName(empty)
+
+
 def allocate_evenly(parents: DataFrame, items: DataFrame, parent_key: str,
                     value_cols: Iterable[str], item_key: str = "quote_id") -> DataFrame:
     """A2: spread each parent's values evenly over its distinct product lines.
@@ -114,14 +131,8 @@ def allocate_evenly(parents: DataFrame, items: DataFrame, parent_key: str,
     The skewed side (pairs) is inner-joined, so adaptive execution can
     split a hot parent; parents without lines come through an anti branch.
     """
-    pairs, counts = distinct_product_lines(items, item_key)
-    with_n = parents.join(counts, parents[parent_key] == counts["_q"], "left").drop("_q")
-    has = with_n.where(F.col("n_lines").isNotNull())
-    lined = has.join(pairs, has[parent_key] == pairs["_q"], "inner").drop("_q")
-    empty = (with_n.where(F.col("n_lines").isNull())
-             .withColumn("product_id", F.lit(None).cast(pairs.schema["product_id"].dataType))
-             .withColumn("n_lines", F.lit(1).cast("bigint")))
-    out = lined.unionByName(empty.select(*lined.columns))
+    lines = product_lines(parents.select(F.col(parent_key).alias("_q")), items, item_key)
+    out = parents.join(lines, parents[parent_key] == lines["_q"], "inner").drop("_q")
     for c in value_cols:
         out = out.withColumn(f"{c}_share", F.col(c).cast("double") / F.col("n_lines"))
     return out

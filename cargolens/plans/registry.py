@@ -35,4 +35,5 @@ def load_all() -> None:
     """Import every query module so that the decorators run."""
     from cargolens.plans import (  # noqa: F401
         q_freight,
+        q_norm,
     )
