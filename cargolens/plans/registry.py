@@ -36,4 +36,5 @@ def load_all() -> None:
     from cargolens.plans import (  # noqa: F401
         q_freight,
         q_norm,
+        q_status,
     )
