@@ -37,4 +37,5 @@ def load_all() -> None:
         q_freight,
         q_norm,
         q_status,
+        q_rank,
     )
