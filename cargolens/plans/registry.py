@@ -38,4 +38,5 @@ def load_all() -> None:
         q_norm,
         q_status,
         q_rank,
+        q_join,
     )
