@@ -39,4 +39,5 @@ def load_all() -> None:
         q_status,
         q_rank,
         q_join,
+        q_stock,
     )
