@@ -33,11 +33,13 @@ def _deletions(s: Column, k: int = 2) -> Column:
     del1 = F.transform(idx, lambda i: F.concat(F.substring(s, 1, i - 1), F.substring(s, i + 1, 1 << 20)))
     out = F.array_union(F.array(s), F.when(n > 0, del1).otherwise(F.array().cast("array<string>")))
     if k >= 2:
+        # Two edits are only allowed when the longer string has ≥ 8 chars, so
+        # both have ≥ 6; shorter strings need the one-deletion keys only.
         del2 = F.flatten(F.transform(idx, lambda i: F.transform(
             F.sequence(i + 1, F.greatest(n, i + 1)),
             lambda j: F.concat(F.substring(s, 1, i - 1), F.substring(s, i + 1, j - i - 1),
                                F.substring(s, j + 1, 1 << 20)))))
-        out = F.array_union(out, F.when(n > 1, del2).otherwise(F.array().cast("array<string>")))
+        out = F.array_union(out, F.when(n >= 6, del2).otherwise(F.array().cast("array<string>")))
     return out
 
 
@@ -61,20 +63,28 @@ def carrier_matches(a: Column, b: Column) -> Column:
     return (a != "") & (b != "") & ((a == b) | contain | near)
 
 
+def _block_keys(s: Column, long_kind: str) -> Column:
+    """Tagged blocking keys of one string: deletion variants (``d``), the
+    whole string (``f``) and its long substrings (``long_kind``)."""
+    return F.concat(
+        F.transform(_deletions(s), lambda v: F.struct(F.lit("d").alias("kind"), v.alias("key"))),
+        F.array(F.struct(F.lit("f").alias("kind"), s.alias("key"))),
+        F.transform(_long_substrings(s), lambda v: F.struct(F.lit(long_kind).alias("kind"), v.alias("key"))))
+
+
 def candidate_pairs(carriers: DataFrame, terms: DataFrame) -> DataFrame:
     """``carriers(c)`` × ``terms(t)`` pairs that may match (a superset of the
-    matches, no cross join): union of the three blocking joins."""
-    c_del = carriers.select("c", F.explode(_deletions(F.col("c"))).alias("k"))
-    t_del = terms.select("t", F.explode(_deletions(F.col("t"))).alias("k"))
-    near = c_del.join(t_del, "k").select("c", "t")
-    c_sub = carriers.select("c", F.explode(_long_substrings(F.col("c"))).alias("k"))
-    t_sub = terms.select("t", F.explode(_long_substrings(F.col("t"))).alias("k"))
-    c_in_t = t_sub.join(carriers.where(F.length("c") >= MIN_CONTAIN).withColumnRenamed("c", "k"), "k") \
-        .select(F.col("k").alias("c"), "t")
-    t_in_c = c_sub.join(terms.where(F.length("t") >= MIN_CONTAIN).withColumnRenamed("t", "k"), "k") \
-        .select("c", F.col("k").alias("t"))
-    exact = carriers.join(terms, carriers["c"] == terms["t"]).select("c", "t")
-    return near.unionByName(c_in_t).unionByName(t_in_c).unionByName(exact).distinct()
+    matches, no cross join). Each side is expanded once into tagged keys and
+    the two meet in one equi-join on the key; compatible tags are
+    deletion/deletion, carrier substring/whole term and whole
+    carrier/term substring."""
+    ck = carriers.select("c", F.explode(_block_keys(F.col("c"), "s")).alias("b")) \
+        .select("c", F.col("b.kind").alias("ck"), F.col("b.key").alias("key"))
+    tk = terms.select("t", F.explode(_block_keys(F.col("t"), "s")).alias("b")) \
+        .select("t", F.col("b.kind").alias("tk"), F.col("b.key").alias("key"))
+    ok = (((F.col("ck") == "d") & (F.col("tk") == "d")) | ((F.col("ck") == "s") & (F.col("tk") == "f"))
+          | ((F.col("ck") == "f") & (F.col("tk") == "s")))
+    return ck.join(tk, "key").where(ok).select("c", "t").distinct()
 
 
 def operator_terms(operators: DataFrame, id_col: str = "operator_id", company_col: str = "company_id",

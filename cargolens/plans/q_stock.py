@@ -1,8 +1,8 @@
 """Carrier matching and stock ledger queries.
 
 Binding: every supplier is a logistics operator (company 1000 + s_suppkey,
-name s_name, slug, one synonym); an order's carrier text is its first
-line's supplier name, altered by key (exact, a letter dropped, a letter
+a name made from the hash of s_name, its slug, one hashed synonym); an
+order's carrier text is its first line's operator name, altered by key (exact, a letter dropped, a letter
 doubled, upper case with spaces, slug + suffix, junk, blank); the origin
 is the customer's region; stock rows are the (origin, operator company,
 part) triples of the first two lines of every order, except region 4,
@@ -21,12 +21,16 @@ from cargolens.sources.tables import Tables
 # --- Spark bindings -------------------------------------------------------------
 
 
+def _op_name(s_name):
+    return F.concat(F.upper(F.substring(F.md5(s_name), 1, 6)), F.lit(" Log"))
+
+
 def operators_df(t):
     s = t.supplier
     return s.select(F.col("s_suppkey").alias("operator_id"), (F.col("s_suppkey") + 1000).alias("company_id"),
-                    F.col("s_name").alias("company_name"),
-                    F.lower(F.regexp_replace("s_name", "#", "-")).alias("slug"),
-                    F.array(F.concat(F.lit("TR"), F.lpad(F.col("s_suppkey").cast("string"), 4, "0"))).alias("synonyms"))
+                    _op_name(F.col("s_name")).alias("company_name"),
+                    F.lower(F.regexp_replace(_op_name(F.col("s_name")), " ", "-")).alias("slug"),
+                    F.array(F.substring(F.md5(F.concat(F.col("s_name"), F.lit("x"))), 1, 8)).alias("synonyms"))
 
 
 def orders_df(t):
@@ -34,13 +38,13 @@ def orders_df(t):
     o = b.tenant_orders(t).join(first_sup, F.col("o_orderkey") == F.col("l_orderkey"), "left") \
         .join(t.supplier.select("s_suppkey", "s_name"), F.col("sk") == F.col("s_suppkey"), "left")
     k = F.col("o_orderkey") % 6
-    name = F.col("s_name")
+    name = _op_name(F.col("s_name"))
     carrier = (F.when(F.col("o_orderkey") % 13 == 0, F.lit(" "))
                .when(k == 0, name)
                .when(k == 1, F.concat(F.substring(name, 1, 4), F.substring(name, 6, 100)))
                .when(k == 2, F.concat(F.substring(name, 1, 3), F.substring(name, 3, 100)))
                .when(k == 3, F.concat(F.lit("  "), F.upper(name), F.lit(" ")))
-               .when(k == 4, F.concat(F.lower(F.regexp_replace(name, "#", "-")), F.lit(" express")))
+               .when(k == 4, F.concat(F.lower(F.regexp_replace(name, " ", "-")), F.lit(" express")))
                .otherwise(F.concat(F.lit("ZZ"), F.col("o_orderkey").cast("string"))))
     return o.select(F.col("o_orderkey").alias("order_id"), F.col("company_id").alias("origin_id"),
                     carrier.alias("carrier"),
@@ -83,23 +87,25 @@ def items_df(t):
 SQL_BINDINGS = """
 tenant as (select c_custkey, n_regionkey as company_id from customer join nation on c_nationkey = n_nationkey),
 tord as (select o.*, company_id from orders o join tenant on o_custkey = c_custkey),
-ops as (select s_suppkey as operator_id, 1000 + s_suppkey as company_id, s_name as company_name,
-               lower(replace(s_name, '#', '-')) as slug, 'TR' || lpad(cast(s_suppkey as varchar), 4, '0') as syn from supplier),
+ops as (select s_suppkey as operator_id, 1000 + s_suppkey as company_id, upper(substr(md5(s_name), 1, 6)) || ' Log' as company_name,
+               lower(replace(upper(substr(md5(s_name), 1, 6)) || ' Log', ' ', '-')) as slug, substr(md5(s_name || 'x'), 1, 8) as syn from supplier),
 terms as (select distinct operator_id, company_id, t from (
             select operator_id, company_id, lower(trim(syn)) as t from ops
             union all select operator_id, company_id, lower(trim(slug)) from ops
             union all select operator_id, company_id, lower(trim(company_name)) from ops) x where t <> ''),
 fs as (select l_orderkey, min(l_suppkey) as sk from lineitem where l_linenumber = 1 group by 1),
+ord0 as (select o_orderkey, o_orderstatus, company_id, upper(substr(md5(s_name), 1, 6)) || ' Log' as nm
+  from tord left join fs on o_orderkey = l_orderkey left join supplier on sk = s_suppkey),
 ord as (select o_orderkey as order_id, company_id as origin_id,
   case when o_orderkey % 13 = 0 then ' '
-       when o_orderkey % 6 = 0 then s_name
-       when o_orderkey % 6 = 1 then substr(s_name, 1, 4) || substr(s_name, 6, 100)
-       when o_orderkey % 6 = 2 then substr(s_name, 1, 3) || substr(s_name, 3, 100)
-       when o_orderkey % 6 = 3 then '  ' || upper(s_name) || ' '
-       when o_orderkey % 6 = 4 then lower(replace(s_name, '#', '-')) || ' express'
+       when o_orderkey % 6 = 0 then nm
+       when o_orderkey % 6 = 1 then substr(nm, 1, 4) || substr(nm, 6, 100)
+       when o_orderkey % 6 = 2 then substr(nm, 1, 3) || substr(nm, 3, 100)
+       when o_orderkey % 6 = 3 then '  ' || upper(nm) || ' '
+       when o_orderkey % 6 = 4 then lower(replace(nm, ' ', '-')) || ' express'
        else 'ZZ' || cast(o_orderkey as varchar) end as carrier,
   case when o_orderstatus = 'P' then 'cancelado' else 'novo' end as status
-  from tord left join fs on o_orderkey = l_orderkey left join supplier on sk = s_suppkey),
+  from ord0),
 stock as (select distinct company_id as origin_id, l_suppkey + 1000 as logistic_company_id, l_partkey as product_id
           from lineitem join tord on l_orderkey = o_orderkey where l_linenumber <= 2 and company_id <> 4),
 stock2 as (select cast(origin_id as bigint) * 1000000000000 + logistic_company_id * 1000000 + product_id as stock_id,
