@@ -40,4 +40,5 @@ def load_all() -> None:
         q_rank,
         q_join,
         q_stock,
+        q_upsert,
     )
