@@ -65,8 +65,10 @@ def backfill_local_datetime(df: DataFrame, ts_col: str, date_col: str, time_col:
     need = F.col(date_col).isNull() | F.col(time_col).isNull()
     if company_col is not None and company_id is not None:
         need = need & (F.col(company_col) == F.lit(company_id))
-    return (df.withColumn(date_col, F.when(need, brazil_date(F.col(ts_col))).otherwise(F.col(date_col)))
-            .withColumn(time_col, F.when(need, brazil_time(F.col(ts_col))).otherwise(F.col(time_col))))
+    return (df.withColumn("_need", need)
+            .withColumn(date_col, F.when(F.col("_need"), brazil_date(F.col(ts_col))).otherwise(F.col(date_col)))
+            .withColumn(time_col, F.when(F.col("_need"), brazil_time(F.col(ts_col))).otherwise(F.col(time_col)))
+            .drop("_need"))
 
 
 def backfill_best_option(quotes: DataFrame, options: DataFrame, quote_key: str = "id",
@@ -76,10 +78,10 @@ def backfill_best_option(quotes: DataFrame, options: DataFrame, quote_key: str =
     best = best_option_score(options, "freight_quote_id").select(
         F.col("freight_quote_id").alias("_q"), F.col("carrier_deadline").alias("_bd"), F.col("price").alias("_bp"))
     need = F.col(deadline_col).isNull() | F.col(cost_col).isNull()
-    j = quotes.join(best, quotes[quote_key] == best["_q"], "left")
-    return (j.withColumn(deadline_col, F.when(need, F.col("_bd")).otherwise(F.col(deadline_col)))
-            .withColumn(cost_col, F.when(need, F.col("_bp")).otherwise(F.col(cost_col)))
-            .drop("_q", "_bd", "_bp"))
+    j = quotes.join(best, quotes[quote_key] == best["_q"], "left").withColumn("_need", need)
+    return (j.withColumn(deadline_col, F.when(F.col("_need"), F.col("_bd")).otherwise(F.col(deadline_col)))
+            .withColumn(cost_col, F.when(F.col("_need"), F.col("_bp")).otherwise(F.col(cost_col)))
+            .drop("_q", "_bd", "_bp", "_need"))
 
 
 def options_from_stored_json(quotes: DataFrame, json_col: str, quote_key: str, option_schema: str) -> DataFrame:

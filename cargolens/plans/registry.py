@@ -41,4 +41,5 @@ def load_all() -> None:
         q_join,
         q_stock,
         q_upsert,
+        q_incr,
     )
