@@ -42,4 +42,5 @@ def load_all() -> None:
         q_stock,
         q_upsert,
         q_incr,
+        q_mapping,
     )
