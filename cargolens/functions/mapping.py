@@ -86,10 +86,10 @@ def regex_clean(raw: Column, options: Mapping, spark=None) -> Column:
     else:
         pieces = F.split(s, pattern, 2)
         matches = F.slice(F.regexp_extract_all(s, F.lit(pattern), 0), 1, 1)
-    mapped = F.transform(matches, lambda x: F.when(F.map_contains_key(m, x), F.element_at(m, x)).otherwise(x))
-    joined = F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(mapped), F.lit(1))), F.element_at(pieces, 1),
-                         lambda acc, i: F.when(i <= F.size(mapped), F.concat(acc, F.element_at(mapped, i),
-                                                                          F.element_at(pieces, i + 1))).otherwise(acc))
+    mapped = F.transform(matches, lambda x: F.when(F.map_contains_key(m, x), F.try_element_at(m, x)).otherwise(x))
+    joined = F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(mapped), F.lit(1))), F.try_element_at(pieces, F.lit(1)),
+                         lambda acc, i: F.when(i <= F.size(mapped), F.concat(acc, F.try_element_at(mapped, i),
+                                                                          F.try_element_at(pieces, i + 1))).otherwise(acc))
     return F.when(s.isNull(), _null()).when(F.size(matches) == 0, s).otherwise(joined)
 
 

@@ -43,4 +43,5 @@ def load_all() -> None:
         q_upsert,
         q_incr,
         q_mapping,
+        q_payload,
     )
