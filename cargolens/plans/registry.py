@@ -44,4 +44,5 @@ def load_all() -> None:
         q_incr,
         q_mapping,
         q_payload,
+        q_stream,
     )
