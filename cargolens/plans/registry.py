@@ -45,4 +45,5 @@ def load_all() -> None:
         q_mapping,
         q_payload,
         q_stream,
+        q_pipeline,
     )
