@@ -22,7 +22,7 @@ quotes as (select o_orderkey as id, company_id, cast(date_trunc('year', o_orderd
                   o_orderpriority as channel, state, o_totalprice as invoice_value, o_orderstatus, o_totalprice
            from orders join tenant on o_custkey = c_custkey),
 opts as (select l_orderkey as quote_id,
-  row_number() over (partition by l_orderkey order by {LINE_ORDER_SQL}) as line_index,
+  cast(row_number() over (partition by l_orderkey order by {LINE_ORDER_SQL}) as integer) as line_index,
   case when l_linestatus='O' and l_linenumber=7 then null
        when l_returnflag='R' and l_linenumber=1 then 0.0e0
        when l_orderkey % 97 = 0 then l_extendedprice
@@ -114,7 +114,7 @@ def j15_quote_order_join(spark, sf_dir):
 
 @query("w2_best_option_score", oracle=f"""
 with o as (select l_orderkey as freight_quote_id,
-  row_number() over (partition by l_orderkey order by {LINE_ORDER_SQL}) as line_index,
+  cast(row_number() over (partition by l_orderkey order by {LINE_ORDER_SQL}) as integer) as line_index,
   l_quantity % 10 as cd, case when l_linenumber = 1 then 0.0 else floor(l_extendedprice*2)/100 end as p
   from lineitem),
 v as (select * from o where cd > 0 and p >= 0),

@@ -170,7 +170,7 @@ def i10_backfill_local_datetime(spark, sf_dir):
 
 @query("i11_backfill_best_option", oracle=f"""
 with o as (select l_orderkey as freight_quote_id,
-  row_number() over (partition by l_orderkey order by {LINE_ORDER_SQL}) as line_index,
+  cast(row_number() over (partition by l_orderkey order by {LINE_ORDER_SQL}) as integer) as line_index,
   l_quantity % 10 as cd, case when l_linenumber = 1 then 0.0 else floor(l_extendedprice*2)/100 end as p from lineitem),
 v as (select * from o where cd > 0 and p >= 0),
 m as (select freight_quote_id, min(cd) as min_cd, min(p) as min_p from v group by 1),
@@ -202,11 +202,11 @@ with q as (select o_orderkey, case when o_orderkey % 9 = 0 then '{"not": "an arr
              else '[{"price": ' || cast(o_totalprice / 100 as varchar) || ', "deadline": ' || cast(o_orderkey % 20 as varchar)
                || ', "carrier": "C' || cast(o_custkey % 7 as varchar) || '"}, {"price": 1.5, "deadline": 3, "carrier": "'
                || o_orderpriority || '"}]' end as raw from orders),
-parsed as (select o_orderkey as freight_quote_id, pos - 1 as line_index, e->>'$.carrier' as carrier
+parsed as (select o_orderkey as freight_quote_id, cast(pos - 1 as integer) as line_index, e->>'$.carrier' as carrier
            from (select o_orderkey, unnest(cast(json_extract(raw, '$[*]') as json[])) as e,
                         generate_subscripts(cast(json_extract(raw, '$[*]') as json[]), 1) as pos
                  from q where starts_with(trim(raw), '[')) x),
-stored as (select o_orderkey as freight_quote_id, 0 as line_index, 'stored' as carrier from orders where o_orderkey % 3 = 0)
+stored as (select o_orderkey as freight_quote_id, cast(0 as integer) as line_index, 'stored' as carrier from orders where o_orderkey % 3 = 0)
 select * from stored
 union all select * from parsed where (freight_quote_id, line_index) not in (select freight_quote_id, line_index from stored)
 """)

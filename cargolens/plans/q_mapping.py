@@ -141,7 +141,7 @@ with o as (select *, case when o_orderkey % 4 = 0 then 'x' else cast(cast(floor(
 select o_orderkey as id,
   o_totalprice * 2 / nullif(cast(o_custkey as double) - 100, 0) + 1.5 as f1,
   -(o_totalprice + 10) / 4 as f2,
-  case when o_orderkey % 4 = 0 then null else (cast(floor(o_totalprice) as bigint) + 0.5) * 1000.5 end as f3,
+  cast(case when o_orderkey % 4 = 0 then null else (cast(floor(o_totalprice) as bigint) + 0.5) * 1000.5 end as double) as f3,
   cast(null as double) as f4, cast(null as double) as f5, o_custkey / 8 as f6
 from o
 """)

@@ -380,8 +380,8 @@ def n29_date_hour_rules(spark, sf_dir):
 
 @query("n35_day_differences", oracle="""
 select l_orderkey, l_linenumber, s, e,
-  datediff('day', cast(s as date), cast(e as date)) as days,
-  case when datediff('day', cast(s as date), cast(e as date)) >= 0 then datediff('day', cast(s as date), cast(e as date)) end as days_non_negative
+  cast(datediff('day', cast(s as date), cast(e as date)) as integer) as days,
+  cast(case when datediff('day', cast(s as date), cast(e as date)) >= 0 then datediff('day', cast(s as date), cast(e as date)) end as integer) as days_non_negative
 from (select l_orderkey, l_linenumber, strftime(o_orderdate, '%Y-%m-%d') as s, strftime(l_shipdate, '%Y-%m-%d') as e,
       from lineitem join orders on l_orderkey = o_orderkey) x
 """)

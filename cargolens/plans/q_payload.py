@@ -94,8 +94,8 @@ def s02_landed_payload_read(spark, sf_dir):
 select o_orderkey, case when o_orderkey % 11 = 0 then null else o_orderkey end as id,
   case when o_orderkey % 11 = 0 then null else o_orderkey % 2 = 0 end as flag,
   case when o_orderkey % 11 = 0 then null else floor(o_totalprice) + 0.25 end as total,
-  case when o_orderkey % 11 = 0 then null else 5 end as qty,
-  case when o_orderkey % 11 = 0 then null else 1.5 end as dec,
+  cast(case when o_orderkey % 11 = 0 then null else 5 end as bigint) as qty,
+  cast(case when o_orderkey % 11 = 0 then null else 1.5 end as double) as dec,
   case when o_orderkey % 11 = 0 then null else o_custkey end as k,
   o_orderkey % 11 = 0 as quarantined
 from orders
@@ -287,9 +287,9 @@ def p17_quote_options(spark, sf_dir):
 @query("p17_quote_items", oracle="""
 select 'Q' || cast(o_orderkey as varchar) as quote_id, 0 as line_index,
   cast(o_custkey as varchar) || '-' || cast(o_orderkey % 7 as varchar) as partner_sku, cast(o_custkey as varchar) as id_sku,
-  1.0 as quantity, floor(o_totalprice) / 10 as price from orders
+  cast(1.0 as double) as quantity, floor(o_totalprice) / 10 as price from orders
 union all
-select 'Q' || cast(o_orderkey as varchar), 1, null, '77', 2.0, null from orders
+select 'Q' || cast(o_orderkey as varchar), 1, null, '77', cast(2.0 as double), null from orders
 """)
 def p17_quote_items(spark, sf_dir):
     return _quote_rows(spark, sf_dir)["items"]
@@ -309,11 +309,11 @@ def _freight_order_doc():
 
 @query("p17_freight_order_items", oracle="""
 select 'F' || cast(o_orderkey as varchar) as freight_order_id, 0 as line_index, 0 as envio_index, 'A' as partner_sku,
-  cast(o_orderkey % 50 + 1 as varchar) as id_sku, 1.0 as quantity, cast(null as double) as price from orders where o_orderkey % 2 = 0
+  cast(o_orderkey % 50 + 1 as varchar) as id_sku, cast(1.0 as double) as quantity, cast(null as double) as price from orders where o_orderkey % 2 = 0
 union all select 'F' || cast(o_orderkey as varchar), 1, 0, 'L' || cast(o_orderkey as varchar) || '-2',
-  cast(o_orderkey % 50 + 2 as varchar), 2.0, null from orders where o_orderkey % 2 = 0
+  cast(o_orderkey % 50 + 2 as varchar), cast(2.0 as double), null from orders where o_orderkey % 2 = 0
 union all select 'F' || cast(o_orderkey as varchar), case when o_orderkey % 2 = 0 then 2 else 0 end,
-  case when o_orderkey % 2 = 0 then 1 else 0 end, 'B', cast(o_orderkey % 50 + 3 as varchar), 3.0, null from orders
+  case when o_orderkey % 2 = 0 then 1 else 0 end, 'B', cast(o_orderkey % 50 + 3 as varchar), cast(3.0 as double), null from orders
 """)
 def p17_freight_order_items(spark, sf_dir):
     o = Tables(spark, sf_dir).orders

@@ -96,12 +96,12 @@ def w06_name_ci_first(spark, sf_dir):
 
 @query("w07_discount_waterfall", oracle=f"""
 with l as (select l_orderkey,
-   row_number() over (partition by l_orderkey order by {LINE_ORDER_SQL}) as line_index,
+   cast(row_number() over (partition by l_orderkey order by {LINE_ORDER_SQL}) as integer) as line_index,
    cast(floor(l_extendedprice) as bigint) as value, l_returnflag = 'A' as first_line, 60000 as discount from lineitem),
 p as (select *, coalesce(sum(value) over (partition by l_orderkey order by first_line desc, value desc, line_index
         rows between unbounded preceding and 1 preceding), 0) as prior from l)
 select l_orderkey, line_index, value, first_line, discount,
-  value - (case when discount > 0 then greatest(0, least(value, discount - prior)) else 0 end) as discounted_value
+  cast(value - (case when discount > 0 then greatest(0, least(value, discount - prior)) else 0 end) as bigint) as discounted_value
 from p
 """)
 def w07_discount_waterfall(spark, sf_dir):
@@ -112,7 +112,7 @@ def w07_discount_waterfall(spark, sf_dir):
 
 
 @query("w08_procedure_source", oracle=f"""
-with l as (select l_orderkey, row_number() over (partition by l_orderkey order by {LINE_ORDER_SQL}) as line_index,
+with l as (select l_orderkey, cast(row_number() over (partition by l_orderkey order by {LINE_ORDER_SQL}) as integer) as line_index,
              l_partkey, l_suppkey, l_linenumber, l_linestatus, l_extendedprice, l_quantity from lineitem),
 ev as (select l_orderkey as booking_id, line_index, l_partkey as id, 'P' || cast(l_partkey as varchar) as name,
          floor(l_extendedprice * 100 + 0.5) / 100 as value,

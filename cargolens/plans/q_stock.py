@@ -136,7 +136,7 @@ def j13_fuzzy_carrier_match(spark, sf_dir):
 
 
 @query("a07_quantity_by_product", oracle="""
-select l_orderkey as order_id, l_partkey as product_id, sum(cast(greatest(0, floor(l_quantity * 0.9)) as bigint)) as quantity
+select l_orderkey as order_id, l_partkey as product_id, cast(sum(cast(greatest(0, floor(l_quantity * 0.9)) as bigint)) as bigint) as quantity
 from lineitem where l_linenumber <> 7 and greatest(0, floor(l_quantity * 0.9)) > 0 group by 1, 2
 """)
 def a07_quantity_by_product(spark, sf_dir):
@@ -148,7 +148,7 @@ with {SQL_BINDINGS},
 live as (select ord.*, lower(trim(carrier)) as carrier_norm from ord where status <> 'cancelado' and trim(coalesce(carrier, '')) <> ''),
 res as (select live.order_id, live.origin_id, best.operator_id + 1000 as logistic_company_id
         from live join best on best.carrier_norm = live.carrier_norm and best.origin_id = live.origin_id),
-q as (select l_orderkey as order_id, l_partkey as product_id, sum(cast(greatest(0, floor(l_quantity * 0.9)) as bigint)) as quantity
+q as (select l_orderkey as order_id, l_partkey as product_id, cast(sum(cast(greatest(0, floor(l_quantity * 0.9)) as bigint)) as bigint) as quantity
       from lineitem where l_linenumber <> 7 and greatest(0, floor(l_quantity * 0.9)) > 0 group by 1, 2),
 qr as (select q.*, res.origin_id, res.logistic_company_id from q join res using (order_id)),
 ws as (select qr.*, stock2.stock_id from qr left join stock2 using (origin_id, logistic_company_id, product_id)),
@@ -159,7 +159,7 @@ delta as (select stock_id, sum(quantity) as d from new group by 1)
 
 
 @query("i13_stock_apply", oracle=_APPLY_SQL + """
-select stock2.stock_id, stock2.quantity + coalesce(delta.d, 0) as quantity from stock2 left join delta using (stock_id)
+select stock2.stock_id, cast(stock2.quantity + coalesce(delta.d, 0) as bigint) as quantity from stock2 left join delta using (stock_id)
 """)
 def i13_stock_apply(spark, sf_dir):
     t = Tables(spark, sf_dir)
@@ -189,7 +189,7 @@ def i13_missing_stock(spark, sf_dir):
 with {SQL_BINDINGS},
 canc as (select cast(order_id as varchar) as type_id from ord where status = 'cancelado'),
 back as (select stock_id, sum(abs(quantity)) as b from ledger where type = 'order' and type_id in (select type_id from canc) group by 1)
-select stock2.stock_id, stock2.quantity + coalesce(back.b, 0) as quantity from stock2 left join back using (stock_id)
+select stock2.stock_id, cast(stock2.quantity + coalesce(back.b, 0) as bigint) as quantity from stock2 left join back using (stock_id)
 """)
 def i14_stock_reversal(spark, sf_dir):
     t = Tables(spark, sf_dir)

@@ -93,9 +93,9 @@ def s08_only_insert(spark, sf_dir):
         skip.select("c_custkey", "name", F.lit(True).alias("skipped")))
 
 
-_S9_TABLE = """(select o_orderkey, o_orderpriority as company, year(o_orderdate) as yr, o_totalprice as value
+_S9_TABLE = """(select o_orderkey, o_orderpriority as company, cast(year(o_orderdate) as integer) as yr, o_totalprice as value
   from orders where o_orderkey % 3 <> 0)"""
-_S9_FRESH = """(select o_orderkey, o_orderpriority as company, year(o_orderdate) as yr, o_totalprice * 2 as value
+_S9_FRESH = """(select o_orderkey, o_orderpriority as company, cast(year(o_orderdate) as integer) as yr, o_totalprice * 2 as value
   from orders where o_orderkey % 2 = 0 and year(o_orderdate) in (1995, 1996))"""
 
 
