@@ -15,9 +15,15 @@ DECIMAL_RE = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 HEX_RE = r"^0[xX][0-9a-fA-F]+$"
 
 
+# Characters a JavaScript ``trim()`` removes (the ASCII ones plus NBSP, BOM
+# and the Unicode line/paragraph separators).
+WHITESPACE = " \t\n\r\x0b\x0c\u00a0\ufeff\u2028\u2029"
+
+
 def ws_trim(c: Column) -> Column:
-    """Trim all leading/trailing whitespace (tabs, newlines too)."""
-    return F.regexp_replace(c.cast("string"), r"^\s+|\s+$", "")
+    """Trim all leading/trailing whitespace (tabs, newlines too) — a
+    character-set trim, no regular expression."""
+    return F.btrim(c.cast("string"), F.lit(WHITESPACE))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -25,33 +31,35 @@ def blank_to_null(c: Column) -> Column:
     return F.when(t != "", t)
 
 
+# A JavaScript ``Number(...)`` literal: decimal with optional exponent, or ±Infinity.
+JS_NUMBER_RE = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|Infinity)$"
+
+
 def js_number(c: Column) -> Column:
     """Number(text): blank → 0, decimal/exponent/hex literals, ±Infinity;
-    anything else (NaN in JS) → null."""
+    anything else (NaN in JS) → null. Each helper here references its input
+    a small, fixed number of times, so composing them keeps expressions
+    small enough for whole-stage code generation."""
     s = ws_trim(c)
-    return (F.when(s.isNull(), F.lit(None).cast("double"))
-            .when(s == "", F.lit(0.0))
-            .when(s.rlike(DECIMAL_RE), s.try_cast("double"))
-            .when(s.rlike(HEX_RE), F.conv(F.substring(s, 3, 64), 16, 10).try_cast("double"))
-            .when(s.rlike(r"^\+?Infinity$"), F.lit(float("inf")))
-            .when(s == "-Infinity", F.lit(float("-inf"))))
+    return F.coalesce(
+        F.when(s == "", F.lit(0.0)),
+        F.when(s.rlike(JS_NUMBER_RE), s.try_cast("double")),
+        F.when(s.rlike(HEX_RE), F.conv(F.substring(s, 3, 64), 16, 10).try_cast("double")))
 
 
 def finite(d: Column) -> Column:
-    return F.when(~F.isnan(d) & (F.abs(d) != F.lit(float("inf"))), d)
+    """NaN and ±Infinity → null."""
+    return F.when(F.abs(d) != F.lit(float("inf")), F.nanvl(d, F.lit(None).cast("double")))
 
 
 def to_number_loose(c: Column) -> Column:
     """Keep only digits . , - ; with both separators dots are thousands and
     the comma is decimal; with commas only every comma becomes a dot. A result
     that is not a plain decimal literal is null ("1e3" → 13 since the e goes)."""
-    raw = ws_trim(c)
-    s = F.regexp_replace(raw, r"[^0-9.,\-]+", "")
-    has_c, has_d = F.instr(s, ",") > 0, F.instr(s, ".") > 0
-    s = (F.when(has_c & has_d, F.regexp_replace(F.regexp_replace(s, r"\.", ""), ",", "."))
-         .when(has_c, F.regexp_replace(s, ",", "."))
-         .otherwise(s))
-    return F.when((raw != "") & s.rlike(r"^-?(\d+\.?\d*|\.\d+)$"), s.try_cast("double"))
+    s = F.regexp_replace(F.nullif(ws_trim(c), F.lit("")), r"[^0-9.,\-]+", "")
+    # any comma: commas become dots and dots (thousands) go — one translate
+    s = F.when(F.instr(s, ",") > 0, F.translate(s, ",.", ".")).otherwise(s)
+    return F.when(s.rlike(r"^-?(\d+\.?\d*|\.\d+)$"), s.try_cast("double"))
 
 
 def half_up(x: Column, scale: int) -> Column:
@@ -67,17 +75,14 @@ def to_numeric_fixed(c: Column, scale: int) -> Column:
 
 
 def to_int_loose(c: Column) -> Column:
-    """Number(trimmed text) truncated toward zero; blank → null."""
-    s = ws_trim(c)
-    n = finite(js_number(s))
-    return F.when(s != "", n.try_cast("bigint"))
+    """Number(trimmed text) truncated toward zero; blank → null
+    (non-finite values do not fit a bigint and become null)."""
+    return js_number(F.nullif(ws_trim(c), F.lit(""))).try_cast("bigint")
 
 
 def order_code_string(c: Column) -> Column:
     """Non-zero integer form, else the trimmed text, else null."""
-    n = to_int_loose(c)
-    t = ws_trim(c)
-    return F.when(n.isNotNull() & (n != 0), n.cast("string")).when(t != "", t)
+    return F.coalesce(F.nullif(to_int_loose(c), F.lit(0)).cast("string"), F.nullif(ws_trim(c), F.lit("")))
 
 
 def to_bool_loose(c: Column) -> Column:

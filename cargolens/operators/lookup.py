@@ -135,9 +135,8 @@ def order_item_keys(partner_sku: Column, id_sku: Column) -> tuple[Column, Column
 
 def erp_item_keys(product_key: Column, sku: Column) -> tuple[Column, Column]:
     """J10 probe keys: configured lookup key, else the integer sku."""
-    k = F.trim(product_key.cast("string"))
-    n = to_int_loose(sku)
-    return F.when(k != "", k), F.when(n.isNotNull() & (n != 0), n.cast("string"))
+    k = F.nullif(F.trim(product_key.cast("string")), F.lit(""))
+    return k, F.nullif(to_int_loose(sku), F.lit(0)).cast("string")
 
 
 def existing_row_match(incoming: DataFrame, target: DataFrame, ext_col: str, legacy_col: str,

@@ -110,7 +110,7 @@ def s03_dirty_json_repair(spark, sf_dir):
                     F.col("o_custkey").cast("string"), F.lit(")}"))
     prefix = F.when(k % 3 == 0, F.lit("\ufefftotal__int( 3 )\n")).otherwise(F.lit("x "))
     text = F.when(k % 11 == 0, F.lit("garbage {not json")).otherwise(F.concat(prefix, body))
-    parsed = pl.parse_payloads(o.select("o_orderkey", text.alias("text")))
+    parsed = pl.parse_payloads(o.select("o_orderkey", text.alias("text")), repair=True)
     p = F.col("payload")
     return parsed.select("o_orderkey", F.try_variant_get(p, "$.id", "bigint").alias("id"),
                          F.try_variant_get(p, "$.flag", "boolean").alias("flag"),
@@ -336,7 +336,7 @@ def n41_patient_and_contacts(spark, sf_dir):
                        ct(1, F.when(k % 2 == 0, F.concat(F.lit("last"), k.cast("string"), F.lit("@x.com")))))
     doc = F.to_json(F.struct(k.alias("id"), F.when(k % 3 == 0, F.lit("  ")).otherwise(
         F.concat(F.lit("P"), k.cast("string"))).alias("code"), contacts.alias("contatos")))
-    objs = pl.expand_objects(pl.parse_payloads(c.select("c_custkey", doc.alias("text")), repair=False))
+    objs = pl.expand_objects(pl.parse_payloads(c.select("c_custkey", doc.alias("text"))))
     v = F.col("obj")
     cts = pl.pick_array(v, "$.contatos")
     return objs.select("c_custkey",

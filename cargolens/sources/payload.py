@@ -43,9 +43,10 @@ def repair_json_text(text: Column) -> Column:
     return s
 
 
-def parse_payloads(df: DataFrame, text_col: str = "text", repair: bool = True) -> DataFrame:
+def parse_payloads(df: DataFrame, text_col: str = "text", repair: bool = False) -> DataFrame:
     """Text → ``payload`` VARIANT, null when the text is not valid
-    JSON even after repair (see ``quarantine``). Rows are not filtered here:
+    JSON (see ``quarantine``). ``repair`` applies S3 first — only the
+    sources whose responses carry Python-style literals need it. Rows are not filtered here:
     a filter on the parsed value would make Spark parse every text twice
     (once in the filter, once in the projection); ``expand_objects`` drops
     the null payloads after its generator, where the value is materialised."""
