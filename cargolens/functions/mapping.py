@@ -54,10 +54,19 @@ def map_values(raw: Column, options: Mapping) -> Column:
 # --- P3 ------------------------------------------------------------------------
 
 def _java_regex_ok(spark, pattern: str) -> bool:
+    """Validate a configured pattern on the driver (Java syntax when the JVM
+    is reachable, else Python's, which agrees on the common subset)."""
+    jvm = getattr(spark, "_jvm", None) if spark is not None else None
+    if jvm is not None:
+        try:
+            jvm.java.util.regex.Pattern.compile(pattern)
+            return True
+        except Exception:  # noqa: BLE001 — a PatternSyntaxException means "invalid"
+            return False
     try:
-        spark._jvm.java.util.regex.Pattern.compile(pattern)
+        re.compile(pattern)
         return True
-    except Exception:  # noqa: BLE001
+    except re.error:
         return False
 
 

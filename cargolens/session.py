@@ -70,11 +70,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     unset (local runs, tests) a private scratch folder is created.
     """
     cfg = spark.conf.get("spark.checkpoint.dir", None)
-    if not cfg:
-        cfg = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 — no SparkContext handle (Spark Connect)
+        sc = None
+    if not cfg and sc is not None:
+        cfg = sc.getConf().get("spark.checkpoint.dir", None)
     if not cfg:
         cfg = tempfile.mkdtemp(prefix="cargolens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", cfg)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(cfg)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(cfg)
     return cfg
