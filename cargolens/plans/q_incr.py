@@ -254,12 +254,14 @@ from lineitem join orders on l_orderkey = o_orderkey
 """)
 def i17_commission_placement(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    j = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    # the order-level value is computed once per order, then joined to its lines
+    o = t.orders.select("o_orderkey", od.order_level_commission(
+        F.format_string("%.10f", F.col("o_totalprice") / 1000)).alias("order_commission"),
+        F.when(F.col("o_orderkey") % 3 == 0, (F.col("o_orderkey") % 97).cast("string")).alias("order_mapped"))
+    j = t.lineitem.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
     item = F.when(F.col("l_linenumber") % 2 == 0, (F.col("l_discount") * 100).cast("bigint").cast("string"))
-    order = F.when(F.col("o_orderkey") % 3 == 0, (F.col("o_orderkey") % 97).cast("string"))
-    order_raw = F.format_string("%.10f", F.col("o_totalprice") / 1000)
-    return j.select("l_orderkey", "l_linenumber", od.commission(item, order).alias("item_commission"),
-                    od.order_level_commission(order_raw).alias("order_commission"))
+    return j.select("l_orderkey", "l_linenumber", od.commission(item, F.col("order_mapped")).alias("item_commission"),
+                    "order_commission")
 
 
 @query("a03_group_rows_into_orders", oracle=f"""

@@ -48,17 +48,17 @@ def st01_stream_freight_rollup(spark, sf_dir):
     t = Tables(spark, sf_dir)
     quotes = b.freight_quotes(t)
     landing = mb.scratch_path(spark, "landing-quotes")
-    mb.land_files(quotes, landing, F.date_format("quoted_at", "yyyyMM"), "month")
+    mb.land_files(quotes, landing, F.date_format("quoted_at", "yyyy"), "year")
     options, items, orders = b.freight_options(t), b.freight_items(t), b.freight_orders(t)
     target = mb.scratch_path(spark, "freight-resume")
 
     def compute(touched):
-        landed = spark.read.parquet(landing).drop("month")
+        landed = spark.read.parquet(landing).drop("year")
         slice_quotes = landed.join(touched.withColumnRenamed("date", "_d").withColumnRenamed("company_id", "_c"),
                                    (F.col("company_id") == F.col("_c")) & (F.col("date") == F.col("_d")), "left_semi")
         return fr.freight_rollup(slice_quotes, options, items, orders)
 
-    stream = mb.file_stream(spark, landing, spark.read.parquet(landing).schema, max_files=20)
+    stream = mb.file_stream(spark, landing, spark.read.parquet(landing).schema, max_files=16)
     mb.run_available(stream, mb.slice_refresh_sink(spark, target, ["company_id", "date"], compute),
                      mb.scratch_path(spark, "ckpt-resume"))
     r = spark.read.parquet(target)
