@@ -343,3 +343,92 @@ def n41_patient_and_contacts(spark, sf_dir):
                          fl.patient_tax_id(F.coalesce(pl.pick_string(v, "$.code"), F.lit("")), pl.pick_string(v, "$.id"))
                          .alias("tax_id"),
                          fl.last_contact(cts, 1, "@").alias("email"), fl.last_contact(cts, 2).alias("phone"))
+
+
+# --- a second partner shape (Precode) and the pickers (P18) -----------------------------
+
+_PRECODE_STATUS = ["novo", "Analisando", " em viagem ", "ENTREGUE", "sumido"]
+
+
+def _precode_doc():
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    doc = F.lpad(c.cast("string"), 11, "0")
+    cliente = F.struct(
+        F.when(k % 7 == 0, F.lit("")).otherwise(F.concat(F.substring(doc, 1, 3), F.lit("."), F.substring(doc, 4, 3),
+                                                          F.lit("."), F.substring(doc, 7, 3), F.lit("-"),
+                                                          F.substring(doc, 10, 2))).alias("cpfCnpj"),
+        F.element_at(F.array(F.lit("F"), F.lit("j"), F.lit("PJ"), F.lit("x")), (c % 4 + 1).cast("int")).alias("tipo"),
+        F.concat(F.lit("Cliente "), c.cast("string")).alias("nomeRazao"),
+        F.element_at(F.array(F.lit("M"), F.lit("2"), F.lit("feminino"), F.lit("0")), (k % 4 + 1).cast("int")).alias("sexo"),
+        F.struct(F.element_at(F.array(F.lit(" sp "), F.lit("RJ"), F.lit("XX")), (c % 3 + 1).cast("int")).alias("uf"),
+                 F.concat(F.lit("Cidade "), (c % 9).cast("string")).alias("cidade")).alias("dadosEntrega"))
+    rastreio = F.struct(F.when(k % 3 == 0, F.lit("Jadlog")).alias("transportadora"))
+    return F.to_json(F.struct(
+        k.cast("string").alias("codigoPedido"), F.concat(F.lit("PP-"), k.cast("string")).alias("pedidoParceiro"),
+        F.element_at(F.array(*[F.lit(s) for s in _PRECODE_STATUS]), (k % 5 + 1).cast("int")).alias("statusAtual"),
+        F.when(k % 2 == 0, (F.floor("o_totalprice") / 100).cast("string")).alias("valorFreteTxt"),
+        F.when(k % 2 == 1, F.floor("o_totalprice") / 100).alias("valorFreteNum"),
+        F.col("o_totalprice").alias("valorTotalCompra"), F.col("o_orderpriority").alias("canal"),
+        cliente.alias("dadosCliente"), rastreio.alias("dadosRastreio"),
+        F.when(k % 5 == 0, F.lit("Azul")).alias("transportadora"), F.lit("Total").alias("nomeTransportadora")))
+
+
+def _precode_objects(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders
+    # the partner sends valorFrete either as a number or as numeric text
+    txt = F.regexp_replace(F.regexp_replace(_precode_doc(), '"valorFreteTxt"', '"valorFrete"'), '"valorFreteNum"',
+                           '"valorFrete"')
+    return pl.expand_objects(pl.parse_payloads(o.select(txt.alias("text"))))
+
+
+_PRECODE_STATUS_SQL = "(case o_orderkey % 5 when 0 then 'novo' when 1 then 'em analise' when 2 then 'em transporte' when 3 then 'entregue' end)"
+
+
+@query("p13_flatten_orders_precode", oracle=f"""
+select cast(o_orderkey as varchar) as external_id, {_PRECODE_STATUS_SQL} as status,
+  floor(o_totalprice) / 100 as freight, o_totalprice as total, o_orderpriority as channel,
+  case o_custkey % 3 when 0 then 'SP' when 1 then 'RJ' end as delivery_state,
+  case when o_orderkey % 3 = 0 then 'Jadlog' when o_orderkey % 5 = 0 then 'Azul' else 'Total' end as carrier
+from orders
+""")
+def p13_flatten_orders_precode(spark, sf_dir):
+    from cargolens.functions import status as S
+    objs = _precode_objects(spark, sf_dir)
+    flat = fl.flatten_orders(objs, "precode", keep=("obj",)).withColumn("platform", F.lit("precode"))
+    mapped = S.map_status(flat, "platform", "status_raw", spark=spark, on_unmapped="null")
+    return mapped.select("external_id", "status", "freight", "total", "channel",
+                         brazilian_state(F.col("delivery_state")).alias("delivery_state"),
+                         fl.precode_carrier(F.col("obj")).alias("carrier"))
+
+
+@query("p14_flatten_customers_precode", oracle="""
+select cast(o_orderkey as varchar) as order_id, 'Cliente ' || cast(o_custkey as varchar) as name,
+  case when o_orderkey % 7 = 0 then 'PC-' || cast(o_orderkey as varchar) else lpad(cast(o_custkey as varchar), 11, '0') end as tax_id,
+  case o_custkey % 4 when 0 then 'PF' when 1 then 'PJ' when 2 then 'PJ' end as person_type,
+  case o_orderkey % 4 when 0 then 'M' when 1 then 'F' when 2 then 'F' end as gender
+from orders
+""")
+def p14_flatten_customers_precode(spark, sf_dir):
+    from cargolens.functions.parse import gender, person_type
+    objs = _precode_objects(spark, sf_dir).withColumn("order_id", pl.pick_string(F.col("obj"), "$.codigoPedido"))
+    cust = fl.flatten_customers(objs, "precode", keep=("order_id",), synthetic_prefix="PC-", id_path="$.codigoPedido")
+    return cust.select("order_id", "name", "tax_id", person_type(F.col("person_type")).alias("person_type"),
+                       gender(F.col("gender")).alias("gender"))
+
+
+@query("p18_payload_pick", oracle="""
+select cast(o_orderkey as varchar) as id,
+  case when o_orderkey % 2 = 0 then 'Apto ' || cast(o_orderkey % 100 as varchar) end as comment,
+  o_totalprice as total, cast(null as double) as missing_number, 2 as n_items, 0 as n_missing,
+  o_orderkey % 3 <> 0 as has_tracking, cast(o_custkey as varchar) as sku_id_text
+from orders
+""")
+def p18_payload_pick(spark, sf_dir):
+    objs = _objects(spark, sf_dir)
+    v = F.col("obj")
+    return objs.select(pl.pick_string(v, "$.id").alias("id"), pl.pick_string(v, "$.shipping.comment").alias("comment"),
+                       pl.pick_number(v, "$.total").alias("total"), pl.pick_number(v, "$.buyer.name").alias("missing_number"),
+                       F.size(pl.pick_array(v, "$.items")).alias("n_items"),
+                       F.size(pl.pick_array(v, "$.nothing")).alias("n_missing"),
+                       pl.pick_object(v, "$.tracking").isNotNull().alias("has_tracking"),
+                       pl.pick_string(v, "$.items[0].sku.id").alias("sku_id_text"))
