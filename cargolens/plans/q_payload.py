@@ -432,3 +432,104 @@ def p18_payload_pick(spark, sf_dir):
                        F.size(pl.pick_array(v, "$.nothing")).alias("n_missing"),
                        pl.pick_object(v, "$.tracking").isNotNull().alias("has_tracking"),
                        pl.pick_string(v, "$.items[0].sku.id").alias("sku_id_text"))
+
+
+# --- Tray (pages of Orders[].Order) and Panorama shapes ----------------------------------
+
+def _tray_page():
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    order = F.struct(
+        k.cast("string").alias("id"), c.cast("string").alias("customer_id"),
+        F.element_at(F.array(F.lit("ENVIADO"), F.lit("a enviar"), F.lit("Cancelado Aut")), (k % 3 + 1).cast("int"))
+        .alias("status"),
+        F.when(k % 9 == 0, F.lit("0000-00-00")).otherwise(day).alias("date"),
+        F.element_at(F.array(F.lit("10:15:00"), F.lit("25:00:00"), F.lit("")), (k % 3 + 1).cast("int")).alias("hour"),
+        F.col("o_totalprice").cast("string").alias("total"),
+        F.when(k % 2 == 0, F.concat(F.lit("Logística do vendedor - Transp "), (c % 4).cast("string"),
+                                    F.lit(" - Normal - Origem: Cidade-"), (c % 7).cast("string")))
+        .otherwise(F.lit("Retirada na loja")).alias("shipment"),
+        F.when(k % 4 == 0, F.concat(F.lit("0000"), F.substring(day, 5, 6)))
+        .otherwise(F.date_format(F.col("o_orderdate") + F.make_dt_interval(days=(k % 11).cast("int") - 3), "yyyy-MM-dd"))
+        .alias("estimated_delivery_date"))
+    return F.to_json(F.struct(F.array(F.struct(order.alias("Order"))).alias("Orders")))
+
+
+@query("p13_flatten_orders_tray", oracle="""
+with o as (select *, strftime(o_orderdate, '%Y-%m-%d') as day,
+  case o_orderkey % 3 when 0 then '10:15:00' when 1 then '25:00:00' else '' end as hr from orders)
+select cast(o_orderkey as varchar) as external_id,
+  case o_orderkey % 3 when 0 then 'entregue' when 1 then 'aguardando transporte' else 'cancelado' end as status,
+  case when o_orderkey % 9 <> 0 and o_orderkey % 3 = 0
+       then strftime(timezone('America/Sao_Paulo', (day || ' 10:15:00')::timestamp), '%Y-%m-%d %H:%M:%S') end as ordered_at,
+  case when o_orderkey % 2 = 0 then 'Transp ' || cast(o_custkey % 4 as varchar) else 'Retirada na loja' end as carrier,
+  case when o_orderkey % 2 = 0 then 'Cidade-' || cast(o_custkey % 7 as varchar) end as subsidiary,
+  case when o_orderkey % 4 = 0 then '2026' || substr(day, 5, 6)
+       else strftime(o_orderdate + to_days(cast(o_orderkey % 11 - 3 as integer)), '%Y-%m-%d') end as delivery_date,
+  case when o_orderkey % 9 = 0 then null
+       when o_orderkey % 4 = 0 then case when datediff('day', cast(day as date), try_cast('2026' || substr(day, 5, 6) as date)) >= 0
+                                         then cast(datediff('day', cast(day as date), try_cast('2026' || substr(day, 5, 6) as date)) as integer) end
+       else case when o_orderkey % 11 - 3 >= 0 then cast(o_orderkey % 11 - 3 as integer) end end as delivery_days
+from o
+""")
+def p13_flatten_orders_tray(spark, sf_dir):
+    from cargolens.functions import dates as D
+    from cargolens.functions import status as S
+    from cargolens.functions.text import carrier_and_subsidiary
+    o = Tables(spark, sf_dir).orders
+    objs = pl.expand_objects(pl.parse_payloads(o.select(_tray_page().alias("text"))), path="$.Orders")
+    flat = fl.flatten_orders(objs, "tray").withColumn("platform", F.lit("tray"))
+    mapped = S.map_status(flat, "platform", "status_raw", spark=spark, on_unmapped="null")
+    order_day = D.zero_date_repair(F.col("order_date"), 2026)
+    delivery = D.zero_date_repair(F.col("estimated_delivery_date"), 2026)
+    carrier, sub = carrier_and_subsidiary(F.col("shipment"))
+    return mapped.select("external_id", "status",
+                         F.date_format(D.date_hour_strict(order_day, F.col("order_hour")), TS).alias("ordered_at"),
+                         carrier.alias("carrier"), sub.alias("subsidiary"), delivery.alias("delivery_date"),
+                         D.days_between_non_negative(order_day, delivery).alias("delivery_days"))
+
+
+def _panorama_doc():
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    contatos = F.array(
+        F.struct(F.lit(1).alias("tipo"), F.concat(F.lit("a"), c.cast("string"), F.lit("@x.com")).alias("contato")),
+        F.struct(F.lit(2).alias("tipo"), F.concat(F.lit("11-"), c.cast("string")).alias("contato")),
+        F.struct(F.lit(1).alias("tipo"), F.when(k % 2 == 0, F.concat(F.lit("b"), c.cast("string"), F.lit("@x.com")))
+                 .otherwise(F.lit("sem-arroba")).alias("contato")))
+    return F.to_json(F.struct(
+        k.cast("string").alias("id"), F.concat(F.lit("PN"), k.cast("string")).alias("codigo"),
+        ((k % 18) + 1).cast("string").alias("situacaoCodigo"),
+        F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit(" 07:58:27-03")).alias("dataHora"),
+        F.struct(F.when(k % 3 == 0, F.lit(None)).otherwise((k % 5) + F.lit(0.5)).alias("numeroParcelas"))
+        .alias("pedidoPagamento"),
+        F.struct(c.cast("string").alias("cpfCnpj"), F.concat(F.lit("Cli "), c.cast("string")).alias("nome"),
+                 contatos.alias("contatos")).alias("cliente")))
+
+
+_PANORAMA_STATUS = ["aguardando pagamento", "cancelado", "aprovado", "coletando", "faturando", "em transporte",
+                    "entregue", "em transporte", "faturando", "aguardando transporte", "em analise", "cancelado",
+                    "cancelado", "devolvido", "faturando", "cancelado", "bloqueado", "em analise"]
+
+
+@query("p13_flatten_orders_panorama", oracle=f"""
+select cast(o_orderkey as varchar) as external_id,
+  [{", ".join("'" + s + "'" for s in _PANORAMA_STATUS)}][o_orderkey % 18 + 1] as status,
+  strftime(o_orderdate + interval 10 hour + interval 58 minute + interval 27 second, '%Y-%m-%d %H:%M:%S') as ordered_at,
+  case when o_orderkey % 3 = 0 then 1 else greatest(1, cast(floor(o_orderkey % 5 + 0.5) as bigint)) end as installments,
+  case when o_orderkey % 2 = 0 then 'b' else 'a' end || cast(o_custkey as varchar) || '@x.com' as email,
+  '11-' || cast(o_custkey as varchar) as phone
+from orders
+""")
+def p13_flatten_orders_panorama(spark, sf_dir):
+    from cargolens.functions import dates as D
+    from cargolens.functions import status as S
+    from cargolens.functions.parse import installments
+    o = Tables(spark, sf_dir).orders
+    objs = pl.expand_objects(pl.parse_payloads(o.select(_panorama_doc().alias("text"))))
+    flat = fl.flatten_orders(objs, "panorama", keep=("obj",)).withColumn("platform", F.lit("panorama"))
+    mapped = S.map_status(flat, "platform", "status_code", spark=spark, on_unmapped="null")
+    contacts = pl.pick_array(F.col("obj"), "$.cliente.contatos")
+    return mapped.select("external_id", "status",
+                         F.date_format(D.short_offset_timestamp(F.col("date_time")), TS).alias("ordered_at"),
+                         installments(F.col("installments")).alias("installments"),
+                         fl.last_contact(contacts, 1, "@").alias("email"), fl.last_contact(contacts, 2).alias("phone"))
