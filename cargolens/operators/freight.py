@@ -106,15 +106,17 @@ def distinct_product_lines(items: DataFrame, quote_col: str = "quote_id") -> tup
 
 
 def product_lines(parent_ids: DataFrame, items: DataFrame, item_key: str = "quote_id") -> DataFrame:
-    """A2 lines: ``(_q, product_id, n_lines)`` for every parent id in
-    ``parent_ids`` (column ``_q``); a parent without items gets one line
-    with a null product and ``n_lines = 1``.
+    """A2 lines: ``(_q, product_id, n_lines)`` for the parents' items (to be
+    inner-joined with the parents); a parent of ``parent_ids`` (column
+    ``_q``) without items gets one line with a null product and
+    ``n_lines = 1``.
 
     Only the id column of the parents is read twice (for the anti branch),
     so the parents' own attributes are computed once by the caller.
     """
     pairs, counts = distinct_product_lines(items, item_key)
-    pairs = pairs.join(parent_ids, "_q", "left_semi")
+    # pairs of parents outside ``parent_ids`` are dropped by the caller's inner
+    # join with the parents, so no semi join is needed here
     lined = pairs.join(counts, "_q", "inner")
     empty = (parent_ids.join(counts, "_q", "left_anti")
              .select("_q", F.lit(None).cast(pairs.schema["product_id"].dataType).alias("product_id"),
