@@ -156,8 +156,8 @@ def i09_order_date_backfill_rule(spark, sf_dir):
 
 @query("i10_backfill_local_datetime", oracle="""
 select event_id,
-  case when event_id % 3 = 0 or event_id % 5 = 0 then strftime(timezone('America/Sao_Paulo', ts::timestamptz), '%Y-%m-%d') else 'kept' end as date,
-  case when event_id % 3 = 0 or event_id % 5 = 0 then strftime(timezone('America/Sao_Paulo', ts::timestamptz), '%H:%M:%S') else 'kept' end as time
+  case when event_id % 3 = 0 or event_id % 5 = 0 then strftime(timezone('America/Sao_Paulo', timezone('UTC', ts)), '%Y-%m-%d') else 'kept' end as date,
+  case when event_id % 3 = 0 or event_id % 5 = 0 then strftime(timezone('America/Sao_Paulo', timezone('UTC', ts)), '%H:%M:%S') else 'kept' end as time
 from events
 """)
 def i10_backfill_local_datetime(spark, sf_dir):
@@ -362,7 +362,7 @@ def a11_next_numeric_code(spark, sf_dir):
 
 
 @query("a12_pending_days", oracle="""
-select distinct strftime(timezone('America/Sao_Paulo', ts::timestamptz), '%Y-%m-%d') as day from events where event_id % 3 = 0
+select distinct strftime(timezone('America/Sao_Paulo', timezone('UTC', ts)), '%Y-%m-%d') as day from events where event_id % 3 = 0
 """)
 def a12_pending_days(spark, sf_dir):
     e = Tables(spark, sf_dir).events
@@ -405,7 +405,7 @@ def u05_date_chunks(spark, sf_dir):
 
 @query("u06_relative_windows", oracle="""
 select event_id,
-  cast(timezone('America/Sao_Paulo', ts::timestamptz) as date) - 1 as yesterday_sao_paulo,
+  cast(timezone('America/Sao_Paulo', timezone('UTC', ts)) as date) - 1 as yesterday_sao_paulo,
   cast(ts as date) - 1 as utc_yesterday, cast(ts as date) as utc_today, cast(ts as date) - 2 as recent_start,
   cast(ts as date) - 1 as ahead_start, cast(ts as date) + 30 as ahead_end
 from events

@@ -318,8 +318,8 @@ def n39_join_non_blank(spark, sf_dir):
 # N26 on events (2024: plain −3 h), N28, N29, N35 -----------------------------
 
 @query("n26_brazil_date_time", oracle="""
-select event_id, strftime(timezone('America/Sao_Paulo', ts::timestamptz), '%Y-%m-%d') as date,
-       strftime(timezone('America/Sao_Paulo', ts::timestamptz), '%H:%M:%S') as time
+select event_id, strftime(timezone('America/Sao_Paulo', timezone('UTC', ts)), '%Y-%m-%d') as date,
+       strftime(timezone('America/Sao_Paulo', timezone('UTC', ts)), '%H:%M:%S') as time
 from events
 """)
 def n26_brazil_date_time(spark, sf_dir):
