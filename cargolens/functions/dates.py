@@ -62,15 +62,14 @@ def parse_date_only_loose(c: Column) -> Column:
 
 
 def short_offset_timestamp(c: Column) -> Column:
-    """``2026-03-19 07:58:27-03`` (offset hours, optional minutes)."""
+    """``2026-03-19 07:58:27-03`` (offset hours, optional ``:MM``); any
+    other text falls back to N10 after its first space becomes ``T``."""
     s = ws_trim(c)
-    pat = r"^(\d{4}-\d{2}-\d{2})\s+(\d{2}:\d{2}:\d{2})([+-])(\d{2})(?::(\d{2}))?$"
-    mins = F.regexp_extract(s, pat, 5)
-    iso = F.concat(F.regexp_extract(s, pat, 1), F.lit("T"), F.regexp_extract(s, pat, 2),
-                   F.regexp_extract(s, pat, 3), F.regexp_extract(s, pat, 4), F.lit(":"),
-                   F.when(mins == "", F.lit("00")).otherwise(mins))
-    direct = F.try_to_timestamp(iso, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX"))
-    fallback = parse_timestamp(F.regexp_replace(s, " ", "T"))
+    pat = r"^\d{4}-\d{2}-\d{2}\s+\d{2}:\d{2}:\d{2}[+-]\d{2}(:\d{2})?$"
+    one_space = F.regexp_replace(s, r"\s+", " ")
+    direct = F.coalesce(F.try_to_timestamp(one_space, F.lit("yyyy-MM-dd HH:mm:ssx")),
+                        F.try_to_timestamp(one_space, F.lit("yyyy-MM-dd HH:mm:ssxxx")))
+    fallback = parse_timestamp(F.regexp_replace(s, r"^([^ ]*) ", "$1T"))
     return F.when(s.rlike(pat), direct).otherwise(fallback)
 
 

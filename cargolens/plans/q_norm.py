@@ -239,7 +239,7 @@ _customer_query("n27_short_offset_timestamp",
                  None, "{y}-{m}-{d}  {x}:{p}:{p}+01"],
                 lambda c: F.date_format(D.short_offset_timestamp(c), "yyyy-MM-dd HH:mm:ss"),
                 f"strftime((case when regexp_matches({W}, {_SO}) then try_cast({_SO_ISO} as timestamptz) "
-                f"when replace({W}, ' ', 'T') <> '' then try_cast(replace({W}, ' ', 'T') as timestamptz) end), "
+                f"when regexp_replace({W}, '^([^ ]*) ', '\\1T') <> '' then try_cast(regexp_replace({W}, '^([^ ]*) ', '\\1T') as timestamptz) end), "
                 f"'%Y-%m-%d %H:%M:%S')")
 
 # N30 ------------------------------------------------------------------------
