@@ -1,10 +1,18 @@
-"""Skew-safe running sums (used by the discount waterfall, W7).
+"""Skew-safe running sums and row numbers (the discount waterfall, W7,
+and positional indexes).
 
-A window partitioned by the group key sends a whole group to one task. Here
-rows are range-partitioned on (group, order): a hot group is cut into
-several ranges. Each range computes local running sums; the sum of the
-earlier ranges of the same group (one row per range — bounded by the
-number of partitions) is added back as an offset.
+A window partitioned by the group key sends a whole group to one task.
+Groups are therefore split into *cold* and *hot* ones with a count
+aggregate (map-side combined): a group is hot when it has more than
+``hot_threshold`` rows. There are at most ``rows / hot_threshold`` hot
+groups, so the hot-key set has a proven size bound and is broadcast.
+
+* cold groups use the plain window (each task sorts at most
+  ``hot_threshold`` rows of one group);
+* hot groups are range-partitioned on (group, order), so one group is cut
+  into several ranges; each range computes local running sums and the sum
+  of the earlier ranges of the same group (one row per range — bounded by
+  the number of partitions) is added back as an offset.
 """
 
 from __future__ import annotations
@@ -15,11 +23,42 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+DEFAULT_HOT_THRESHOLD = 2_000_000
+
+
+def split_hot_groups(df: DataFrame, group_cols: Sequence[str],
+                     hot_threshold: int) -> tuple[DataFrame, DataFrame | None]:
+    """(cold rows, hot rows): hot groups have more than ``hot_threshold`` rows.
+
+    The hot-key set is checked first with one aggregate job (it holds at
+    most rows / ``hot_threshold`` keys); without hot groups the input is
+    returned whole as cold and no second branch is planned."""
+    counts = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"))
+    hot_keys = counts.where(F.col("_n") > hot_threshold).select(*group_cols)
+    if hot_keys.limit(1).count() == 0:
+        return df, None
+    # a bounded, broadcastable set
+    tagged = df.join(F.broadcast(hot_keys.withColumn("_hot", F.lit(True))), list(group_cols), "left")
+    return (tagged.where(F.col("_hot").isNull()).drop("_hot"),
+            tagged.where(F.col("_hot").isNotNull()).drop("_hot"))
+
+
 def prefix_sum_before(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
-                      value_col: str, out_col: str = "prior", num_ranges: int | None = None) -> DataFrame:
+                      value_col: str, out_col: str = "prior", num_ranges: int | None = None,
+                      hot_threshold: int = DEFAULT_HOT_THRESHOLD) -> DataFrame:
     """Add ``out_col`` = Σ ``value_col`` over the rows of the same group that
     come strictly before this row in ``order`` (which must be unique within
     the group)."""
+    cold, hot = split_hot_groups(df, group_cols, hot_threshold)
+    w = Window.partitionBy(*group_cols).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    cold_out = cold.withColumn(out_col, F.coalesce(F.sum(value_col).over(w), F.lit(0)))
+    if hot is None:
+        return cold_out
+    return cold_out.unionByName(_ranged_prefix_sum(hot, group_cols, order, value_col, out_col, num_ranges))
+
+
+def _ranged_prefix_sum(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
+                       value_col: str, out_col: str, num_ranges: int | None) -> DataFrame:
     spark = df.sparkSession
     n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort = [F.col(g) for g in group_cols] + list(order)
@@ -34,6 +73,15 @@ def prefix_sum_before(df: DataFrame, group_cols: Sequence[str], order: Sequence[
     return out.withColumn(out_col, F.col("_off") + F.col("_lp")).drop("_rid", "_lp", "_off")
 
 
+def row_number_within(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
+                      out_col: str = "row_number", hot_threshold: int = DEFAULT_HOT_THRESHOLD) -> DataFrame:
+    """1-based position of each row inside its group in ``order`` (a unique
+    order) — ``row_number()`` without sending a whole group to one task."""
+    out = prefix_sum_before(df.withColumn("_one", F.lit(1)), group_cols, order, "_one", "_before",
+                            hot_threshold=hot_threshold)
+    return out.withColumn(out_col, (F.col("_before") + 1).cast("int")).drop("_one", "_before")
+
+
 def discount_waterfall(lines: DataFrame, group_cols: Sequence[str], value_col: str, discount_col: str,
                        first_flag_col: str, position_col: str, out_col: str = "discounted_value") -> DataFrame:
     """Consume a group's discount line by line — flagged lines first, then

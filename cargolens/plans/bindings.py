@@ -6,7 +6,7 @@ binding is lazy and reads whole tables, so its work grows with them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cargolens.sources.tables import Tables
@@ -18,9 +18,11 @@ LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extende
 
 
 def with_line_index(lineitem: DataFrame) -> DataFrame:
-    """Positional index of each line inside its order (1-based)."""
-    w = Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
-    return lineitem.withColumn("line_index", F.row_number().over(w))
+    """Positional index of each line inside its order (1-based), computed
+    with range-partitioned prefix counts so a huge order is split across
+    tasks (identical duplicate lines are interchangeable)."""
+    from cargolens.operators.running import row_number_within
+    return row_number_within(lineitem, ["l_orderkey"], [F.col(c) for c in LINE_ORDER], "line_index")
 
 
 def tenant(t: Tables) -> DataFrame:

@@ -84,8 +84,14 @@ def test_discount_waterfall_conserves(spark):
 
 def test_prefix_sum_matches_window(spark):
     from pyspark.sql import Window
-    df = spark.range(0, 5000).select((F.col("id") % 3).alias("g"), F.col("id").alias("o"), (F.col("id") % 7).alias("v"))
-    out = rn.prefix_sum_before(df, ["g"], [F.col("o")], "v", "p", num_ranges=7)
+    # group 0 is hot (a third of the rows and more), groups 1..50 are cold
+    df = spark.range(0, 6000).select(F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") % 50 + 1).alias("g"),
+                                     F.col("id").alias("o"), (F.col("id") % 7).alias("v"))
     w = Window.partitionBy("g").orderBy("o").rowsBetween(Window.unboundedPreceding, -1)
     ref = df.withColumn("p", F.coalesce(F.sum("v").over(w), F.lit(0)))
-    assert _bag(out.select("g", "o", "v", "p")) == _bag(ref.select("g", "o", "v", "p"))
+    for threshold in (500, 10**9):
+        out = rn.prefix_sum_before(df, ["g"], [F.col("o")], "v", "p", num_ranges=7, hot_threshold=threshold)
+        assert _bag(out.select("g", "o", "v", "p")) == _bag(ref.select("g", "o", "v", "p"))
+    rnum = rn.row_number_within(df, ["g"], [F.col("o")], "r", hot_threshold=500)
+    ref_r = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy("o")))
+    assert _bag(rnum.select("g", "o", "r")) == _bag(ref_r.select("g", "o", "r"))
