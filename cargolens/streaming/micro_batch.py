@@ -65,12 +65,9 @@ def insert_if_absent_sink(spark: SparkSession, target: str, keys: Sequence[str],
 
     def fn(batch: DataFrame, epoch_id: int) -> None:
         b = first_wins(batch.select(*columns), list(keys), list(order))
-        try:
-            stored = spark.read.parquet(target).where(F.col("epoch") != epoch_id).select(*keys)
+        if epoch_id > 0:  # every earlier epoch left its folder (possibly empty)
+            stored = spark.read.parquet(target).where(F.col("epoch") < epoch_id).select(*keys)
             b = b.join(stored, list(keys), "left_anti")
-        except Exception as e:  # noqa: BLE001 — the target does not exist before the first epoch
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
         b.write.mode("overwrite").parquet(f"{target}/epoch={epoch_id}")
 
     return fn
@@ -98,14 +95,11 @@ def cursor_sink(spark: SparkSession, passed: str, cursor: str, keys: Sequence[st
     (a new cursor version per epoch; the latest version is read back)."""
 
     def read_cursor(before: int) -> DataFrame:
-        try:
-            c = spark.read.parquet(cursor).where(F.col("epoch") < before)
-            last = c.groupBy(*keys).agg(F.max("epoch").alias("epoch"))
-            return c.join(last, [*keys, "epoch"]).select(*keys, "last_processed_at")
-        except Exception as e:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
+        if before == 0:
             return initial
+        # the cursor version written by the previous epoch holds every key
+        c = spark.read.parquet(cursor).where(F.col("epoch") == before - 1)
+        return c.select(*keys, "last_processed_at")
 
     def fn(batch: DataFrame, epoch_id: int) -> None:
         cur = read_cursor(epoch_id)
