@@ -169,5 +169,7 @@ def installments(c: Column) -> Column:
 
 
 def grams_to_kg(c: Column) -> Column:
-    """Numeric text ÷ 1000 (not a number → null)."""
-    return finite(js_number(c)) / 1000
+    """Trimmed text that is a plain unsigned decimal (``123`` or
+    ``123.45``) ÷ 1000; anything else (blank, signs, exponents) → null."""
+    s = ws_trim(c)
+    return F.when(s.rlike(r"^\d+(\.\d+)?$"), s.try_cast("double") / 1000)

@@ -266,8 +266,8 @@ _customer_query("n31_carrier_subsidiary",
                 extra_cols={"subsidiary": f"(case when {_OK} and raw <> '' then trim({_OR}) end)"})
 
 # N36, N40, N42 --------------------------------------------------------------
-_customer_query("n36_grams_to_kg", ["{i}", "{i}.{f}", "", None, "abc", " {h} "], P.grams_to_kg,
-                f"{fin(jsn('raw'))} / 1000")
+_customer_query("n36_grams_to_kg", ["{i}", "{i}.{f}", "", None, "abc", " {h} ", "-{i}", "{i}e2", "{i}."], P.grams_to_kg,
+                f"(case when regexp_matches({W}, '^\\d+(\\.\\d+)?$') then cast({W} as double) / 1000 end)")
 _LEAD = f"regexp_extract({W}, '^([+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?)', 1)"
 _customer_query("n40_money_2", ["{i}.{f}5", "{i}.{f}", "abc", "", None, "{i}abc", " .{f}5", "-{i}.{f}5", "1e2"],
                 P.money_2,
