@@ -164,8 +164,8 @@ def money_2(c: Column) -> Column:
 
 def installments(c: Column) -> Column:
     """Default 1, floor, at least 1."""
-    n = c.cast("double")
-    return F.when(n.isNull(), F.lit(1)).otherwise(F.greatest(F.lit(1), F.floor(n).cast("bigint")))
+    n = finite(F.when(ws_trim(c.cast("string")) != "", c.cast("string").try_cast("double")))
+    return F.coalesce(F.greatest(F.lit(1), F.floor(n).cast("bigint")), F.lit(1))
 
 
 def grams_to_kg(c: Column) -> Column:

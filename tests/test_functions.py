@@ -129,3 +129,7 @@ def test_round_days_half_up(spark, v, expected):
         (F.lit("2024-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(secs=F.col("d") * 86400)).alias("e"))
     assert df.select(D.round_days(F.col("s"), F.col("e"))).first()[0] == expected
     assert not math.isnan(expected)
+
+
+def test_installments(spark):
+    assert apply(spark, P.installments, ["3.7", "0", "", None, "abc", "NaN", "-2"]) == [3, 1, 1, 1, 1, 1, 1]
