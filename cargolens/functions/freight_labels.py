@@ -23,7 +23,7 @@ def freight_range(value: Column) -> Column:
 
     Negative values fall in the first paid range (they are <= 100).
     """
-    v = value.cast("double")
+    v = value.try_cast("double")
     expr = F.when(v.isNull(), F.lit(None).cast("string")).when(v == 0, F.lit(FREE_LABEL))
     for bound, label in FREIGHT_RANGES:
         expr = expr.when(v <= bound, F.lit(label))
@@ -36,7 +36,7 @@ def deadline_bucket(deadline: Column) -> Column:
     Built from the rule instead of a literal table: for 5 < d <= 45 the
     label is '>' + (ceil(d / 5) * 5 - 5).
     """
-    d = deadline.cast("double")
+    d = deadline.try_cast("double")
     step = (F.ceil(d / 5) * 5 - 5).cast("bigint").cast("string")
     return (F.when(d.isNull(), F.lit(None).cast("string"))
             .when(d <= 5, F.lit(">0"))

@@ -40,7 +40,7 @@ def cheapest_option(options: DataFrame, quote_col: str = "freight_quote_id") ->
     """
     valid = options.where(F.col("shipping_value").isNotNull() & F.col("deadline").isNotNull())
     order = F.struct(
-        F.col("shipping_value").cast("double").alias("v"),
+        F.col("shipping_value").try_cast("double").alias("v"),
         F.col("deadline").alias("d"),
         F.col("line_index").alias("i"),
         F.col("id").alias("oid"),
@@ -70,8 +70,8 @@ def best_option_score(options: DataFrame, quote_col: str = "freight_quote_id") -
     """
     valid = (options
              .select(quote_col, "line_index",
-                     F.col("carrier_deadline").cast("double").alias("cd"),
-                     F.col("price").cast("double").alias("p"))
+                     F.col("carrier_deadline").try_cast("double").alias("cd"),
+                     F.col("price").try_cast("double").alias("p"))
              .where((F.col("cd") > 0) & (F.col("p") >= 0)))
     minima = valid.groupBy(quote_col).agg(F.min("cd").alias("min_cd"), F.min("p").alias("min_p"))
     scored = valid.join(minima, quote_col)
@@ -136,7 +136,7 @@ def allocate_evenly(parents: DataFrame, items: DataFrame, parent_key: str,
     lines = product_lines(parents.select(F.col(parent_key).alias("_q")), items, item_key)
     out = parents.join(lines, parents[parent_key] == lines["_q"], "inner").drop("_q")
     for c in value_cols:
-        out = out.withColumn(f"{c}_share", F.col(c).cast("double") / F.col("n_lines"))
+        out = out.withColumn(f"{c}_share", F.col(c).try_cast("double") / F.col("n_lines"))
     return out
 
 
@@ -146,7 +146,7 @@ def order_per_quote(orders: DataFrame) -> DataFrame:
     """
     last = orders.groupBy("company_id", "quote_id").agg(
         F.max(F.struct(F.col("id").alias("i"),
-                       F.col("freight_amount").cast("double").alias("a"))).alias("o"))
+                       F.col("freight_amount").try_cast("double").alias("a"))).alias("o"))
     return last.select("company_id", "quote_id", F.col("o.a").alias("freight_amount"))
 
 
@@ -157,7 +157,7 @@ def quote_day(quotes: DataFrame, zone: str = "America/Sao_Paulo") -> Column:
 
 def _to_num(c: Column) -> Column:
     """Reference ``toNum``: null or non-finite → 0."""
-    d = c.cast("double")
+    d = c.try_cast("double")
     return F.when(d.isNull() | F.isnan(d) | (F.abs(d) == F.lit(float("inf"))), F.lit(0.0)).otherwise(d)
 
 
