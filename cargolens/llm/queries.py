@@ -9,6 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from cargolens.sources.tables import table
 
 
+def op1_consensus_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cargolens.llm.html_main import main_text
+    return main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars", "path")
+
+
 def op3_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cargolens.llm.shards import shard_documents
     return shard_documents(table(spark, sf_dir, "documents"))
@@ -39,9 +44,31 @@ def op8_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_ball_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cargolens.llm.topk import top_k
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
 
+#: exact integer inner products of all query rows with all other rows
+OP9_SQL = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as e
+  from embeddings
+  where embedding is not null and list_count(embedding) = len(embedding)
+    and len(list_filter(embedding, lambda x: not isfinite(x))) = 0),
+s as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.e::double[], c.e::double[])::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id and len(q.e) = len(c.e)
+  where q.vec_id % 50 = 0),
+r as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+select query_id, rank::int as rank, vec_id, score from r where rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_ball_tree_top_k": OP9_SQL}
