@@ -49,6 +49,11 @@ def op9_ball_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op10_interval_tree_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cargolens.llm.repeats import remove_repeats
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
