@@ -38,6 +38,11 @@ def op6_heap_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cargolens.llm.near_dup import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("th")
+
+
 def op8_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cargolens.llm.mixing import pareto_mix
     return pareto_mix(table(spark, sf_dir, "documents")).select(
