@@ -14,6 +14,11 @@ def op1_consensus_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars", "path")
 
 
+def op2_context_mixing_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cargolens.llm.lm_mixing import score_documents
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cargolens.llm.shards import shard_documents
     return shard_documents(table(spark, sf_dir, "documents"))
