@@ -371,7 +371,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def united(spans) -> list[tuple[int, int]]:
     """Overlapping and touching ranges joined."""
     out: list[list[int]] = []
-    for s, e in sorted((x["s"], x["e"]) for x in spans or []):
+    for s, e in sorted((x["s"], x["e"]) for x in (() if spans is None else spans)):
         if out and s <= out[-1][1]:
             out[-1][1] = max(out[-1][1], e)
         else:
