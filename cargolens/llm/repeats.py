@@ -45,8 +45,9 @@ from cargolens.llm.common import MULT, materialise, mix64, shuffle_partitions, s
 
 GRAM = 20
 WORK_BYTES = 1 << 20        # texts worked on at once
-COMBINE_BYTES = 8 << 20     # texts whose anchors and chunks are combined
+COMBINE_BYTES = 32 << 20     # texts whose anchors and chunks are combined
 LAST_ID = (1 << 63) - 1
+SPANS = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
 _LETTER = mix64(np.arange(1, 257, dtype=np.uint64))
 _LOW = np.uint64((1 << 24) - 1)
 SIX = np.uint64((1 << 48) - 1)
@@ -134,20 +135,7 @@ def _send_anchors(length: int, buckets: int):
             nonlocal held, size
             if held:
                 ids, ths, fps = (np.concatenate(x) for x in zip(*held))
-                bucket = (fps >> np.uint64(48)).astype(np.int64) % buckets
-                order = np.argsort(bucket, kind="stable")
-                ids, ths, fps, bucket = ids[order], ths[order], fps[order], bucket[order]
-                cut = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]]) if len(bucket) else [0]
-                rows = []
-                for a, b in zip(cut[:-1], cut[1:]):
-                    change = np.flatnonzero(np.concatenate([[True], (ids[a + 1:b] != ids[a:b - 1]) | (ths[a + 1:b] != ths[a:b - 1])]))
-                    n = np.diff(np.append(change, b - a)).astype("<i4")
-                    rows.append((int(bucket[a]), ids[a:b][change].astype("<i8").tobytes(),
-                                 ths[a:b][change].astype("<i8").tobytes(), n.tobytes(), _six(fps[a:b])))
-                if rows:
-                    cols = list(zip(*rows))
-                    yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32())] + [pa.array(c, pa.binary()) for c in cols[1:]],
-                                                     names=["bucket", "ids", "ths", "counts", "anchors"])
+                yield _pack("bucket", (fps >> np.uint64(48)).astype(np.int64) % buckets, ids, ths, fps)
             held, size = [], 0
 
         for batch in batches:
@@ -167,81 +155,96 @@ def _send_anchors(length: int, buckets: int):
     return run
 
 
-def _repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packed anchors of a partition -> (id, th, anchors found in two documents)."""
-    ids, ths, fps = [], [], []
+PACKED = "{} int, ids binary, ths binary, counts binary, anchors binary"
+
+
+def _pack(name: str, group: np.ndarray, ids: np.ndarray, ths: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
+    """One row per group: runs of equal (id, th) with their anchors."""
+    order = np.lexsort((ths, ids, group))
+    group, ids, ths, fps = group[order], ids[order], ths[order], fps[order]
+    cut = np.append(np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])), len(group)) if len(group) else [0]
+    rows = []
+    for a, b in zip(cut[:-1], cut[1:]):
+        change = np.flatnonzero(np.concatenate([[True], (ids[a + 1:b] != ids[a:b - 1]) | (ths[a + 1:b] != ths[a:b - 1])]))
+        n = np.diff(np.append(change, b - a)).astype("<i4")
+        rows.append((int(group[a]), ids[a:b][change].astype("<i8").tobytes(), ths[a:b][change].astype("<i8").tobytes(),
+                     n.tobytes(), _six(fps[a:b])))
+    cols = list(zip(*rows)) if rows else [()] * 5
+    return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32())] + [pa.array(c, pa.binary()) for c in cols[1:]],
+                                      names=[name, "ids", "ths", "counts", "anchors"])
+
+
+def _unpack(batches) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    ids, ths, fps = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     for b in batches:
         for i, t, n, f in zip(*(b.column(c).to_pylist() for c in ("ids", "ths", "counts", "anchors"))):
             n = np.frombuffer(n, "<i4")
             ids.append(np.repeat(np.frombuffer(i, "<i8"), n))
             ths.append(np.repeat(np.frombuffer(t, "<i8"), n))
             fps.append(_from_six(f))
-    if not ids:
-        return
-    ids, ths, fps = map(np.concatenate, (ids, ths, fps))
-    order = np.argsort(fps, kind="stable")
-    s = fps[order]
-    begin = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
-    low, high = np.minimum.reduceat(ids[order], begin), np.maximum.reduceat(ids[order], begin)
-    rep = np.zeros(len(s), bool)
-    rep[order] = np.repeat(low != high, np.diff(np.append(begin, len(s))))
-    ids, ths, fps = ids[rep], ths[rep], fps[rep]
-    order = np.lexsort((ths, ids))
-    ids, ths, fps = ids[order], ths[order], fps[order]
-    if not len(ids):
-        return
-    cut = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]) | (ths[1:] != ths[:-1]), [True]]))
-    for at in range(0, len(cut) - 1, 20000):
-        c = cut[at:at + 20001]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids[c[:-1]]), pa.array(ths[c[:-1]]), pa.array([_six(fps[a:b]) for a, b in zip(c[:-1], c[1:])], pa.binary())],
-            names=["id", "th", "anchors"])
+    return np.concatenate(ids), np.concatenate(ths), np.concatenate(fps)
 
 
-def _chunks(length: int):
-    """(id, th, text, [anchors]) -> one row per run whose anchor repeats;
-    only the smallest document of a combined block carries the bytes."""
+def _repeated_anchors(blocks: int):
+    """Packed anchors of a partition -> those found in two documents, packed
+    for the block of each document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        ids, ths, fps = _unpack(batches)
+        if len(ids):
+            order = np.argsort(fps, kind="stable")
+            s = fps[order]
+            begin = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+            low, high = np.minimum.reduceat(ids[order], begin), np.maximum.reduceat(ids[order], begin)
+            rep = np.zeros(len(s), bool)
+            rep[order] = np.repeat(low != high, np.diff(np.append(begin, len(s))))
+            ids, ths, fps = ids[rep], ths[rep], fps[rep]
+            yield _pack("blk", np.mod(ids ^ ths, blocks), ids, ths, fps)
+    return run
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal held, size
-            if held:
-                ids, ths, pos, fps, text = [sum((h[i] for h in held), []) if i == 4 else np.concatenate([h[i] for h in held]) for i in range(5)]
-                keys = np.array([int.from_bytes(hashlib.blake2b(t, digest_size=8).digest(), "little", signed=True) for t in text], np.int64)
-                order = np.lexsort((ids, keys))
-                begin = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]]))
-                high = np.maximum.reduceat(ids[order], begin)
-                lead, most = np.zeros(len(ids), bool), np.zeros(len(ids), np.int64)
-                lead[order[begin]] = True
-                most[order[begin]] = high
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids), pa.array(ths), pa.array(pos), pa.array(keys),
-                     pa.array((fps & SIX).astype(np.int64)), pa.array(most),
-                     pa.array([t if x else None for t, x in zip(text, lead)], pa.binary())],
-                    names=["id", "th", "pos", "chunk", "anchor", "high", "bytes"])
-            held, size = [], 0
 
-        for batch in batches:
-            ids, ths, flags = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(3)
-            for a, data, off in _work(batch, 2):
+def _chunks(length: int):
+    """A block's documents and their repeated anchors -> one row per run
+    whose anchor repeats; of equal chunks only the one of the smallest
+    document carries the bytes."""
+    def run(docs: pa.Table, flags: pa.Table) -> pa.Table:
+        key = lambda i, t: mix64(i.astype(np.uint64) ^ mix64(t.astype(np.uint64)))
+        fi, ft, ff = _unpack(flags.to_batches())
+        fk = key(fi, ft)
+        order = np.argsort(fk, kind="stable")
+        fk, ff = fk[order], ff[order]
+        ids, ths = docs["id"].to_numpy(), docs["th"].to_numpy()
+        own = key(ids, ths)
+        lo, hi = np.searchsorted(fk, own, side="left"), np.searchsorted(fk, own, side="right")
+        some = np.flatnonzero(hi > lo)
+        docs, ids, ths, lo, hi = docs.take(pa.array(some)).combine_chunks(), ids[some], ths[some], lo[some], hi[some]
+        held = []
+        for batch in docs.select(["text"]).to_batches():
+            for a, data, off in _work(batch, 0):
                 rows = len(off) - 1
-                raw = [[x for x in f] for f in flags.slice(a, rows).to_pylist()]
-                known = [np.sort(_from_six(b"".join(f))) | (np.uint64(i) << np.uint64(48)) for i, f in enumerate(raw)]
-                known = np.concatenate(known) if known else np.zeros(0, np.uint64)
-                row, first, last, anchor, fps = anchor_runs(data, off, length)
-                key = (fps & SIX) | (row.astype(np.uint64) << np.uint64(48))
-                spot = np.minimum(np.searchsorted(known, key), max(0, len(known) - 1))
-                hit = np.flatnonzero(known[spot] == key) if len(known) and len(key) else np.zeros(0, np.int64)
+                n = hi[a:a + rows] - lo[a:a + rows]
+                at = np.repeat(lo[a:a + rows] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+                known = np.sort(ff[at] | (np.repeat(np.arange(rows), n).astype(np.uint64) << np.uint64(48)))
+                row, first, last, _, fps = anchor_runs(data, off, length)
+                mine = (fps & SIX) | (row.astype(np.uint64) << np.uint64(48))
+                spot = np.minimum(np.searchsorted(known, mine), max(0, len(known) - 1))
+                hit = np.flatnonzero(known[spot] == mine) if len(known) and len(mine) else np.zeros(0, np.int64)
                 row, first, last, fps = row[hit], first[hit], last[hit], fps[hit]
                 whole = data.tobytes()
-                text = [whole[f:e + length] for f, e in zip(first.tolist(), last.tolist())]
-                if len(hit):
-                    held.append((ids[a + row], ths[a + row], first - off[row], fps, text))
-                size += len(data)
-                if size >= COMBINE_BYTES:
-                    yield from flush()
-        yield from flush()
+                held.append((ids[a + row], ths[a + row], first - off[row], fps,
+                             [whole[f:e + length] for f, e in zip(first.tolist(), last.tolist())]))
+        text = [t for h in held for t in h[4]]
+        ids, ths, pos, fps = (np.concatenate([h[i] for h in held] or [np.zeros(0, np.int64)]) for i in range(4))
+        keys = np.array([int.from_bytes(hashlib.blake2b(t, digest_size=8).digest(), "little", signed=True) for t in text], np.int64)
+        lead, most = np.zeros(len(ids), bool), np.zeros(len(ids), np.int64)
+        if len(ids):
+            order = np.lexsort((ids, keys))
+            begin = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]]))
+            lead[order[begin]] = True
+            most[order[begin]] = np.maximum.reduceat(ids[order], begin)
+        return pa.table([pa.array(ids), pa.array(ths), pa.array(pos, pa.int64()), pa.array(keys),
+                         pa.array((fps.astype(np.uint64) & SIX).astype(np.int64)), pa.array(most),
+                         pa.array([t if x else None for t, x in zip(text, lead)], pa.binary())],
+                        names=["id", "th", "pos", "chunk", "anchor", "high", "bytes"])
     return run
 
 
@@ -342,24 +345,32 @@ def _mark_batch(out: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
 
 
 def removed_spans(docs: DataFrame, min_length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, th, spans): the marked byte ranges (not yet united) of every
-    document that has any; th is the hash of its text."""
-    spark = docs.sparkSession
+    """(id, th, spans): the byte ranges to remove of every document that has
+    any; th is the hash of its text. Each step is written to the shared
+    folder, so only one shuffle of the texts is on disk at a time."""
     n = shuffle_partitions(docs)
     src = _keyed(docs, id_col, text_col)
-    packed = src.mapInArrow(_send_anchors(min_length, n), "bucket int, ids binary, ths binary, counts binary, anchors binary")
-    repeated = (packed.repartition(n, "bucket").mapInArrow(_repeated_anchors, "id long, th long, anchors binary")
-                .groupBy("id", "th").agg(F.collect_list("anchors").alias("anchors")))
-    chunks = src.join(repeated, ["id", "th"]).select("id", "th", "text", "anchors").mapInArrow(
+    packed = src.mapInArrow(_send_anchors(min_length, n), PACKED.format("bucket"))
+    repeated = materialise(packed.repartition(n, "bucket").mapInArrow(_repeated_anchors(2 * n), PACKED.format("blk")), "repeat-anchors")
+    dealt = src.withColumn("blk", F.pmod(F.col("id").bitwiseXOR(F.col("th")), F.lit(2 * n)).cast("int"))
+    chunks = dealt.groupBy("blk").cogroup(repeated.groupBy("blk")).applyInArrow(
         _chunks(min_length), "id long, th long, pos long, chunk long, anchor long, high long, bytes binary")
     chunks = materialise(chunks, "repeat-chunks")
     marks = (chunks.where(F.col("bytes").isNotNull()).select("anchor", "chunk", "id", "high", "bytes")
              .repartition(n, "anchor")
              .mapInArrow(_marks(min_length), "chunk long, from int, to int, low long"))
+    marks = materialise(marks, "repeat-marks")
     places = chunks.select("id", "th", "pos", F.col("chunk").alias("c"))
-    return (places.join(marks, F.col("c") == F.col("chunk")).where(F.col("low") < F.col("id"))
-            .select("id", "th", F.struct((F.col("pos") + F.col("from")).alias("s"), (F.col("pos") + F.col("to")).alias("e")).alias("span"))
-            .groupBy("id", "th").agg(F.collect_set("span").alias("spans")))
+    spans = (places.join(marks, F.col("c") == F.col("chunk")).where(F.col("low") < F.col("id"))
+             .select("id", "th", F.struct((F.col("pos") + F.col("from")).alias("s"), (F.col("pos") + F.col("to")).alias("e")).alias("span"))
+             .groupBy("id", "th").agg(F.collect_set("span").alias("spans")))
+
+    def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = [[{"s": s, "e": e} for s, e in united(x)] for x in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, SPANS)], names=["id", "th", "spans"])
+
+    return materialise(spans.mapInArrow(unite, "id long, th long, spans array<struct<s:bigint,e:bigint>>"), "repeat-spans")
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
