@@ -18,8 +18,11 @@ aligned items), a Jaccard similarity that counts order; 0.8 or more links.
 No group is expanded into pairs: each member of a bucket is aligned with
 the bucket's first and last member, linked documents are joined into
 classes (minimum labels with pointer jumping), and then only *classes*
-that still share a bucket are compared by their first and last members,
-until a round adds no link. Candidates of very different length cannot
+that still share a bucket are compared: the first and last member of each
+with its neighbours by length and with the shortest, until a round adds no
+link. The pairs of a bucket grow with its members, not with their square;
+a pair above the threshold shares about nine of the 28 sketches and so has
+as many buckets to meet in. Candidates of very different length cannot
 reach the similarity and are not aligned.
 
 Edge cases: null and empty texts are one class of copies; texts of fewer
@@ -42,7 +45,7 @@ from pyspark.sql import functions as F
 from cargolens.llm.common import MULT, TextBlock, materialise, mix64, slices, utf8_parts
 
 WORDS_PER_KMER = 5
-SHORT = 40              # k-mers up to which a document also gets the short sketches
+SHORT = 8              # k-mers up to which a document also gets the short sketches
 SLICE_BYTES = 2 << 20
 
 
@@ -226,10 +229,14 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, sketches: int = 28,
         groups = named.groupBy("sk", "label").agg(F.min(F.struct("row", "n")).alias("lo"), F.max(F.struct("row", "n")).alias("hi"))
         several = groups.groupBy("sk").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("sk")
         open_ = materialise(groups.join(several, "sk"), "near-open")
-        one = open_.select("sk", F.col("label").alias("la"), F.explode(F.array_distinct(F.array("lo", "hi"))).alias("p"))
-        two = open_.select("sk", F.col("label").alias("lb"), F.explode(F.array_distinct(F.array("lo", "hi"))).alias("q"))
-        more = (one.join(two, "sk").where((F.col("la") < F.col("lb")) & similar_length(F.col("p.n"), F.col("q.n")))
-                .select(F.least("p.row", "q.row").alias("a"), F.greatest("p.row", "q.row").alias("b")).distinct()
+        reps = open_.select("sk", "label", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("p"))
+        by_length = Window.partitionBy("sk").orderBy("p.n", "p.row")
+        mate = F.struct("label", "p")
+        near = reps.select("label", "p", F.lead(mate, 1).over(by_length).alias("x"), F.lead(mate, 2).over(by_length).alias("y"),
+                           F.first(mate).over(by_length).alias("z"))
+        near = near.select("label", "p", F.explode(F.array("x", "y", "z")).alias("o"))
+        more = (near.where((F.col("label") != F.col("o.label")) & similar_length(F.col("p.n"), F.col("o.p.n")))
+                .select(F.least("p.row", "o.p.row").alias("a"), F.greatest("p.row", "o.p.row").alias("b")).distinct()
                 .join(tested, ["a", "b"], "left_anti"))
         more = materialise(more, "near-pairs")
         if more.isEmpty():
