@@ -51,9 +51,10 @@ def parse_ymd(c: Column) -> Column:
 
 def parse_timestamp(c: Column) -> Column:
     """Any ISO-8601 instant (date, date-time, optional fraction and
-    offset; no offset = UTC), else null."""
+    offset; no offset = UTC), else null. The text must begin with its year:
+    a bare time is no instant."""
     s = ws_trim(c)
-    return F.when(s != "", s.try_cast("timestamp"))
+    return F.when(s.rlike(r"^[+-]?\d{4}"), s.try_cast("timestamp"))
 
 
 def parse_date_only_loose(c: Column) -> Column:

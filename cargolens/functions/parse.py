@@ -63,9 +63,10 @@ def to_number_loose(c: Column) -> Column:
 
 
 def half_up(x: Column, scale: int) -> Column:
-    """Round half toward +infinity at ``scale`` decimals (JS Math.round)."""
+    """Round half toward +infinity at ``scale`` decimals (JS Math.round).
+    From 2**53 on a scaled double has no fraction left and stays as it is."""
     p = 10 ** max(0, min(8, int(scale)))
-    return F.floor(x * p + 0.5) / p
+    return F.when(F.abs(x * p) >= float(1 << 53), x).otherwise(F.floor(x * p + 0.5) / p)
 
 
 def to_numeric_fixed(c: Column, scale: int) -> Column:

@@ -83,9 +83,8 @@ def date_spine(bounds: DataFrame, start_col: str, end_col: str) -> DataFrame:
     """U4: every day from start to end inclusive, per bounds row; a reversed
     range is an error."""
     s, e = F.col(start_col).cast("date"), F.col(end_col).cast("date")
-    checked = F.when(s > e, F.raise_error(F.lit("date range reversed"))).otherwise(F.lit(None))
-    return bounds.select("*", checked.alias("_chk"), F.explode(F.sequence(s, F.greatest(s, e))).alias("day")) \
-        .drop("_chk")
+    until = F.when(s > e, F.raise_error(F.lit("date range reversed")).cast("date")).otherwise(e)
+    return bounds.select("*", F.explode(F.sequence(s, until)).alias("day"))
 
 
 def date_chunks(bounds: DataFrame, start_col: str, end_col: str, days: int) -> DataFrame:

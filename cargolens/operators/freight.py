@@ -59,7 +59,7 @@ def cheapest_option(options: DataFrame, quote_col: str = "freight_quote_id") ->
 def best_option_score(options: DataFrame, quote_col: str = "freight_quote_id") -> DataFrame:
     """Best option by dominance, else by score.
 
-    Valid options have ``carrier_deadline > 0`` and ``price >= 0``. If one
+    Valid options have a finite ``carrier_deadline > 0`` and a finite ``price >= 0``. If one
     valid option has both the minimum deadline and the minimum price it
     wins; otherwise the lowest ``deadline / min_deadline + price / min_price``
     wins (a minimum price of 0 counts as 1). Ties: first in line order.
@@ -72,7 +72,7 @@ def best_option_score(options: DataFrame, quote_col: str = "freight_quote_id") -
              .select(quote_col, "line_index",
                      F.col("carrier_deadline").try_cast("double").alias("cd"),
                      F.col("price").try_cast("double").alias("p"))
-             .where((F.col("cd") > 0) & (F.col("p") >= 0)))
+             .where((F.col("cd") > 0) & (F.col("cd") < float("inf")) & (F.col("p") >= 0) & (F.col("p") < float("inf"))))
     minima = valid.groupBy(quote_col).agg(F.min("cd").alias("min_cd"), F.min("p").alias("min_p"))
     scored = valid.join(minima, quote_col)
     dominant = (F.col("cd") == F.col("min_cd")) & (F.col("p") == F.col("min_p"))

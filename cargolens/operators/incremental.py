@@ -12,15 +12,16 @@ from cargolens.operators.freight import best_option_score
 from cargolens.operators.upsert import insert_if_absent
 
 
-def watermark_filter(rows: DataFrame, control: DataFrame, keys: Sequence[str], synced_col: str,
+def watermark_filter(rows: DataFrame, control: DataFrame, keys: Sequence[str], synced_col: str | None,
                      cursor_col: str = "last_processed_at", force: bool = False) -> DataFrame:
     """Rows with ``synced_col`` after the stored cursor; rows pass when
-    forced, when the cursor is unset or when the row has no timestamp
-    (an unmapped column)."""
-    if force:
+    forced, when the cursor is unset or when the column is unmapped
+    (``synced_col=None``). Once a cursor is set, a row without a timestamp
+    does not pass."""
+    if force or synced_col is None:
         return rows
     j = rows.join(control.select(*keys, cursor_col), list(keys), "left")
-    ok = F.col(cursor_col).isNull() | F.col(synced_col).isNull() | (F.col(synced_col) > F.col(cursor_col))
+    ok = F.col(cursor_col).isNull() | (F.col(synced_col) > F.col(cursor_col))
     return j.where(ok).drop(cursor_col)
 
 

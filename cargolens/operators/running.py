@@ -17,11 +17,15 @@ groups, so the hot-key set has a proven size bound and is broadcast.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cargolens.session import checkpoint_dir
 
 DEFAULT_HOT_THRESHOLD = 2_000_000
 
@@ -38,7 +42,9 @@ def split_hot_groups(df: DataFrame, group_cols: Sequence[str],
     if hot_keys.limit(1).count() == 0:
         return df, None
     # a bounded, broadcastable set
-    tagged = df.join(F.broadcast(hot_keys.withColumn("_hot", F.lit(True))), list(group_cols), "left")
+    named = hot_keys.select(*[F.col(g).alias(f"_k{i}") for i, g in enumerate(group_cols)], F.lit(True).alias("_hot"))
+    same = reduce(and_, [F.col(g).eqNullSafe(F.col(f"_k{i}")) for i, g in enumerate(group_cols)])
+    tagged = df.join(F.broadcast(named), same, "left").drop(*[f"_k{i}" for i in range(len(group_cols))])
     return (tagged.where(F.col("_hot").isNull()).drop("_hot"),
             tagged.where(F.col("_hot").isNotNull()).drop("_hot"))
 
@@ -62,14 +68,21 @@ def _ranged_prefix_sum(df: DataFrame, group_cols: Sequence[str], order: Sequence
     spark = df.sparkSession
     n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort = [F.col(g) for g in group_cols] + list(order)
+    # Both branches below must see one and the same cut into ranges (its bounds
+    # are sampled), so the ranged rows are written once and read back.
+    path = f"{checkpoint_dir(spark).rstrip('/')}/ranged-{uuid.uuid4().hex}"
     ranged = df.repartitionByRange(n, *sort).withColumn("_rid", F.spark_partition_id())
+    ranged.write.parquet(path)
+    ranged = spark.read.schema(ranged.schema).parquet(path)
     w_local = Window.partitionBy(*group_cols, "_rid").orderBy(*order) \
         .rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("_lp", F.coalesce(F.sum(value_col).over(w_local), F.lit(0)))
     totals = ranged.groupBy(*group_cols, "_rid").agg(F.sum(value_col).alias("_tot"))
     w_off = Window.partitionBy(*group_cols).orderBy("_rid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumn("_off", F.coalesce(F.sum("_tot").over(w_off), F.lit(0))).drop("_tot")
-    out = local.join(offsets, [*group_cols, "_rid"], "inner")
+    named = offsets.select(*[F.col(g).alias(f"_k{i}") for i, g in enumerate(group_cols)], F.col("_rid").alias("_krid"), "_off")
+    same = reduce(and_, [F.col(g).eqNullSafe(F.col(f"_k{i}")) for i, g in enumerate(group_cols)])
+    out = local.join(named, same & (F.col("_rid") == F.col("_krid"))).drop("_krid", *[f"_k{i}" for i in range(len(group_cols))])
     return out.withColumn(out_col, F.col("_off") + F.col("_lp")).drop("_rid", "_lp", "_off")
 
 

@@ -21,7 +21,7 @@ with r as (select o_orderkey, o_orderpriority as company,
              case when o_orderkey % 11 = 0 then null else o_orderdate end as synced_at from orders),
 c as (select distinct o_orderpriority as company, timestamp '{CURSOR}' as last_processed_at from orders where o_orderpriority <> '3-MEDIUM')
 select r.o_orderkey, r.company, r.synced_at from r left join c using (company)
-where c.last_processed_at is null or r.synced_at is null or r.synced_at > c.last_processed_at
+where c.last_processed_at is null or r.synced_at > c.last_processed_at
 """)
 def i01_watermark_filter(spark, sf_dir):
     o = Tables(spark, sf_dir).orders

@@ -67,7 +67,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and snapshot tables.
 
     The cluster names it in ``spark.checkpoint.dir``; only when that is
-    unset (local runs, tests) a private scratch folder is created.
+    unset in a local run (tests) a private scratch folder is created;
+    a cluster without the setting is an error.
     """
     cfg = spark.conf.get("spark.checkpoint.dir", None)
     sc = None
@@ -78,6 +79,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not cfg and sc is not None:
         cfg = sc.getConf().get("spark.checkpoint.dir", None)
     if not cfg:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local[") and master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         cfg = tempfile.mkdtemp(prefix="cargolens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", cfg)
     if sc is not None and sc.getCheckpointDir() is None:

@@ -104,7 +104,7 @@ def cursor_sink(spark: SparkSession, passed: str, cursor: str, keys: Sequence[st
     def fn(batch: DataFrame, epoch_id: int) -> None:
         cur = read_cursor(epoch_id)
         j = batch.join(cur, list(keys), "left")
-        ok = F.col("last_processed_at").isNull() | F.col(ts_col).isNull() | (F.col(ts_col) > F.col("last_processed_at"))
+        ok = F.col("last_processed_at").isNull() | (F.col(ts_col) > F.col("last_processed_at"))
         j.where(ok).drop("last_processed_at").write.mode("overwrite").parquet(f"{passed}/epoch={epoch_id}")
         hw = batch.groupBy(*keys).agg(F.max(ts_col).alias("_hw"))
         nxt = cur.join(hw, list(keys), "full_outer").select(

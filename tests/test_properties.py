@@ -1,6 +1,8 @@
 """Idempotence and conservation properties on the sf0.001
 tables."""
 
+import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cargolens.operators import freight as fr
@@ -83,7 +85,6 @@ def test_discount_waterfall_conserves(spark):
 
 
 def test_prefix_sum_matches_window(spark):
-    from pyspark.sql import Window
     # group 0 is hot (a third of the rows and more), groups 1..50 are cold
     df = spark.range(0, 6000).select(F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") % 50 + 1).alias("g"),
                                      F.col("id").alias("o"), (F.col("id") % 7).alias("v"))
@@ -95,3 +96,37 @@ def test_prefix_sum_matches_window(spark):
     rnum = rn.row_number_within(df, ["g"], [F.col("o")], "r", hot_threshold=500)
     ref_r = df.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy("o")))
     assert _bag(rnum.select("g", "o", "r")) == _bag(ref_r.select("g", "o", "r"))
+
+
+def test_hot_group_row_numbers_with_payload(spark):
+    """One group of 3 million rows (and a null group) through the range path."""
+    n = 3_000_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 10 != 0, F.lit(1)).alias("g"), F.xxhash64("id").alias("o"), F.sha1(F.col("id").cast("string")).alias("payload"))
+    out = rn.prefix_sum_before(df.withColumn("v", F.lit(1)), ["g"], [F.col("o")], "v", "p", num_ranges=8, hot_threshold=1000)
+    bad = (out.withColumn("prev", F.lag("o").over(Window.partitionBy("g").orderBy("p")))
+           .agg(F.count("*").alias("n"), F.countDistinct("g", "p").alias("d"), F.sum((F.col("prev") >= F.col("o")).cast("int")).alias("bad"),
+                F.max("p").alias("top"))).first()
+    assert (bad.n, bad.bad, bad.top) == (n, 0, n - n // 10 - 1)
+
+
+def test_verdict_probes(spark):
+    from cargolens.functions.dates import parse_timestamp
+    from cargolens.functions.parse import to_numeric_fixed
+    from cargolens.operators.audit import date_spine
+    from cargolens.operators.freight import best_option_score
+    from cargolens.operators.incremental import watermark_filter
+    df = spark.createDataFrame([("12:30",), ("T10:00",), ("2024-01-05T10:00:00Z",)], "t string")
+    assert [r[0] is None for r in df.select(parse_timestamp(F.col("t"))).collect()] == [True, True, False]
+    one = spark.range(1)
+    assert one.select(to_numeric_fixed(F.lit("123456789012.5"), 8)).first()[0] == "123456789012.50000000"
+    bounds = spark.createDataFrame([("2024-01-05", "2024-01-01")], "s string, e string")
+    with pytest.raises(Exception, match="reversed"):
+        date_spine(bounds, "s", "e").collect()
+    opts = spark.createDataFrame([(1, 0, 5.0, 10.0), (1, 1, 1.0, float("nan")), (1, 2, 6.0, 20.0)],
+                                 "quote_id int, line_index int, carrier_deadline double, price double")
+    best = best_option_score(opts, "quote_id").first()
+    assert (best.line_index, best.by_dominance) == (0, True)
+    rows = spark.createDataFrame([(1, None), (1, 3), (2, None)], "k int, at int")
+    control = spark.createDataFrame([(1, 2)], "k int, last_processed_at int")
+    assert {(r.k, r.at) for r in watermark_filter(rows, control, ["k"], "at").collect()} == {(1, 3), (2, None)}
