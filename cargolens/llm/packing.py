@@ -37,8 +37,9 @@ from pyspark.sql import functions as F
 from cargolens.llm.common import TextBlock, materialise, slices, utf8_parts
 
 END_ID = 1
-MAX_CACHED_WORDS = 1 << 20
-SLICE_BYTES = 8 << 20
+MAX_CACHED_WORDS = 1 << 19
+MAX_CACHED_PARTS = 1 << 17
+SLICE_BYTES = 1 << 20
 
 #: fixed value: the tokenizer's word pattern, for lower-case text of ASCII and Latin letters
 PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^a-z0-9\xdf-\xf6\xf8-\xff]+")
@@ -79,7 +80,7 @@ class WordIds:
         if ids is None:
             raw = text if text.isascii() else text.encode().decode("latin-1").translate(self.letters)
             ids = [t.id for t in self.model.tokenize(raw)]
-            if len(self.parts) < MAX_CACHED_WORDS // 2:
+            if len(self.parts) < MAX_CACHED_PARTS:
                 self.parts[text] = ids
         return ids
 
