@@ -10,8 +10,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,8 @@ MULT = np.uint64(0x9E3779B97F4A7C15)
 
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+MAX_BATCH_ROWS = 2000
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -36,6 +39,8 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
+    if int(spark.conf.get(BATCH_ROWS)) > MAX_BATCH_ROWS:      # whole texts travel in these batches
+        spark.conf.set(BATCH_ROWS, str(MAX_BATCH_ROWS))
     try:
         df.write.option("compression", "zstd").parquet(path)
     finally:
@@ -43,6 +48,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def trimmed(mapper: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``mapper``, handing freed memory back to the system at the end of each
+    task: Python workers are reused and would hold their peak otherwise."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from mapper(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+    return run
+
+
 def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cargolens.llm.common import MULT, TextBlock, materialise, mix64, slices, utf8_parts
+from cargolens.llm.common import MULT, TextBlock, materialise, mix64, slices, trimmed, utf8_parts
 
 WORDS_PER_KMER = 5
 SHORT = 8              # k-mers up to which a document also gets the short sketches
@@ -191,7 +191,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, sketches: int = 28,
     """doc_id, th, class_id, class_size, n_links and kept (one row of each class) per row."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
-    rows = materialise(src.mapInArrow(_signatures(sketches, per_sketch),
+    rows = materialise(src.mapInArrow(trimmed(_signatures(sketches, per_sketch)),
                                       "id long, th long, n long, w1 long, w2 long, sketches array<long>")
                        .withColumn("row", F.monotonically_increasing_id()), "near-rows")
     exact = rows.groupBy("w1", "w2").agg(F.min("row").alias("node"))
@@ -212,7 +212,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, sketches: int = 28,
         tb = src.select(F.xxhash64("id", "th").alias("kb"), F.col("text").alias("tb"))
         p = p.select("a", "b", F.xxhash64("ida", "tha").alias("ka"), F.xxhash64("idb", "thb").alias("kb"))
         return (p.join(ta, "ka").join(tb, "kb").select("a", "b", "ta", "tb")
-                .mapInArrow(_verified(threshold), "a long, b long").distinct())
+                .mapInArrow(trimmed(_verified(threshold)), "a long, b long").distinct())
 
     def ends(df: DataFrame) -> DataFrame:
         """Pairs of each member with the first and the last of its bucket."""

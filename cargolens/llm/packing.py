@@ -34,11 +34,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cargolens.llm.common import TextBlock, materialise, slices, utf8_parts
+from cargolens.llm.common import TextBlock, materialise, slices, trimmed, utf8_parts
 
 END_ID = 1
-MAX_CACHED_WORDS = 1 << 19
-MAX_CACHED_PARTS = 1 << 17
+MAX_CACHED_WORDS = 1 << 18
+MAX_CACHED_PARTS = 1 << 16
 SLICE_BYTES = 1 << 20
 
 #: fixed value: the tokenizer's word pattern, for lower-case text of ASCII and Latin letters
@@ -291,7 +291,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 4096,
     """One row per piece with its sequence and offset."""
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     pieces = materialise(src.mapInArrow(
-        tokenised_pieces(tokenizer_path, capacity),
+        trimmed(tokenised_pieces(tokenizer_path, capacity)),
         "doc_id long, piece int, start long, length long, ids_crc32 long, part int, local long"), "pack-pieces")
     by_part = pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
     before = by_part.select("part", "length", F.coalesce(F.sum("n").over(

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cargolens.llm.common import MULT, materialise, mix64, shuffle_partitions, slices, utf8_parts
+from cargolens.llm.common import MULT, materialise, mix64, shuffle_partitions, slices, trimmed, utf8_parts
 
 GRAM = 20
 WORK_BYTES = 1 << 20        # texts worked on at once
@@ -350,15 +350,15 @@ def removed_spans(docs: DataFrame, min_length: int = 50, id_col: str = "doc_id",
     folder, so only one shuffle of the texts is on disk at a time."""
     n = shuffle_partitions(docs)
     src = _keyed(docs, id_col, text_col)
-    packed = src.mapInArrow(_send_anchors(min_length, n), PACKED.format("bucket"))
-    repeated = materialise(packed.repartition(n, "bucket").mapInArrow(_repeated_anchors(2 * n), PACKED.format("blk")), "repeat-anchors")
+    packed = src.mapInArrow(trimmed(_send_anchors(min_length, n)), PACKED.format("bucket"))
+    repeated = materialise(packed.repartition(n, "bucket").mapInArrow(trimmed(_repeated_anchors(2 * n)), PACKED.format("blk")), "repeat-anchors")
     dealt = src.withColumn("blk", F.pmod(F.col("id").bitwiseXOR(F.col("th")), F.lit(2 * n)).cast("int"))
     chunks = dealt.groupBy("blk").cogroup(repeated.groupBy("blk")).applyInArrow(
         _chunks(min_length), "id long, th long, pos long, chunk long, anchor long, high long, bytes binary")
     chunks = materialise(chunks, "repeat-chunks")
     marks = (chunks.where(F.col("bytes").isNotNull()).select("anchor", "chunk", "id", "high", "bytes")
              .repartition(n, "anchor")
-             .mapInArrow(_marks(min_length), "chunk long, from int, to int, low long"))
+             .mapInArrow(trimmed(_marks(min_length)), "chunk long, from int, to int, low long"))
     marks = materialise(marks, "repeat-marks")
     places = chunks.select("id", "th", "pos", F.col("chunk").alias("c"))
     spans = (places.join(marks, F.col("c") == F.col("chunk")).where(F.col("low") < F.col("id"))
