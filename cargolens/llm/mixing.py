@@ -14,7 +14,8 @@ brings the source nearer to its target.
 
 ``u`` is a hash of the document id and the seed, so reruns agree.
 
-No source is gathered in one task: ranks are cut into ``bins`` by value,
+No source is gathered in one task: within a source the rank rises with u,
+so documents are cut into ``bins`` by u (evenly filled whatever the odds),
 sums per (source, bin) say in which bin the border lies, and only the rows
 of that one bin are ordered.
 
@@ -82,7 +83,7 @@ def pareto_mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, max_copies:
     odds = (F.col("u") / (1 - F.col("u"))) / (F.col("f") / (1 - F.col("f")))
     rank = F.when(F.col("f") > 0, odds / (1 + odds)).otherwise(1.0)
     due = (due.withColumn("rank", rank)
-           .withColumn("bin", F.least(F.floor(F.col("rank") * bins), F.lit(bins - 1)).cast("int")))
+           .withColumn("bin", F.least(F.floor(F.col("u") * bins), F.lit(bins - 1)).cast("int")))
 
     per_bin = due.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.max("wanted").alias("wanted"))
     upto = F.sum("words").over(Window.partitionBy("source").orderBy("bin"))
@@ -92,7 +93,7 @@ def pareto_mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, max_copies:
               .select(F.col("source").alias("b_source"), F.col("b.bin").alias("b_bin"), F.col("b.before").alias("b_before")))
     due = due.join(border, F.col("source").eqNullSafe(F.col("b_source")), "left").drop("b_source")
     upto_row = F.col("b_before") + F.sum("size").over(
-        Window.partitionBy("source").orderBy("rank", "doc_id", "row").rowsBetween(Window.unboundedPreceding, 0))
+        Window.partitionBy("source").orderBy("rank", "u", "doc_id", "row").rowsBetween(Window.unboundedPreceding, 0))
     on_border = (due.where(F.col("bin") == F.col("b_bin")).withColumn("upto", upto_row)
                  .withColumn("extra", ((F.col("upto") <= F.col("wanted")) | (
                      (F.col("upto") - F.col("size") < F.col("wanted"))
