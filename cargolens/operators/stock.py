@@ -30,7 +30,7 @@ def _deletions(s: Column, k: int = 2) -> Column:
     """All strings made by deleting at most ``k`` (1 or 2) characters."""
     n = F.length(s)
     idx = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
-    del1 = F.transform(idx, lambda i: F.concat(F.substring(s, 1, i - 1), F.substring(s, i + 1, 1 << 20)))
+    del1 = F.transform(idx, lambda i: F.concat(F.substring(s, 1, i - 1), s.substr(i + 1, F.length(s))))
     out = F.array_union(F.array(s), F.when(n > 0, del1).otherwise(F.array().cast("array<string>")))
     if k >= 2:
         # Two edits are only allowed when the longer string has ≥ 8 chars, so
@@ -38,7 +38,7 @@ def _deletions(s: Column, k: int = 2) -> Column:
         del2 = F.flatten(F.transform(idx, lambda i: F.transform(
             F.sequence(i + 1, F.greatest(n, i + 1)),
             lambda j: F.concat(F.substring(s, 1, i - 1), F.substring(s, i + 1, j - i - 1),
-                               F.substring(s, j + 1, 1 << 20)))))
+                               s.substr(j + 1, F.length(s))))))
         out = F.array_union(out, F.when(n >= 6, del2).otherwise(F.array().cast("array<string>")))
     return out
 
@@ -63,28 +63,27 @@ def carrier_matches(a: Column, b: Column) -> Column:
     return (a != "") & (b != "") & ((a == b) | contain | near)
 
 
-def _block_keys(s: Column, long_kind: str) -> Column:
-    """Tagged blocking keys of one string: deletion variants (``d``), the
-    whole string (``f``) and its long substrings (``long_kind``)."""
-    return F.concat(
-        F.transform(_deletions(s), lambda v: F.struct(F.lit("d").alias("kind"), v.alias("key"))),
-        F.array(F.struct(F.lit("f").alias("kind"), s.alias("key"))),
-        F.transform(_long_substrings(s), lambda v: F.struct(F.lit(long_kind).alias("kind"), v.alias("key"))))
+def _block_keys(s: Column, sub_kind: str, whole_kind: str) -> Column:
+    """Tagged blocking keys of one string: deletion variants (``d``), its
+    long substrings (``sub_kind``) and, where it is long enough to be
+    contained, the whole string (``whole_kind``)."""
+    def tagged(kind: str, keys: Column) -> Column:
+        return F.transform(keys, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("key")))
+
+    whole = F.when(F.length(s) >= MIN_CONTAIN, F.array(s)).otherwise(F.array().cast("array<string>"))
+    return F.concat(tagged("d", _deletions(s)), tagged(sub_kind, _long_substrings(s)), tagged(whole_kind, whole))
 
 
 def candidate_pairs(carriers: DataFrame, terms: DataFrame) -> DataFrame:
     """``carriers(c)`` × ``terms(t)`` pairs that may match (a superset of the
     matches, no cross join). Each side is expanded once into tagged keys and
-    the two meet in one equi-join on the key; compatible tags are
-    deletion/deletion, carrier substring/whole term and whole
-    carrier/term substring."""
-    ck = carriers.select("c", F.explode(_block_keys(F.col("c"), "s")).alias("b")) \
-        .select("c", F.col("b.kind").alias("ck"), F.col("b.key").alias("key"))
-    tk = terms.select("t", F.explode(_block_keys(F.col("t"), "s")).alias("b")) \
-        .select("t", F.col("b.kind").alias("tk"), F.col("b.key").alias("key"))
-    ok = (((F.col("ck") == "d") & (F.col("tk") == "d")) | ((F.col("ck") == "s") & (F.col("tk") == "f"))
-          | ((F.col("ck") == "f") & (F.col("tk") == "s")))
-    return ck.join(tk, "key").where(ok).select("c", "t").distinct()
+    the two meet in one equi-join on tag and key: deletions with deletions
+    (``d``), carrier substrings with whole terms (``c``), whole carriers with
+    term substrings (``t``). Names that only share a word never meet, as no
+    substring is held against a substring."""
+    ck = carriers.select("c", F.explode(_block_keys(F.col("c"), "c", "t")).alias("b")).select("c", "b.kind", "b.key")
+    tk = terms.select("t", F.explode(_block_keys(F.col("t"), "t", "c")).alias("b")).select("t", "b.kind", "b.key")
+    return ck.join(tk, ["kind", "key"]).select("c", "t").distinct()
 
 
 def operator_terms(operators: DataFrame, id_col: str = "operator_id", company_col: str = "company_id",

@@ -130,3 +130,24 @@ def test_verdict_probes(spark):
     rows = spark.createDataFrame([(1, None), (1, 3), (2, None)], "k int, at int")
     control = spark.createDataFrame([(1, 2)], "k int, last_processed_at int")
     assert {(r.k, r.at) for r in watermark_filter(rows, control, ["k"], "at").collect()} == {(1, 3), (2, None)}
+
+
+def test_carrier_blocking_of_names_that_share_a_word(spark):
+    """200 names with common words are tested against few terms, and no
+    match of the exact rule is lost."""
+    import hashlib
+
+    from cargolens.operators.stock import candidate_pairs, carrier_matches
+
+    tag = lambda i: hashlib.md5(str(i).encode()).hexdigest()[:10]
+    carriers = [f"transportadora {tag(i)} logistica" for i in range(200)]
+    terms = [f"transportadora {tag(i + 190)} logistica" for i in range(190)] + [tag(5), "transportadora", "logistic"]
+    c = spark.createDataFrame([(x,) for x in carriers], "c string")
+    t = spark.createDataFrame([(x,) for x in terms], "t string")
+    pairs = candidate_pairs(c, t)
+    rule = carrier_matches(F.col("c"), F.col("t"))
+    got = {tuple(r) for r in pairs.where(rule).collect()}
+    want = {(a, b) for a in carriers for b in terms
+            if a == b or (min(len(a), len(b)) >= 8 and (a in b or b in a))}
+    assert want <= got
+    assert pairs.count() < 5 * len(carriers)
