@@ -50,8 +50,8 @@ def sku_conflicts(df: DataFrame, sku_col: str, ext_col: str, order: Sequence) ->
     with another external id are conflicts. Among the owner's rows the last
     one wins. Returns (kept rows, conflict rows).
 
-    The owner per sku is an aggregate; rows meet it through an inner equi
-    join (splittable by adaptive skew handling for a hot sku).
+    The owner per sku is a map-side aggregate; rows meet it through an inner
+    equi join. A hot sku's owner rows are reduced in the task of that join.
     """
     o = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(_cols(order))])
     owners = df.groupBy(sku_col).agg(F.min(F.struct(o.alias("o"), F.col(ext_col).alias("e"))).alias("_w")) \

@@ -12,9 +12,10 @@ Canonical inputs (column names; extra columns are ignored):
   partner quote id text)
 
 Every "first row per key" below is an aggregate (``min`` of a struct
-whose fields are the ordering), never a window: the aggregate combines
-map-side, so a quote holding a third of all options does not land whole
-in one task.
+whose fields are the ordering), never a window. Straight from a scan it
+combines map-side; ``best_option_score`` (W2) joins the minima back on the
+quote first, and there a hot quote's options meet in the tasks of that join
+(adaptive skew handling is the only split).
 """
 
 from __future__ import annotations
@@ -64,8 +65,9 @@ def best_option_score(options: DataFrame, quote_col: str = "freight_quote_id") -
     wins; otherwise the lowest ``deadline / min_deadline + price / min_price``
     wins (a minimum price of 0 counts as 1). Ties: first in line order.
 
-    Two aggregations over the quote key (minima, then the winner), both
-    combining map-side; the minima are joined back on the quote key.
+    Two aggregations over the quote key (minima, then the winner); the first
+    combines map-side, the second runs in the tasks of the join that brings
+    the minima back.
     Output: ``quote_col, line_index, carrier_deadline, price, by_dominance``.
     """
     valid = (options

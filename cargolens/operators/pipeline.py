@@ -57,7 +57,7 @@ def audited_write(spark: SparkSession, df: DataFrame, write, company_id: int, en
         write(obs_df)
         counters, status, err = obs.get, "FINALIZADO", None
     except Exception as e:  # noqa: BLE001 — the failure is what the audit row records
-        counters, status, err = {}, "ERRO", f"{type(e).__name__}: {e}"[:2000]
+        counters, status, err = {}, "ERRO", f"{type(e).__name__}: {e}"
     finished = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     row = spark.createDataFrame(
         [(company_id, entity, status, {k: int(v) for k, v in counters.items()}, err, started, finished)],
