@@ -38,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -230,11 +231,11 @@ def _chunks(length: int):
                 hit = np.flatnonzero(known[spot] == mine) if len(known) and len(mine) else np.zeros(0, np.int64)
                 row, first, last, fps = row[hit], first[hit], last[hit], fps[hit]
                 whole = data.tobytes()
-                held.append((ids[a + row], ths[a + row], first - off[row], fps,
-                             [whole[f:e + length] for f, e in zip(first.tolist(), last.tolist())]))
-        text = [t for h in held for t in h[4]]
-        ids, ths, pos, fps = (np.concatenate([h[i] for h in held] or [np.zeros(0, np.int64)]) for i in range(4))
-        keys = np.array([int.from_bytes(hashlib.blake2b(t, digest_size=8).digest(), "little", signed=True) for t in text], np.int64)
+                text = [whole[f:e + length] for f, e in zip(first.tolist(), last.tolist())]
+                keys = np.frombuffer(b"".join(hashlib.blake2b(t, digest_size=8).digest() for t in text), "<i8")
+                held.append((ids[a + row], ths[a + row], first - off[row], fps, keys, pa.array(text, pa.binary())))
+        ids, ths, pos, fps, keys = (np.concatenate([h[i] for h in held] or [np.zeros(0, np.int64)]) for i in range(5))
+        text = pa.chunked_array([h[5] for h in held], pa.binary())
         lead, most = np.zeros(len(ids), bool), np.zeros(len(ids), np.int64)
         if len(ids):
             order = np.lexsort((ids, keys))
@@ -243,7 +244,7 @@ def _chunks(length: int):
             most[order[begin]] = np.maximum.reduceat(ids[order], begin)
         return pa.table([pa.array(ids), pa.array(ths), pa.array(pos, pa.int64()), pa.array(keys),
                          pa.array((fps.astype(np.uint64) & SIX).astype(np.int64)), pa.array(most),
-                         pa.array([t if x else None for t, x in zip(text, lead)], pa.binary())],
+                         pc.if_else(pa.array(lead), text, pa.scalar(None, pa.binary()))],
                         names=["id", "th", "pos", "chunk", "anchor", "high", "bytes"])
     return run
 
@@ -308,28 +309,31 @@ def _marks(length: int):
         if not cols[0]:
             return
         anchor, chunk, low, high = (np.concatenate([x.to_numpy() for x in c]) for c in cols[:4])
-        raw = [t for c in cols[4] for t in c.to_pylist()]
+        raw = pa.chunked_array(cols[4])
+        del cols
         order = np.lexsort((chunk, anchor))
         anchor, chunk, low, high = anchor[order], chunk[order], low[order], high[order]
         begin = np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]]))
         low, high = np.minimum.reduceat(low, begin), np.maximum.reduceat(high, begin)
-        anchor, chunk, text = anchor[begin], chunk[begin], [raw[order[i]] for i in begin]
+        anchor, chunk, text = anchor[begin], chunk[begin], raw.take(pa.array(order[begin]))
+        del raw
+        sizes = pc.binary_length(text).to_numpy()
         new = np.concatenate([[True], anchor[1:] != anchor[:-1]])
         single = new & np.append(new[1:], True)
-        out = [(int(chunk[i]), 0, len(text[i]), int(low[i])) for i in np.flatnonzero(single & (low != high))]
+        out = [(int(chunk[i]), 0, int(sizes[i]), int(low[i])) for i in np.flatnonzero(single & (low != high))]
         mixed = np.flatnonzero(~single)
         bounds = np.flatnonzero(np.concatenate([new[mixed], [True]])) if len(mixed) else np.zeros(0, np.int64)
         at = 0
         while at < len(bounds) - 1:              # whole anchors, some thousand chunks at a time
-            to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + 20000, side="right")) - 1)
+            to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + 4000, side="right")) - 1)
             some = mixed[bounds[at]:bounds[to]]
             at = to
-            for size, least, places in repeat_groups([text[i] for i in some], low[some], length):
+            for size, least, places in repeat_groups(text.take(pa.array(some)).to_pylist(), low[some], length):
                 for t, s in places:
                     if high[some[t]] > least:
                         out.append((int(chunk[some[t]]), s, s + size, least))
             solo = some[low[some] != high[some]]  # what copies of one chunk share among themselves
-            out += [(int(chunk[i]), 0, len(text[i]), int(low[i])) for i in solo]
+            out += [(int(chunk[i]), 0, int(sizes[i]), int(low[i])) for i in solo]
             if len(out) > 100000:
                 yield _mark_batch(out)
                 out = []
@@ -367,10 +371,12 @@ def removed_spans(docs: DataFrame, min_length: int = 50, id_col: str = "doc_id",
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [[{"s": s, "e": e} for s, e in united(x)] for x in b.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, SPANS)], names=["id", "th", "spans"])
+            off, s, e = united_lists(b.column(2))
+            pairs = pa.StructArray.from_arrays([pa.array(s), pa.array(e)], names=["s", "e"])
+            out = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pairs)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), out.cast(SPANS)], names=["id", "th", "spans"])
 
-    return materialise(spans.mapInArrow(unite, "id long, th long, spans array<struct<s:bigint,e:bigint>>"), "repeat-spans")
+    return materialise(spans.mapInArrow(trimmed(unite), "id long, th long, spans array<struct<s:bigint,e:bigint>>"), "repeat-spans")
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -390,6 +396,20 @@ def united(spans) -> list[tuple[int, int]]:
     return [(s, e) for s, e in out]
 
 
+def united_lists(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``united`` for every row of a column of span lists (null: empty):
+    (row offsets, starts, ends)."""
+    flat = col.flatten()
+    s, e = (flat.field(i).to_numpy() for i in range(2))
+    row = np.repeat(np.arange(len(col)), pc.fill_null(pc.list_value_length(col), 0).to_numpy())
+    order = np.lexsort((s, row))
+    s, row = s[order], row[order]
+    reach = np.maximum.accumulate((row << 32) | e[order])
+    begin = np.flatnonzero(np.append(True, ((row << 32) | s)[1:] > reach[:-1])) if len(s) else np.zeros(0, np.int64)
+    last = np.append(begin[1:], len(s)) - 1 if len(s) else begin
+    return np.searchsorted(row[begin], np.arange(len(col) + 1)), s[begin], reach[last] & ((1 << 32) - 1)
+
+
 def remove_repeats(docs: DataFrame, min_length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 per row."""
     spans = removed_spans(docs, min_length, id_col, text_col)
@@ -397,22 +417,23 @@ def remove_repeats(docs: DataFrame, min_length: int = 50, id_col: str = "doc_id"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for text, marks in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                raw = text.encode()
-                cut = united(marks)
-                kept, at = [], 0
-                for s, e in cut:
-                    kept.append(raw[at:s])
-                    at = e
-                kept.append(raw[at:])
-                out.append((len(raw), sum(e - s for s, e in cut), len(cut), hashlib.sha256(b"".join(kept)).hexdigest()))
-            cols = list(zip(*out)) if out else [(), (), (), ()]
-            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3], pa.string())],
+            data, off = utf8_parts(b.column(1))
+            cut, s, e = united_lists(b.column(2))
+            removed = np.concatenate([[0], np.cumsum(e - s)])
+            s, e, digests = s.tolist(), e.tolist(), []
+            for begin, end, i, j in zip(off[:-1].tolist(), off[1:].tolist(), cut[:-1].tolist(), cut[1:].tolist()):
+                raw, digest, at = memoryview(data[begin:end]), hashlib.sha256(), 0
+                for k in range(i, j):
+                    digest.update(raw[at:s[k]])
+                    at = e[k]
+                digest.update(raw[at:])
+                digests.append(digest.hexdigest())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(off)), pa.array(removed[cut[1:]] - removed[cut[:-1]]),
+                                              pa.array(np.diff(cut)), pa.array(digests, pa.string())],
                                              names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     done = src.join(spans, ["id", "th"], "left").select("id", "text", "spans").mapInArrow(
-        run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        trimmed(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return done.withColumn("doc_id", F.when(F.col("doc_id") != LAST_ID, F.col("doc_id")))
 
 
