@@ -14,12 +14,13 @@ Canonical inputs (column names; extra columns are ignored):
 Every "first row per key" below is an aggregate (``min`` of a struct
 whose fields are the ordering), never a window. Straight from a scan it
 combines map-side; ``best_option_score`` (W2) joins the minima back on the
-quote first, and there a hot quote's options meet in the tasks of that join
-(adaptive skew handling is the only split).
+quote first, and there a hot quote's options meet in one task (adaptive
+skew handling does not split a join above an aggregate).
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -157,6 +158,17 @@ def quote_day(quotes: DataFrame, zone: str = "America/Sao_Paulo") -> Column:
     return F.coalesce(F.col("date").cast("date"), local_date(F.col("quoted_at"), zone))
 
 
+def _day_scan(days: list[dt.date]) -> Column:
+    """A filter for the scan that keeps every quote of ``days`` (and some
+    more): the stored day, or for quotes without one a ``quoted_at`` no
+    further from the days than any zone is from UTC."""
+    if not days:
+        return F.lit(False)
+    low, high = min(days) - dt.timedelta(days=1), max(days) + dt.timedelta(days=2)
+    near = (F.col("quoted_at") >= F.lit(low)) & (F.col("quoted_at") < F.lit(high))
+    return F.col("date").cast("date").isin(days) | (F.col("date").isNull() & near)
+
+
 def _to_num(c: Column) -> Column:
     """Reference ``toNum``: null or non-finite → 0."""
     d = c.try_cast("double")
@@ -177,8 +189,13 @@ def freight_rollup(quotes: DataFrame, options: DataFrame, items: DataFrame, orde
     * ``total_value_orders`` — Σ freight amount / lines (0 without order).
 
     ``days`` (ISO dates) and ``company_id`` restrict the slice, as the
-    command-line arguments do; both filters reach the quote scan.
+    command-line arguments do. Stored dates and a range of ``quoted_at``
+    reach the quote scan; options, items and orders are cut to the chosen
+    quotes (semi joins) before they are aggregated.
     """
+    if days is not None:
+        days = [dt.date.fromisoformat(d) for d in days]
+        quotes = quotes.where(_day_scan(days))
     q = quotes.select(
         F.col("id").alias("qid"),
         F.col("company_id"),
@@ -191,7 +208,12 @@ def freight_rollup(quotes: DataFrame, options: DataFrame, items: DataFrame, orde
     if company_id is not None:
         q = q.where(F.col("company_id") == F.lit(company_id))
     if days is not None:
-        q = q.where(F.col("date").isin([F.lit(d).cast("date") for d in days]))
+        q = q.where(F.col("date").isin(days))
+    if days is not None or company_id is not None:
+        options = options.join(q.select(F.col("qid").alias("freight_quote_id")), "freight_quote_id", "left_semi")
+        items = items.join(q.select(F.col("qid").alias("quote_id")), "quote_id", "left_semi")
+        orders = orders.join(q.select("company_id", F.col("partner_quote_id").alias("quote_id")),
+                             ["company_id", "quote_id"], "left_semi")
 
     best = cheapest_option(options, "freight_quote_id")
     best = best.select(

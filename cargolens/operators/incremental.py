@@ -75,10 +75,12 @@ def backfill_local_datetime(df: DataFrame, ts_col: str, date_col: str, time_col:
 def backfill_best_option(quotes: DataFrame, options: DataFrame, quote_key: str = "id",
                          deadline_col: str = "best_deadline", cost_col: str = "best_freight_cost") -> DataFrame:
     """Quotes missing either best field get W2's pick; no valid option
-    leaves them null; quotes already complete are untouched."""
-    best = best_option_score(options, "freight_quote_id").select(
-        F.col("freight_quote_id").alias("_q"), F.col("carrier_deadline").alias("_bd"), F.col("price").alias("_bp"))
+    leaves them null; quotes already complete are untouched, and their options
+    leave before any is scored."""
     need = F.col(deadline_col).isNull() | F.col(cost_col).isNull()
+    open_quotes = quotes.where(need).select(F.col(quote_key).alias("freight_quote_id"))
+    best = best_option_score(options.join(open_quotes, "freight_quote_id", "left_semi"), "freight_quote_id").select(
+        F.col("freight_quote_id").alias("_q"), F.col("carrier_deadline").alias("_bd"), F.col("price").alias("_bp"))
     j = quotes.join(best, quotes[quote_key] == best["_q"], "left").withColumn("_need", need)
     return (j.withColumn(deadline_col, F.when(F.col("_need"), F.col("_bd")).otherwise(F.col(deadline_col)))
             .withColumn(cost_col, F.when(F.col("_need"), F.col("_bp")).otherwise(F.col(cost_col)))

@@ -9,7 +9,7 @@ function passing DataFrames; every company runs in the same job.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,19 +48,27 @@ def resolve_item_refs(items: DataFrame, snapshots: Mapping[str, DataFrame],
 
 
 def audited_write(spark: SparkSession, df: DataFrame, write, company_id: int, entity: str,
-                  metrics: Mapping[str, Column]) -> DataFrame:
+                  metrics: Mapping[str, Column], record: Callable[[DataFrame], None] | None = None) -> DataFrame:
     """Run ``write(df)`` with counters observed in the same pass and
-    return the audit row (PROCESSANDO → FINALIZADO, or ERRO with the error)."""
+    return the audit row. ``record`` is given a PROCESSANDO row before the
+    write and the closing row after it: FINALIZADO, or ERRO with the error,
+    which is then raised again."""
     started = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+    def audit_row(status: str, counters: Mapping[str, int], err: str | None, finished: dt.datetime | None) -> DataFrame:
+        row = spark.createDataFrame(
+            [(company_id, entity, status, {k: int(v) for k, v in counters.items()}, err, started, finished)],
+            "company_id long, entity string, status string, counters map<string,bigint>, errors string, "
+            "started_at timestamp_ntz, finished_at timestamp_ntz")
+        if record is not None:
+            record(row)
+        return row
+
+    audit_row("PROCESSANDO", {}, None, None)
     obs_df, obs = observed(df, f"audit_{entity}", dict(metrics))
     try:
         write(obs_df)
-        counters, status, err = obs.get, "FINALIZADO", None
-    except Exception as e:  # noqa: BLE001 — the failure is what the audit row records
-        counters, status, err = {}, "ERRO", f"{type(e).__name__}: {e}"
-    finished = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    row = spark.createDataFrame(
-        [(company_id, entity, status, {k: int(v) for k, v in counters.items()}, err, started, finished)],
-        "company_id long, entity string, status string, counters map<string,bigint>, errors string, "
-        "started_at timestamp_ntz, finished_at timestamp_ntz")
-    return row
+    except Exception as e:
+        audit_row("ERRO", {}, f"{type(e).__name__}: {e}", dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))
+        raise
+    return audit_row("FINALIZADO", obs.get, None, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))

@@ -54,15 +54,15 @@ def _freight_inputs(spark, sf_dir):
     return b.freight_quotes(t), b.freight_options(t), b.freight_items(t), b.freight_orders(t)
 
 
-def a1_rollup(spark, sf_dir):
+def a1_rollup(spark, sf_dir, **sliced):
     quotes, options, items, orders = _freight_inputs(spark, sf_dir)
-    r = fr.freight_rollup(quotes, options, items, orders)
+    r = fr.freight_rollup(quotes, options, items, orders, **sliced)
     return r.select(*fr.ROLLUP_KEYS, "total_simulations", "total_orders",
                     F.round("total_value_simulations", 6).alias("total_value_simulations"),
                     F.round("total_value_orders", 6).alias("total_value_orders"))
 
 
-query("a1_freight_rollup", oracle=f"""
+A1_SQL = f"""
 with {FREIGHT_CTES}
 select q.company_id, q.date, trim(q.channel) as channel, upper(trim(q.state)) as state,
  {RANGE_SQL.format(v='b.shipping_value')} as freight_range,
@@ -72,8 +72,17 @@ select q.company_id, q.date, trim(q.channel) as channel, upper(trim(q.state)) as
  round(sum(q.invoice_value/l.n),6) as total_value_simulations,
  round(sum(coalesce(f.freight_amount,0)/l.n),6) as total_value_orders
 from quotes q join lines l on l.id=q.id left join best b on b.quote_id=q.id left join ford f on f.quote_id=q.id
+{{where}}
 group by all
-""")(a1_rollup)
+"""
+
+query("a1_freight_rollup", oracle=A1_SQL.format(where=""))(a1_rollup)
+
+
+@query("a1_daily_slice", oracle=A1_SQL.format(where="where q.date = date '1995-01-01' and q.company_id = 2"))
+def a1_daily_slice(spark, sf_dir):
+    """The rollup of one day and company, its two arguments."""
+    return a1_rollup(spark, sf_dir, days=["1995-01-01"], company_id=2)
 
 
 @query("w1_cheapest_option", oracle=f"""
