@@ -15,15 +15,20 @@ verified by alignment of the two item sequences inside the band that a
 similar pair cannot leave: similarity = aligned items / (items of both -
 aligned items), a Jaccard similarity that counts order; 0.8 or more links.
 
-No group is expanded into pairs: each member of a bucket is aligned with
-the bucket's first and last member, linked documents are joined into
-classes (minimum labels with pointer jumping), and then only *classes*
-that still share a bucket are compared: the first and last member of each
-with its neighbours by length and with the shortest, until a round adds no
-link. The pairs of a bucket grow with its members, not with their square;
-a pair above the threshold shares about nine of the 28 sketches and so has
-as many buckets to meet in. Candidates of very different length cannot
-reach the similarity and are not aligned.
+Every pair of candidates ends inside one class or is refuted. First each
+member of a bucket is aligned with the bucket's first and last member and
+with its centre (the member that is in most buckets: the original of a
+group of copies shares more sketches with them than they do with each
+other), linked documents are joined into classes (minimum labels with
+pointer jumping), and *classes* that still share a bucket are compared: the
+first and last member of each with its neighbours by length and with the
+shortest, until a round adds no link. The pairs so far grow with a bucket's
+members, not with their square. What is left, members of one bucket in
+different classes, is then compared in full: buckets are cut into blocks of
+members, and each pair of blocks is one group of bounded size, where a pair
+is looked at in the first sketch it shares, counted (common items bound the
+alignment from above) and aligned only if the count allows a link. Candidates of very
+different length cannot reach the similarity and are not aligned.
 
 Edge cases: null and empty texts are one class of copies; texts of fewer
 than five words are near-duplicates only if equal; rows that repeat an id
@@ -47,6 +52,7 @@ from cargolens.llm.common import MULT, TextBlock, materialise, mix64, slices, tr
 WORDS_PER_KMER = 5
 SHORT = 8              # k-mers up to which a document also gets the short sketches
 SLICE_BYTES = 2 << 20
+BLOCK = 256            # members of a bucket that are compared with as many at once
 
 
 def labelled_kmers(block: TextBlock, width: int = WORDS_PER_KMER) -> tuple[np.ndarray, np.ndarray]:
@@ -169,6 +175,50 @@ def _verified(threshold: float):
     return run
 
 
+def _blocks_compared(threshold: float):
+    """Arrow group mapper over (sk, x, y, block, row, label, sketches, text),
+    members of the blocks x and y of one bucket: links that join their
+    classes."""
+    def run(table: pa.Table) -> pa.Table:
+        x, y = table["x"][0].as_py(), table["y"][0].as_py()
+        sk = table["sk"][0].as_py()
+        block, row = table["block"].to_numpy(), table["row"].to_numpy()
+        _, root = np.unique(table["label"].to_numpy(), return_inverse=True)
+        own = [np.asarray(v, np.int64) for v in table["sketches"].to_pylist()]
+        wide = max(len(v) for v in own)
+        sketch = np.zeros((len(own), wide), np.int64)
+        held = np.zeros((len(own), wide), bool)
+        for i, v in enumerate(own):
+            sketch[i, :len(v)], held[i, :len(v)] = v, True
+        data, off = utf8_parts(table["text"])
+        items, at = [], []
+        for lo, hi in slices(off, SLICE_BYTES):
+            found, ko = labelled_kmers(TextBlock(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]))
+            items += [found[ko[i]:ko[i + 1]] for i in range(hi - lo)]
+        n = np.array([len(v) for v in items])
+        left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
+        for a in left.tolist():
+            b = right[right > a] if x == y else right
+            b = b[(root[b] != root[a]) & (np.minimum(n[b], n[a]) >= np.maximum(n[b], n[a]) * threshold - 1e-9)]
+            if not len(b):
+                continue
+            same = (sketch[b] == sketch[a]) & held[b] & held[a]
+            b = b[same.any(axis=1) & (sketch[a][same.argmax(axis=1)] == sk)]
+            if not len(b):
+                continue
+            mine = np.sort(items[a])
+            theirs = np.concatenate([items[i] for i in b.tolist()])
+            hit = mine[np.minimum(np.searchsorted(mine, theirs), len(mine) - 1)] == theirs
+            common = np.add.reduceat(hit, np.cumsum(n[b]) - n[b], dtype=np.int64)
+            least = np.ceil(threshold / (1 + threshold) * (n[a] + n[b]) - 1e-9)
+            for i in b[common >= least].tolist():
+                if root[i] != root[a] and aligned(items[a], items[i], threshold) >= threshold:
+                    at.append((min(row[a], row[i]), max(row[a], row[i])))
+                    root[root == root[i]] = root[a]
+        return pa.table({"a": pa.array([p[0] for p in at], pa.int64()), "b": pa.array([p[1] for p in at], pa.int64())})
+    return run
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node of each connected component, by
     minimum labels with pointer jumping; a few small shuffles per round."""
@@ -197,9 +247,10 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, sketches: int = 28,
     exact = rows.groupBy("w1", "w2").agg(F.min("row").alias("node"))
     firsts = rows.join(exact.select(F.col("node").alias("row")), "row").where(F.size("sketches") > 0)
     seen = firsts.select("row", "n", F.explode("sketches").alias("sk"))
-    shared = seen.groupBy("sk").agg(F.min(F.struct("row", "n")).alias("lo"), F.max(F.struct("row", "n")).alias("hi")).where(
-        F.col("lo.row") != F.col("hi.row"))
+    shared = seen.groupBy("sk").agg(F.min(F.struct("row", "n")).alias("lo"), F.max(F.struct("row", "n")).alias("hi"),
+                                    F.count(F.lit(1)).alias("size")).where(F.col("lo.row") != F.col("hi.row"))
     members = materialise(seen.join(shared, "sk"), "near-members")
+    wide = members.where("size > 3")            # up to three members, the ends meet everyone
 
     def similar_length(x, y):
         return F.least(x, y) >= F.greatest(x, y) * F.lit(threshold)
@@ -214,18 +265,44 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, sketches: int = 28,
         return (p.join(ta, "ka").join(tb, "kb").select("a", "b", "ta", "tb")
                 .mapInArrow(trimmed(_verified(threshold)), "a long, b long").distinct())
 
-    def ends(df: DataFrame) -> DataFrame:
-        """Pairs of each member with the first and the last of its bucket."""
-        sides = df.select("row", "n", F.explode(F.array("lo", "hi")).alias("o"))
+    def centred(df: DataFrame) -> DataFrame:
+        """(row, n, o): each member and the member of its bucket that is in most buckets."""
+        cover = df.groupBy("row").agg(F.count(F.lit(1)).alias("cover"))
+        centre = df.join(cover, "row").groupBy("sk").agg(F.max(F.struct("cover", "row", "n")).alias("c"))
+        return df.join(centre, "sk").select("row", "n", F.struct("c.row", "c.n").alias("o"))
+
+    def paired(sides: DataFrame) -> DataFrame:
         return (sides.where((F.col("row") != F.col("o.row")) & similar_length(F.col("n"), F.col("o.n")))
                 .select(F.least("row", "o.row").alias("a"), F.greatest("row", "o.row").alias("b")).distinct())
 
-    tested = materialise(ends(members), "near-pairs")
+    ends = members.select("row", "n", F.explode(F.array("lo", "hi")).alias("o"))
+    tested = materialise(paired(ends.union(centred(wide))), "near-pairs")
     links = materialise(verified(tested), "near-verified")
+
+    def named_by(labels: DataFrame) -> DataFrame:
+        return wide.select("sk", "row", "n").join(labels.withColumnRenamed("node", "row"), "row", "left").select(
+            "sk", "row", "n", F.coalesce("label", "row").alias("label"))
+
+    def rest(labels: DataFrame) -> DataFrame:
+        """Links among the members of one bucket that are in different classes: every such pair."""
+        named = materialise(named_by(labels), "near-named")
+        several = named.groupBy("sk").agg(F.min("label").alias("x"), F.max("label").alias("y"),
+                                          F.count(F.lit(1)).alias("size")).where("x <> y").select("sk", "size")
+        open_ = materialise(named.join(several, "sk"), "near-open")
+        cells = (open_.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("long"))
+                 .withColumn("block", F.pmod(F.xxhash64("row"), "blocks"))
+                 .select("sk", "row", "label", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("o"))
+                 .select("sk", F.least("block", "o").alias("x"), F.greatest("block", "o").alias("y"), "block", "row", "label"))
+        asked = rows.join(cells.select("row").distinct(), "row", "left_semi").select("row", "sketches", F.xxhash64("id", "th").alias("k"))
+        texts = src.select(F.xxhash64("id", "th").alias("k"), "text").join(asked.select("k"), "k", "left_semi").dropDuplicates(["k"])
+        body = materialise(asked.join(texts, "k").drop("k"), "near-texts")
+        found = (cells.join(body, "row").groupBy("sk", "x", "y")
+                 .applyInArrow(_blocks_compared(threshold), "a long, b long"))
+        return materialise(found.distinct(), "near-verified")
+
     while True:
         labels = connected(links)
-        named = members.select("sk", "row", "n").join(labels.withColumnRenamed("node", "row"), "row", "left").select(
-            "sk", "row", "n", F.coalesce("label", "row").alias("label"))
+        named = named_by(labels)
         groups = named.groupBy("sk", "label").agg(F.min(F.struct("row", "n")).alias("lo"), F.max(F.struct("row", "n")).alias("hi"))
         several = groups.groupBy("sk").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("sk")
         open_ = materialise(groups.join(several, "sk"), "near-open")
@@ -246,6 +323,10 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, sketches: int = 28,
         if found.isEmpty():
             break
         links = links.union(found)
+    last = rest(labels)
+    if not last.isEmpty():
+        links = links.union(last)
+        labels = connected(links)
 
     degree = links.select(F.col("a").alias("node")).union(links.select(F.col("b").alias("node"))).groupBy("node").agg(
         F.count(F.lit(1)).alias("n_links"))

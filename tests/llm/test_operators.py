@@ -204,6 +204,55 @@ def test_near_duplicates(spark, docs, odd):
     assert near_dup.keep_one(odd).count() == len({r.class_id for r in found}) and near_dup.near_duplicates(odd.limit(0)).count() == 0
 
 
+def star(rng, name, copies, n_words=204, changed=4):
+    """An original among copies that are each like it, but not like each other."""
+    base = [f"{name}{i}" for i in range(n_words)]
+    out = []
+    for c in range(copies):
+        w = list(base)
+        for at in rng.sample(range(0, n_words - 4, 5), changed):
+            w[at + 4] = f"{name}x{c}x{at}"
+        out.append(" ".join(w))
+    return out[:copies // 2] + [" ".join(base)] + out[copies // 2:]
+
+
+@pytest.mark.parametrize("copies, block", [(20, 4), (300, 32)])
+def test_near_duplicates_star(spark, monkeypatch, copies, block):
+    monkeypatch.setattr(near_dup, "BLOCK", block, raising=False)
+    texts = star(random.Random(copies), "s", copies)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartitionByRange(6, "doc_id")
+    assert {(r.class_id, r.class_size) for r in near_dup.near_duplicates(df).collect()} == {(0, len(texts))}
+
+
+def test_near_duplicates_leave_no_pair_of_a_bucket(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "BLOCK", 8)
+    rng = random.Random(11)
+    base = [f"t{i}" for i in range(120)]
+    texts = []
+    for g in range(12):                         # templates: far from each other, but they share sketches
+        own = list(base)
+        for at in rng.sample(range(120), 9):
+            own[at] = f"g{g}x{at}"
+        for c in range(8):
+            w = list(own)
+            for at in rng.sample(range(120), 2):
+                w[at] = f"c{g}x{c}x{at}"
+            texts.append(" ".join(w))
+    rng.shuffle(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartitionByRange(6, "doc_id")
+    found = {r.doc_id: r.class_id for r in near_dup.near_duplicates(df).collect()}
+    items, ko = near_dup.labelled_kmers(near_dup.TextBlock(*utf8_parts(pa.array(texts))))
+    own = [items[ko[i]:ko[i + 1]] for i in range(len(texts))]
+    sk = [set(near_dup.order_min_hash(x, near_dup.sketch_factors(28, 1), 5).tolist()) for x in own]
+    label = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if sk[a] & sk[b] and near_dup.aligned(own[a], own[b], 0.8) >= 0.8 and label[a] != label[b]:
+                old, new = max(label[a], label[b]), min(label[a], label[b])
+                label = [new if x == old else x for x in label]
+    assert [found[i] for i in range(len(texts))] == label
+
+
 def test_mix(spark, odd):
     rows = queries.op8_pareto_mix(spark, SF_SMALL).collect()
     src = {r.doc_id: r.source for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
