@@ -3,8 +3,9 @@
 Lines are normalised (trimmed, lower case) and hashed. For every host, the number of *distinct texts* that
 hold a line is counted (exact copies of a document count once, so a group
 of copies never makes its own lines frequent). A line is over its limit
-when it stands in more than ``max(min_docs, max_share * texts of the
-host)`` of them. Removing such lines leaves a document with the characters
+when it stands in more than ``max_share`` of the host's texts, whatever the
+size of the host, and in more than ``min_docs`` (2: two texts that share a
+line do not make it a host's line). Removing such lines leaves a document with the characters
 of its other lines; one that keeps less than ``min_left`` of them is
 depleted and rejected.
 
@@ -31,37 +32,27 @@ from cargolens.llm.common import materialise, words_col
 SYMBOLS = "[#*$%&|<>]"
 
 
-_POS_BITS = 24
-_POS_MASK = (1 << _POS_BITS) - 1
-
-
 def with_repeated_window_words(df: DataFrame, words: str, out: str, width: int = 5) -> DataFrame:
     """Add ``out``: the words of array column ``words`` that lie in a
     ``width``-word window found at least twice in the row.
 
     Window hashes are compared as a set first; only texts that do repeat a
-    window pay for the sort. The sort key is one long, (high hash bits,
-    position), so it stays a primitive sort; equal neighbours are confirmed
-    on the whole hash. A repeated window at p covers p..p+width-1, and the
+    window pay for the sort, by (hash, position). A repeated window at p covers p..p+width-1, and the
     union is summed over the sorted positions. Each step is its own column,
     which keeps it inside generated code."""
     g, z, st = f"_{out}_g", f"_{out}_z", f"_{out}_s"
     none = F.array().cast("array<bigint>")
+    unsorted = F.array().cast("array<struct<h:bigint,p:bigint>>")
     h = F.col(f"_{out}_h")
     df = df.withColumn(f"_{out}_h", F.transform(words, lambda w: F.xxhash64(w)))
     df = df.withColumn(g, F.when(F.size(h) <= width, none).otherwise(F.transform(
         F.slice(h, F.lit(1), F.size(h) - F.lit(width - 1)),
         lambda x, i: F.xxhash64(x, *[F.get(h, i + k) for k in range(1, width)]))))
     G, Z, S = F.col(g), F.col(z), F.col(st)
-    df = df.withColumn(z, F.when(F.size(F.array_distinct(G)) == F.size(G), none).otherwise(F.sort_array(
-        F.transform(G, lambda x, i: x.bitwiseAND(F.lit(~_POS_MASK)).bitwiseOR(i.cast("long"))))))
-
-    def whole(e: Column) -> Column:
-        return F.get(G, e.bitwiseAND(F.lit(_POS_MASK)).cast("int"))
-
+    df = df.withColumn(z, F.when(F.size(F.array_distinct(G)) == F.size(G), unsorted).otherwise(F.sort_array(
+        F.transform(G, lambda x, i: F.struct(x.alias("h"), i.cast("long").alias("p"))))))
     df = df.withColumn(st, F.sort_array(F.transform(F.filter(Z, lambda e, i: (
-        whole(F.get(Z, i - 1)).eqNullSafe(whole(e)) | whole(F.get(Z, i + 1)).eqNullSafe(whole(e)))),
-        lambda e: e.bitwiseAND(F.lit(_POS_MASK)))))
+        F.get(Z, i - 1)["h"].eqNullSafe(e["h"]) | F.get(Z, i + 1)["h"].eqNullSafe(e["h"]))), lambda e: e["p"])))
     steps = F.transform(S, lambda p, i: F.least(F.lit(width), F.coalesce(F.get(S, i + 1) - p, F.lit(width))))
     df = df.withColumn(out, F.aggregate(steps, F.lit(0).cast("long"), lambda a, x: a + x))
     return df.drop(f"_{out}_h", g, z, st)
@@ -91,7 +82,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def line_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  host_col: str = "source", min_words: int = 10, max_repeat_pct: int = 20,
-                 min_docs: int = 20, max_share: float = 0.1, min_left: float = 0.3) -> DataFrame:
+                 min_docs: int = 2, max_share: float = 0.1, min_left: float = 0.3) -> DataFrame:
     """One row per input row: base measures, ``base_failed``, the characters
     of its lines (``line_chars``) and of those over their limit
     (``removed_chars``), ``text_key`` and ``kept``."""

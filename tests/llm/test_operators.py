@@ -140,6 +140,20 @@ def test_quality_rejects_depleted(spark):
     assert kept == set(range(40)) | set(range(200, 230))
 
 
+def test_quality_same_verdict_at_every_size(spark):
+    """A line in half of a host's texts goes at 8, 40 and 400 texts; one in two texts or in few of many stays."""
+    own = lambda s: " ".join(f"{s}w{i}" for i in range(12))
+    rows = []
+    for n in (8, 40, 400):
+        for i in range(n):
+            tail = own(f"menu{n}") if i % 2 else own(f"pair{n}") if i in (0, 2) else own(f"x{n}t{i}")
+            rows.append((n * 1000 + i, f"{own(f'h{n}d{i}')}\n{tail}", f"host{n}"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for r in quality.line_quality(df).collect():
+        n, i = divmod(r.doc_id, 1000)
+        assert r.removed_chars == (len(own(f"menu{n}")) if i % 2 else 0)
+
+
 def test_packing(spark, docs, odd):
     from tokenizers import Tokenizer
     tok, where, lengths = Tokenizer.from_file(BPE), defaultdict(list), 0
