@@ -136,16 +136,17 @@ _LOWER[65:91] += 32
 
 class TextBlock:
     """Words of a run of texts: ``starts``/``ends`` (byte positions in
-    ``data``), ``doc`` (row of each word), ``counts`` (words of each row)."""
+    ``data``), ``doc`` (row of each word), ``counts`` (words of each row).
+    ``breaks`` tells which bytes part words."""
 
-    def __init__(self, data: np.ndarray, off: np.ndarray, lower: bool = True):
+    def __init__(self, data: np.ndarray, off: np.ndarray, lower: bool = True, breaks: np.ndarray = _IS_SPACE):
         self.data = _LOWER[data] if lower else data
         self.off = off
         n = len(data)
         if n == 0:
             self.starts = self.ends = self.doc = np.zeros(0, np.int64)
         else:
-            word = ~_IS_SPACE[data]
+            word = ~breaks[self.data]
             first = word.copy()
             first[1:] &= ~word[:-1]
             last = word.copy()

@@ -64,6 +64,11 @@ def op10_interval_tree_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op13_bit_sliced_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cargolens.llm.resampling import resample
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
