@@ -64,6 +64,12 @@ def op10_interval_tree_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_huffman_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from cargolens.llm.token_files import document_checksums
+    return document_checksums(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op13_bit_sliced_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cargolens.llm.resampling import resample
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
