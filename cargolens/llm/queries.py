@@ -70,6 +70,13 @@ def op11_huffman_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_checksums(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op12_shared_cut_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    from cargolens.llm.alignment import align_documents
+    return align_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op13_bit_sliced_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cargolens.llm.resampling import resample
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
