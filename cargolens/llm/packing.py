@@ -60,9 +60,10 @@ class WordIds:
     composed Latin letters go part by part through the tokenizer's model,
     all others through its whole pipeline."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, max_words: int = MAX_CACHED_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        self.max_words = max_words
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = byte_letters()
@@ -95,7 +96,7 @@ class WordIds:
 
     def of(self, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray, data: bytes) -> tuple[np.ndarray, np.ndarray]:
         """(place in the pool, number of ids) of each of the sorted keys."""
-        if len(self.keys) + len(keys) > MAX_CACHED_WORDS:
+        if len(self.keys) + len(keys) > self.max_words:
             self.clear()
         at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
         new = np.flatnonzero(self.keys[at] != keys) if len(self.keys) else np.arange(len(keys))

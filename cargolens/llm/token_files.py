@@ -50,6 +50,7 @@ BLOCK_TOKENS = 1 << 18
 STEP = 64
 MAGIC = b"HTI1"
 SLICE_BYTES = 1 << 20
+MEMO_WORDS = 1 << 20
 
 _MEMOS: dict[str, WordIds] = {}
 
@@ -161,31 +162,32 @@ def records(content: np.ndarray, code: Code) -> Iterator[tuple[np.ndarray, np.nd
         i += 1                                          # the writer's line feed
 
 
-def tokenised(path: str):
-    """Arrow mapper (doc_id, text) -> doc_id, n_tokens, crc, ids (unsigned 32-bit)."""
+def tokenised(path: str, kind: str):
+    """Arrow mapper (doc_id, text) -> doc_id, n_tokens, crc, ids (as ``kind``)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = _MEMOS.get(path)
         if memo is None:
-            memo = _MEMOS[path] = WordIds(path)
+            memo = _MEMOS[path] = WordIds(path, MEMO_WORDS)
         for batch in batches:
             data, off = utf8_parts(batch.column(1))
             for lo, hi in slices(off, SLICE_BYTES):
                 ids, at = document_ids(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], memo)
-                raw = memoryview(ids.astype("<u4").tobytes())
-                texts = [raw[4 * a:4 * b] for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+                raw, own, size = memoryview(ids.astype("<u4").tobytes()), memoryview(ids.astype(kind).tobytes()), np.dtype(kind).itemsize
+                bounds = list(zip(at[:-1].tolist(), at[1:].tolist()))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo), pa.array(np.diff(at)),
-                     pa.array([zlib.crc32(t) for t in texts], pa.int64()), pa.array(texts, pa.binary())],
+                     pa.array([zlib.crc32(raw[4 * a:4 * b]) for a, b in bounds], pa.int64()),
+                     pa.array([own[size * a:size * b] for a, b in bounds], pa.binary())],
                     names=["doc_id", "n_tokens", "crc", "ids"])
     return run
 
 
-def id_counts(tokens: DataFrame) -> DataFrame:
+def id_counts(tokens: DataFrame, kind: str) -> DataFrame:
     """(id, n) over the whole table, combined per task before the shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            got = np.bincount(utf8_parts(batch.column(0))[0].view("<u4"), minlength=len(total))
+            got = np.bincount(utf8_parts(batch.column(0))[0].view(kind), minlength=len(total))
             got[:len(total)] += total
             total = got
         at = np.flatnonzero(total)
@@ -194,10 +196,10 @@ def id_counts(tokens: DataFrame) -> DataFrame:
     return tokens.select("ids").mapInArrow(trimmed(run), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
-def encoded(code: Code, block: int):
+def encoded(code: Code, block: int, kind: str):
     """Arrow mapper: sorted (doc_id, ids) -> one row per record of the task's file."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, doc, null, ends = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int64)
+        ids, doc, null, ends = np.zeros(0, kind), np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int64)
 
         def cut(final: bool) -> Iterator[pa.RecordBatch]:
             nonlocal ids, doc, null, ends
@@ -215,8 +217,8 @@ def encoded(code: Code, block: int):
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 raw, off = utf8_parts(part.column(1))
-                ends = np.concatenate([ends, len(ids) + off[1:] // 4])
-                ids = np.concatenate([ids, raw.view("<u4")])
+                ends = np.concatenate([ends, len(ids) + off[1:] // np.dtype(kind).itemsize])
+                ids = np.concatenate([ids, raw.view(kind)])
                 doc = np.concatenate([doc, part.column(0).fill_null(0).to_numpy()])
                 null = np.concatenate([null, part.column(0).is_null().to_numpy(zero_copy_only=False)])
                 yield from cut(False)
@@ -229,18 +231,20 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, path: str, block: in
     """Write ``path/codebook`` (Parquet: id, n, bits) and ``path/data`` (the
     files of blocks, in ascending doc_id order from file to file)."""
     spark = docs.sparkSession
+    from tokenizers import Tokenizer
+    kind = "<u2" if Tokenizer.from_file(tokenizer_path).get_vocab_size() <= 1 << 16 else "<u4"
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     tokens = materialise(
-        src.mapInArrow(trimmed(tokenised(tokenizer_path)), "doc_id long, n_tokens long, crc long, ids binary")
+        src.mapInArrow(trimmed(tokenised(tokenizer_path, kind)), "doc_id long, n_tokens long, crc long, ids binary")
         .withColumn("row", F.monotonically_increasing_id()), "token-files-ids")
-    counts = sorted((r["id"], r["n"]) for r in id_counts(tokens).collect())     # at most the vocabulary
+    counts = sorted((r["id"], r["n"]) for r in id_counts(tokens, kind).collect())     # at most the vocabulary
     ids, n = np.array(counts, np.int64).reshape(-1, 2).T
     bits = code_lengths(n)
     book = spark.createDataFrame(list(zip(ids.tolist(), n.tolist(), bits.tolist())), "id long, n long, bits int")
     book.coalesce(1).write.parquet(f"{path}/codebook")
     order = [F.asc_nulls_first("doc_id"), F.asc("crc"), F.asc("n_tokens"), F.asc("row")]
     (tokens.repartitionByRange(shuffle_partitions(tokens), *order).sortWithinPartitions(*order)
-     .select("doc_id", "ids").mapInArrow(trimmed(encoded(Code(ids, bits), block)), "record binary")
+     .select("doc_id", "ids").mapInArrow(trimmed(encoded(Code(ids, bits), block, kind)), "record binary")
      .select(F.col("record").cast("string").alias("value"))         # the bytes as they are
      .write.text(f"{path}/data"))
 

@@ -3,6 +3,7 @@ trips, and the documents read back against the tokenizers library."""
 
 import itertools
 import random
+import uuid
 import zlib
 from collections import Counter
 
@@ -50,8 +51,8 @@ def test_odd_rows(spark):
     assert Counter(map(tuple, token_files.document_checksums(one, BPE).collect())) == expected([(5, None)])
 
 
-def test_documents_span_blocks_and_damage_is_seen(spark, tmp_path):
-    path = f"{checkpoint_dir(spark)}/{tmp_path.name}-blocks"
+def test_documents_span_blocks_and_damage_is_seen(spark):
+    path = f"{checkpoint_dir(spark)}/blocks-{uuid.uuid4().hex}"
     rows = [(i, " ".join(f"w{(i * 31 + k) % 97}" for k in range(i * 7 % 200))) for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     token_files.write_token_files(docs, BPE, path, block=100)
