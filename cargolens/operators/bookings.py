@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from cargolens.functions.parse import finite, js_number, money_2
 
 
-def _clean_lines(lines: DataFrame) -> DataFrame:
+def clean_lines(lines: DataFrame) -> DataFrame:
+    """Typed id, name, value (cents-rounded) and quantity (default 1); lines
+    with an id of 0 or less or without a name go."""
     qty = finite(js_number(F.coalesce(F.col("quantity").cast("string"), F.lit("1"))))
     return (lines
             .withColumn("id", F.coalesce(finite(js_number(F.col("id").cast("string"))), F.lit(0.0)).cast("bigint"))
@@ -30,8 +32,8 @@ def choose_procedures(event_lines: DataFrame, tx_lines: DataFrame, tx_bookings:
     whose transaction has content.
     """
     cols = [key, "line_index", "id", "name", "value", "quantity"]
-    tx = _clean_lines(tx_lines.where(~F.coalesce(F.col("deleted"), F.lit(False)))).select(*cols) \
+    tx = clean_lines(tx_lines.where(~F.coalesce(F.col("deleted"), F.lit(False)))).select(*cols) \
         .withColumn("source", F.lit("transaction"))
     ev = event_lines.join(tx_bookings.select(key), key, "left_anti")
-    ev = _clean_lines(ev).select(*cols).withColumn("source", F.lit("event"))
+    ev = clean_lines(ev).select(*cols).withColumn("source", F.lit("event"))
     return tx.unionByName(ev)

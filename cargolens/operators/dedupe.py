@@ -50,16 +50,22 @@ def sku_conflicts(df: DataFrame, sku_col: str, ext_col: str, order: Sequence) ->
     with another external id are conflicts. Among the owner's rows the last
     one wins. Returns (kept rows, conflict rows).
 
-    The owner per sku is a map-side aggregate; rows meet it through an inner
-    equi join. A hot sku's owner rows are reduced in the task of that join.
+    The owner of a sku and the last row of each (sku, external id) are both
+    map-side aggregates, and only their results meet on the sku: a hot sku's
+    rows are never reduced in one task. Conflicts are the rows of the skus
+    that have several external ids (a semi-join-like inner join of the rows
+    with those skus' owners, which adaptive execution splits for a hot sku
+    since nothing above it needs the rows by sku).
     """
     o = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(_cols(order))])
-    owners = df.groupBy(sku_col).agg(F.min(F.struct(o.alias("o"), F.col(ext_col).alias("e"))).alias("_w")) \
-        .select(F.col(sku_col).alias("_sku"), F.col("_w.e").alias("_owner"))
-    j = df.join(owners, df[sku_col] == owners["_sku"], "inner")
-    same = F.col(ext_col) == F.col("_owner")
-    kept = last_wins(j.where(same).drop("_sku", "_owner"), [sku_col, ext_col], order)
-    conflicts = j.where(~same).drop("_sku", "_owner")
+    ext = F.col(ext_col)
+    owners = df.groupBy(sku_col).agg(F.min(F.struct(o.alias("o"), ext.alias("e"))).alias("_w"),
+                                     (F.min(ext) != F.max(ext)).alias("_several"))
+    owner = owners.select(F.col(sku_col).alias("_sku"), F.col("_w.e").alias("_owner"), "_several")
+    last = last_wins(df, [sku_col, ext_col], order)
+    kept = last.join(owner.drop("_several"), (F.col(sku_col) == F.col("_sku")) & (ext == F.col("_owner"))).select(*df.columns)
+    contested = owner.where("_several").drop("_several")
+    conflicts = df.join(contested, F.col(sku_col) == F.col("_sku")).where(ext != F.col("_owner")).select(*df.columns)
     return kept, conflicts
 
 

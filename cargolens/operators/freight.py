@@ -13,9 +13,9 @@ Canonical inputs (column names; extra columns are ignored):
 
 Every "first row per key" below is an aggregate (``min`` of a struct
 whose fields are the ordering), never a window. Straight from a scan it
-combines map-side; ``best_option_score`` (W2) joins the minima back on the
-quote first, and there a hot quote's options meet in one task (adaptive
-skew handling does not split a join above an aggregate).
+combines map-side; ``best_option_score`` (W2) first keeps the cheapest option
+of each (quote, deadline), so what meets the quote's minima again is one row
+per distinct deadline, whatever the number of options.
 """
 
 from __future__ import annotations
@@ -66,9 +66,12 @@ def best_option_score(options: DataFrame, quote_col: str = "freight_quote_id") -
     wins; otherwise the lowest ``deadline / min_deadline + price / min_price``
     wins (a minimum price of 0 counts as 1). Ties: first in line order.
 
-    Two aggregations over the quote key (minima, then the winner); the first
-    combines map-side, the second runs in the tasks of the join that brings
-    the minima back.
+    Of the options of one quote with one carrier deadline only the cheapest
+    (first in line order) can win, by either rule. That cut combines map-side
+    and is dealt by (quote, deadline): a quote with a third of all options is
+    read by many tasks and leaves as many rows as it has distinct deadlines
+    (days). Only those rows are reduced to minima, joined with them on the
+    quote and reduced to the winner.
     Output: ``quote_col, line_index, carrier_deadline, price, by_dominance``.
     """
     valid = (options
@@ -76,8 +79,10 @@ def best_option_score(options: DataFrame, quote_col: str = "freight_quote_id") -
                      F.col("carrier_deadline").try_cast("double").alias("cd"),
                      F.col("price").try_cast("double").alias("p"))
              .where((F.col("cd") > 0) & (F.col("cd") < float("inf")) & (F.col("p") >= 0) & (F.col("p") < float("inf"))))
-    minima = valid.groupBy(quote_col).agg(F.min("cd").alias("min_cd"), F.min("p").alias("min_p"))
-    scored = valid.join(minima, quote_col)
+    cheapest = (valid.groupBy(quote_col, "cd").agg(F.min(F.struct("p", "line_index")).alias("c"))
+                .select(quote_col, "cd", "c.p", "c.line_index"))
+    minima = cheapest.groupBy(quote_col).agg(F.min("cd").alias("min_cd"), F.min("p").alias("min_p"))
+    scored = cheapest.join(minima, quote_col)
     dominant = (F.col("cd") == F.col("min_cd")) & (F.col("p") == F.col("min_p"))
     denom_p = F.when(F.col("min_p") == 0, F.lit(1.0)).otherwise(F.col("min_p"))
     score = F.col("cd") / F.col("min_cd") + F.col("p") / denom_p

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cargolens.functions.dates import brazil_date, brazil_time
+from cargolens.functions.dates import brazil_date, brazil_time, date_hour_strict
 from cargolens.operators.freight import best_option_score
 from cargolens.operators.upsert import insert_if_absent
 
@@ -51,6 +51,34 @@ def order_date_cascade(*candidates: Column) -> Column:
     return F.coalesce(*candidates)
 
 
+def order_dates(listing: DataFrame, details: DataFrame, known: DataFrame, key: str = "external_id") -> DataFrame:
+    """I8: the date of every listed order, by a gated cascade.
+
+    1. the marketplace's creation time, 2. list day with a valid hour. Orders
+    without either that are not ``known`` (stored) go on, and only they meet
+    ``details``: 3. the detail's creation time, 4. its day (else the list's)
+    with its hour, 5. its modification time, 6. the list's. A known order
+    without a date of its own keeps the stored one.
+
+    ``listing``: key, created_sql, list_date, list_hour, modified;
+    ``details``: key, created_sql, date, hour, modified (several rows of one
+    key: the lowest); ``known``: key, order_date. Output: key, order_date.
+    """
+    from cargolens.operators.staging import sql_datetime
+    first = F.coalesce(sql_datetime(F.col("created_sql")), date_hour_strict(F.col("list_date"), F.col("list_hour")))
+    listed = listing.select(key, first.alias("_first"), "list_date", "modified")
+    stored = known.select(key, F.col("order_date").alias("_stored"), F.lit(True).alias("_known"))
+    one = details.groupBy(key).agg(F.min(F.struct("created_sql", "date", "hour", F.col("modified").alias("changed"))).alias("_d"))
+    asked = (listed.where(F.col("_first").isNull()).join(stored, key, "left_anti").join(one, key, "left")
+             .select(key, order_date_cascade(
+                 sql_datetime(F.col("_d.created_sql")),
+                 date_hour_strict(F.coalesce("_d.date", "list_date"), F.col("_d.hour")),
+                 sql_datetime(F.col("_d.changed")), sql_datetime(F.col("modified"))).alias("order_date")))
+    rest = (listed.join(stored, key, "left").where(F.col("_first").isNotNull() | F.col("_known"))
+            .select(key, F.coalesce("_first", "_stored").alias("order_date")))
+    return rest.unionByName(asked)
+
+
 def should_write_order_date(stored: Column, new: Column) -> Column:
     """Write when nothing is stored, when the day differs, or when the
     stored time is midnight and the new one is not."""

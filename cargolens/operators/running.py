@@ -17,15 +17,16 @@ groups, so the hot-key set has a proven size bound and is broadcast.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
-from cargolens.session import checkpoint_dir
+from cargolens.functions.parse import money_2
+from cargolens.session import write_once
 
 DEFAULT_HOT_THRESHOLD = 2_000_000
 
@@ -63,29 +64,71 @@ def prefix_sum_before(df: DataFrame, group_cols: Sequence[str], order: Sequence[
     return cold_out.unionByName(_ranged_prefix_sum(hot, group_cols, order, value_col, out_col, num_ranges))
 
 
+def _ranged(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column], num_ranges: int | None) -> DataFrame:
+    """The rows with ``_rid``, their range of (group, order). Several branches
+    must see one and the same cut into ranges (its bounds are sampled), so
+    the ranged rows are written once and read back."""
+    n = num_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(n, *[F.col(g) for g in group_cols], *order).withColumn("_rid", F.spark_partition_id())
+    return write_once(ranged, "ranged")
+
+
+def _with_offsets(local: DataFrame, offsets: DataFrame, group_cols: Sequence[str]) -> DataFrame:
+    """Each row beside its range's row of ``offsets`` (null group keys meet too)."""
+    extra = [c for c in offsets.columns if c not in (*group_cols, "_rid")]
+    named = offsets.select(*[F.col(g).alias(f"_k{i}") for i, g in enumerate(group_cols)], F.col("_rid").alias("_krid"), *extra)
+    same = reduce(and_, [F.col(g).eqNullSafe(F.col(f"_k{i}")) for i, g in enumerate(group_cols)])
+    return local.join(named, same & (F.col("_rid") == F.col("_krid"))).drop("_krid", *[f"_k{i}" for i in range(len(group_cols))])
+
+
 def _ranged_prefix_sum(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
                        value_col: str, out_col: str, num_ranges: int | None) -> DataFrame:
-    spark = df.sparkSession
-    n = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sort = [F.col(g) for g in group_cols] + list(order)
-    # Both branches below must see one and the same cut into ranges (its bounds
-    # are sampled), so the ranged rows are written once and read back.
-    path = f"{checkpoint_dir(spark).rstrip('/')}/ranged-{uuid.uuid4().hex}"
-    ranged = df.repartitionByRange(n, *sort).withColumn("_rid", F.spark_partition_id())
-    ranged.write.parquet(path)
-    ranged = spark.read.schema(ranged.schema).parquet(path)
+    ranged = _ranged(df, group_cols, order, num_ranges)
     w_local = Window.partitionBy(*group_cols, "_rid").orderBy(*order) \
         .rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("_lp", F.coalesce(F.sum(value_col).over(w_local), F.lit(0)))
     totals = ranged.groupBy(*group_cols, "_rid").agg(F.sum(value_col).alias("_tot"))
     w_off = Window.partitionBy(*group_cols).orderBy("_rid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumn("_off", F.coalesce(F.sum("_tot").over(w_off), F.lit(0))).drop("_tot")
-    named = offsets.select(*[F.col(g).alias(f"_k{i}") for i, g in enumerate(group_cols)], F.col("_rid").alias("_krid"), "_off")
-    same = reduce(and_, [F.col(g).eqNullSafe(F.col(f"_k{i}")) for i, g in enumerate(group_cols)])
-    out = local.join(named, same & (F.col("_rid") == F.col("_krid"))).drop("_krid", *[f"_k{i}" for i in range(len(group_cols))])
+    out = _with_offsets(local, offsets, group_cols)
     return out.withColumn(out_col, F.col("_off") + F.col("_lp")).drop("_rid", "_lp", "_off")
 
 
+def prefix_sum_and_peak(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column], value_col: str,
+                        sum_col: str = "prior", peak_col: str = "peak", num_ranges: int | None = None,
+                        hot_threshold: int = DEFAULT_HOT_THRESHOLD) -> DataFrame:
+    """Add ``sum_col``, the sum of ``value_col`` over the rows of the group
+    before this one, and ``peak_col``, the highest that sum has been so far
+    (0 before any row counts).
+
+    A run of rows is summed up by (its sum, its highest prefix sum), and two
+    runs compose to (s1 + s2, max(m1, s1 + m2)). That is associative, so a hot
+    group is cut into ranges whose summaries (one row a range) are composed
+    and added to each range's own running values."""
+    cold, hot = split_hot_groups(df, group_cols, hot_threshold)
+
+    def running(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        upto = rows.withColumn("_upto", F.sum(value_col).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+        return upto.withColumn("_top", F.max("_upto").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+
+    zero = F.lit(0).cast("bigint")
+    out = (running(cold, group_cols).withColumn(sum_col, F.col("_upto") - F.col(value_col))
+           .withColumn(peak_col, F.greatest(zero, F.col("_top"))).drop("_upto", "_top"))
+    if hot is None:
+        return out
+    local = running(_ranged(hot, group_cols, order, num_ranges), [*group_cols, "_rid"])
+    summaries = local.groupBy(*group_cols, "_rid").agg(F.sum(value_col).alias("_s"), F.max("_upto").alias("_m"))
+    before = Window.partitionBy(*group_cols).orderBy("_rid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (summaries.withColumn("_off", F.coalesce(F.sum("_s").over(before), zero))
+               .withColumn("_high", F.greatest(zero, F.max(F.col("_off") + F.col("_m")).over(before))).drop("_s", "_m"))
+    placed = _with_offsets(local, offsets, group_cols)
+    return out.unionByName(
+        placed.withColumn(sum_col, F.col("_off") + F.col("_upto") - F.col(value_col))
+        .withColumn(peak_col, F.greatest(F.col("_high"), F.col("_off") + F.col("_top")))
+        .drop("_rid", "_upto", "_top", "_off", "_high"))
+
+
 def row_number_within(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
                       out_col: str = "row_number", hot_threshold: int = DEFAULT_HOT_THRESHOLD) -> DataFrame:
     """1-based position of each row inside its group in ``order`` (a unique
@@ -95,17 +138,36 @@ def row_number_within(df: DataFrame, group_cols: Sequence[str], order: Sequence[
     return out.withColumn(out_col, (F.col("_before") + 1).cast("int")).drop("_one", "_before")
 
 
+def cents(money: Column) -> Column:
+    """N40 as whole cents."""
+    return F.round(money_2(money.cast("string")) * 100).cast("bigint")
+
+
 def discount_waterfall(lines: DataFrame, group_cols: Sequence[str], value_col: str, discount_col: str,
-                       first_flag_col: str, position_col: str, out_col: str = "discounted_value") -> DataFrame:
+                       first_flag_col: str, position_col: str, out_col: str = "discounted_value",
+                       num_ranges: int | None = None, hot_threshold: int = DEFAULT_HOT_THRESHOLD) -> DataFrame:
     """Consume a group's discount line by line — flagged lines first, then
-    the highest value, then the original position; no line goes below 0.
-
-    Each line takes ``greatest(0, least(value, discount - prior))`` where
-    ``prior`` is the value of the lines consumed before it.
+    the highest value, then the original position.
+
+    All amounts are whole cents (rounded as N40, so unparsable ones are 0),
+    which makes each step exact. While something of the discount remains, a
+    line takes ``least(value, remaining)``: a negative line goes to 0 and
+    gives its amount back to the discount. Once nothing remains, later lines
+    stay as they are. So what remains before a line is ``discount`` less the
+    sum of the lines before it, provided that sum has stayed below the
+    discount so far, else 0 — a running sum and its running peak.
+
+    ``out_col`` has the type of ``value_col`` where that is numeric, else
+    double. A null flag counts as unflagged; without a discount above 0 the
+    (rounded) values stay.
     """
-    order = [F.col(first_flag_col).desc(), F.col(value_col).desc(), F.col(position_col).asc()]
-    with_prior = prefix_sum_before(lines, group_cols, order, value_col, "_prior")
-    d = F.col(discount_col)
-    cut = F.greatest(F.lit(0), F.least(F.col(value_col), d - F.col("_prior")))
-    taken = F.when(d > 0, cut).otherwise(F.lit(0))
-    return with_prior.withColumn(out_col, F.col(value_col) - taken).drop("_prior")
+    taken_names = ("_cents", "_first", "_prior", "_peak")
+    rows = (lines.withColumn("_cents", cents(F.col(value_col)))
+            .withColumn("_first", F.coalesce(F.col(first_flag_col), F.lit(False))))
+    order = [F.col("_first").desc(), F.col("_cents").desc(), F.col(position_col).asc()]
+    run = prefix_sum_and_peak(rows, group_cols, order, "_cents", "_prior", "_peak", num_ranges, hot_threshold)
+    d = cents(F.col(discount_col))
+    taken = F.when(d > F.col("_peak"), F.least(F.col("_cents"), d - F.col("_prior"))).otherwise(F.lit(0))
+    kind = lines.schema[value_col].dataType
+    out = ((F.col("_cents") - taken) / 100).cast(kind if isinstance(kind, NumericType) else "double")
+    return run.withColumn(out_col, out).drop(*taken_names)

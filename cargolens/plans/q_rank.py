@@ -111,6 +111,37 @@ def w07_discount_waterfall(spark, sf_dir):
     return rn.discount_waterfall(lines, ["l_orderkey"], "value", "discount", "first_line", "line_index")
 
 
+_W7_CENTS = "cast(floor({0} * 100 + 0.5) as bigint)"
+
+
+@query("w07_money_waterfall", oracle=f"""
+with recursive l as (select l_orderkey,
+   cast(row_number() over (partition by l_orderkey order by {LINE_ORDER_SQL}) as integer) as line_index,
+   case when l_linenumber % 4 = 3 then -l_extendedprice / 90 else l_extendedprice / 7 end as value,
+   case when l_linenumber = 5 then null else l_returnflag = 'A' end as first_line,
+   (l_orderkey % 1000 - 20) * 37.777::double as discount from lineitem),
+o as (select *, {_W7_CENTS.format("value")} as v, {_W7_CENTS.format("discount")} as d,
+   row_number() over (partition by l_orderkey order by coalesce(first_line, false) desc, {_W7_CENTS.format("value")} desc, line_index) as k from l),
+r as (
+  select l_orderkey, line_index, k, v - case when d > 0 then least(v, d) else 0 end as paid,
+    case when d > 0 then d - least(v, d) else 0 end as remaining from o where k = 1
+  union all
+  select o.l_orderkey, o.line_index, o.k, o.v - case when r.remaining > 0 then least(o.v, r.remaining) else 0 end,
+    case when r.remaining > 0 then r.remaining - least(o.v, r.remaining) else 0 end
+  from r join o on r.l_orderkey = o.l_orderkey and o.k = r.k + 1)
+select l_orderkey, line_index, paid / 100 as discounted_value from r
+""")
+def w07_money_waterfall(spark, sf_dir):
+    li = b.with_line_index(Tables(spark, sf_dir).lineitem)
+    lines = li.select("l_orderkey", "line_index",
+                      F.when(F.col("l_linenumber") % 4 == 3, -F.col("l_extendedprice") / 90)
+                      .otherwise(F.col("l_extendedprice") / 7).alias("value"),
+                      F.when(F.col("l_linenumber") != 5, F.col("l_returnflag") == "A").alias("first_line"),
+                      ((F.col("l_orderkey") % 1000 - 20) * F.lit(37.777)).alias("discount"))
+    out = rn.discount_waterfall(lines, ["l_orderkey"], "value", "discount", "first_line", "line_index")
+    return out.select("l_orderkey", "line_index", "discounted_value")
+
+
 @query("w08_procedure_source", oracle=f"""
 with l as (select l_orderkey, cast(row_number() over (partition by l_orderkey order by {LINE_ORDER_SQL}) as integer) as line_index,
              l_partkey, l_suppkey, l_linenumber, l_linestatus, l_extendedprice, l_quantity from lineitem),

@@ -44,6 +44,7 @@ def load_all() -> None:
         q_incr,
         q_mapping,
         q_payload,
+        q_staged,
         q_stream,
         q_pipeline,
     )

@@ -15,8 +15,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of this package expects.
 BASE_CONF = {
@@ -87,3 +88,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(cfg)
     return cfg
+
+
+def write_once(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared folder and read it back, so
+    that several tables derived from it share one evaluation."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
