@@ -15,20 +15,23 @@ verified by alignment of the two item sequences inside the band that a
 similar pair cannot leave: similarity = aligned items / (items of both -
 aligned items), a Jaccard similarity that counts order; 0.8 or more links.
 
-Every pair of candidates ends inside one class or is refuted. First each
-member of a bucket is aligned with the bucket's first and last member and
-with its centre (the member that is in most buckets: the original of a
-group of copies shares more sketches with them than they do with each
-other), linked documents are joined into classes (minimum labels with
-pointer jumping), and *classes* that still share a bucket are compared: the
-first and last member of each with its neighbours by length and with the
-shortest, until a round adds no link. The pairs so far grow with a bucket's
-members, not with their square. What is left, members of one bucket in
-different classes, is then compared in full: buckets are cut into blocks of
-members, and each pair of blocks is one group of bounded size, where a pair
-is looked at in the first sketch it shares, counted (common items bound the
-alignment from above) and aligned only if the count allows a link. Candidates of very
-different length cannot reach the similarity and are not aligned.
+Every pair of candidates ends inside one class or is refuted. Each bucket
+has a centre, the member that is in most buckets (the original of a group of
+copies shares more sketches with them than they do with each other). First
+each row is aligned with one anchor alone, the centre of its largest bucket,
+and linked documents are joined into classes (minimum labels with pointer
+jumping). In ``ROUNDS`` further rounds (fewer where one finds no
+link) each row that is not yet in the class of one of its buckets' centres is
+aligned with one such centre. So a round has at most one pair a row, however
+many sketches rows share; rounds only spare the full comparison work.
+What is left, members of one bucket in different classes, is compared
+in full: the pair of a bucket of two by alignment; larger buckets are cut
+into blocks of members, and each pair of blocks is one group of bounded
+size, where a pair is looked at in the first sketch it shares, counted
+(common items bound the alignment from above) and aligned only if the count
+allows a link. Candidates of very different length cannot reach the
+similarity and are not aligned. Texts are shuffled once, to become the item
+sequences of the rows that share a sketch; pairs and blocks read those.
 
 Edge cases: null and empty texts are one class of copies; texts of fewer
 than five words are near-duplicates only if equal; rows that repeat an id
@@ -44,7 +47,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cargolens.llm.common import MULT, TextBlock, materialise, mix64, slices, trimmed, utf8_parts
@@ -53,6 +56,8 @@ WORDS_PER_KMER = 5
 SHORT = 8              # k-mers up to which a document also gets the short sketches
 SLICE_BYTES = 2 << 20
 BLOCK = 256            # members of a bucket that are compared with as many at once
+ROUNDS = 2             # rounds of one pair a row after the first
+BLOCK_ITEMS = 1 << 20  # items of a block, but for a longer single member
 
 
 def labelled_kmers(block: TextBlock, width: int = WORDS_PER_KMER) -> tuple[np.ndarray, np.ndarray]:
@@ -162,21 +167,35 @@ def aligned(a: np.ndarray, b: np.ndarray, threshold: float) -> float:
     return m / (len(a) + len(b) - m) if m >= least else 0.0
 
 
+def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(row, sketches, text) -> row, sketches, items."""
+    for batch in batches:
+        data, off = utf8_parts(batch.column(2))
+        for lo, hi in slices(off, SLICE_BYTES):
+            items, at = labelled_kmers(TextBlock(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]))
+            raw = memoryview(items.astype("<u8").tobytes())
+            own = [raw[8 * i:8 * j] for i, j in zip(at[:-1].tolist(), at[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo),
+                                              pa.array(own, pa.binary())], names=["row", "sketches", "items"])
+
+
+def _item_lists(col) -> list[np.ndarray]:
+    data, off = utf8_parts(col)
+    items, at = data.view("<u8"), (off // 8).tolist()
+    return [items[i:j] for i, j in zip(at[:-1], at[1:])]
+
+
 def _verified(threshold: float):
+    """(a, b, items of a, items of b) -> the similar pairs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            da, oa = utf8_parts(batch.column(2))
-            db, ob = utf8_parts(batch.column(3))
-            for lo, hi in slices(oa + ob, SLICE_BYTES):
-                ia, ka = labelled_kmers(TextBlock(da[oa[lo]:oa[hi]], oa[lo:hi + 1] - oa[lo]))
-                ib, kb = labelled_kmers(TextBlock(db[ob[lo]:ob[hi]], ob[lo:hi + 1] - ob[lo]))
-                ok = [aligned(ia[ka[x]:ka[x + 1]], ib[kb[x]:kb[x + 1]], threshold) >= threshold for x in range(hi - lo)]
-                yield pa.RecordBatch.from_arrays([batch.column(c).slice(lo, hi - lo).filter(pa.array(ok)) for c in (0, 1)], names=["a", "b"])
+            ok = [aligned(x, y, threshold) >= threshold for x, y in zip(_item_lists(batch.column(2)), _item_lists(batch.column(3)))]
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(ok, pa.bool_())) for c in (0, 1)], names=["a", "b"])
     return run
 
 
 def _blocks_compared(threshold: float):
-    """Arrow group mapper over (sk, x, y, block, row, label, sketches, text),
+    """Arrow group mapper over (sk, x, y, block, row, label, sketches, items),
     members of the blocks x and y of one bucket: links that join their
     classes."""
     def run(table: pa.Table) -> pa.Table:
@@ -190,11 +209,7 @@ def _blocks_compared(threshold: float):
         held = np.zeros((len(own), wide), bool)
         for i, v in enumerate(own):
             sketch[i, :len(v)], held[i, :len(v)] = v, True
-        data, off = utf8_parts(table["text"])
-        items, at = [], []
-        for lo, hi in slices(off, SLICE_BYTES):
-            found, ko = labelled_kmers(TextBlock(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]))
-            items += [found[ko[i]:ko[i + 1]] for i in range(hi - lo)]
+        items, at = _item_lists(table["items"]), []
         n = np.array([len(v) for v in items])
         left, right = np.flatnonzero(block == x), np.flatnonzero(block == y)
         for a in left.tolist():
@@ -247,83 +262,61 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, sketches: int = 28,
     exact = rows.groupBy("w1", "w2").agg(F.min("row").alias("node"))
     firsts = rows.join(exact.select(F.col("node").alias("row")), "row").where(F.size("sketches") > 0)
     seen = firsts.select("row", "n", F.explode("sketches").alias("sk"))
-    shared = seen.groupBy("sk").agg(F.min(F.struct("row", "n")).alias("lo"), F.max(F.struct("row", "n")).alias("hi"),
-                                    F.count(F.lit(1)).alias("size")).where(F.col("lo.row") != F.col("hi.row"))
+    shared = seen.groupBy("sk").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = materialise(seen.join(shared, "sk"), "near-members")
-    wide = members.where("size > 3")            # up to three members, the ends meet everyone
+    cover = members.groupBy("row").agg(F.count(F.lit(1)).alias("cover"))
+    centre = members.join(cover, "row").groupBy("sk").agg(F.max(F.struct("cover", "row", "n")).alias("c"))
+    placed = materialise(members.join(centre, "sk").select(
+        "sk", "row", "n", "size", F.col("c.row").alias("centre"), F.col("c.n").alias("centre_n")), "near-placed")
 
-    def similar_length(x, y):
-        return F.least(x, y) >= F.greatest(x, y) * F.lit(threshold)
+    whose = F.struct("id", "th")                # rows equal in both are copies
+    asked = rows.join(placed.select("row").distinct(), "row", "left_semi").select("row", "sketches", whose.alias("k"))
+    texts = src.select(whose.alias("k"), "text").join(asked.select("k"), "k", "left_semi").dropDuplicates(["k"])
+    items = materialise(asked.join(texts, "k").select("row", "sketches", "text").mapInArrow(
+        trimmed(_sequences), "row long, sketches array<long>, items binary"), "near-items")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        place = rows.select("row", "id", "th")
-        p = pairs.join(place.select(F.col("row").alias("a"), F.col("id").alias("ida"), F.col("th").alias("tha")), "a")
-        p = p.join(place.select(F.col("row").alias("b"), F.col("id").alias("idb"), F.col("th").alias("thb")), "b")
-        ta = src.select(F.xxhash64("id", "th").alias("ka"), F.col("text").alias("ta"))
-        tb = src.select(F.xxhash64("id", "th").alias("kb"), F.col("text").alias("tb"))
-        p = p.select("a", "b", F.xxhash64("ida", "tha").alias("ka"), F.xxhash64("idb", "thb").alias("kb"))
-        return (p.join(ta, "ka").join(tb, "kb").select("a", "b", "ta", "tb")
-                .mapInArrow(trimmed(_verified(threshold)), "a long, b long").distinct())
-
-    def centred(df: DataFrame) -> DataFrame:
-        """(row, n, o): each member and the member of its bucket that is in most buckets."""
-        cover = df.groupBy("row").agg(F.count(F.lit(1)).alias("cover"))
-        centre = df.join(cover, "row").groupBy("sk").agg(F.max(F.struct("cover", "row", "n")).alias("c"))
-        return df.join(centre, "sk").select("row", "n", F.struct("c.row", "c.n").alias("o"))
-
-    def paired(sides: DataFrame) -> DataFrame:
-        return (sides.where((F.col("row") != F.col("o.row")) & similar_length(F.col("n"), F.col("o.n")))
-                .select(F.least("row", "o.row").alias("a"), F.greatest("row", "o.row").alias("b")).distinct())
-
-    ends = members.select("row", "n", F.explode(F.array("lo", "hi")).alias("o"))
-    tested = materialise(paired(ends.union(centred(wide))), "near-pairs")
-    links = materialise(verified(tested), "near-verified")
-
-    def named_by(labels: DataFrame) -> DataFrame:
-        return wide.select("sk", "row", "n").join(labels.withColumnRenamed("node", "row"), "row", "left").select(
-            "sk", "row", "n", F.coalesce("label", "row").alias("label"))
-
-    def rest(labels: DataFrame) -> DataFrame:
-        """Links among the members of one bucket that are in different classes: every such pair."""
-        named = materialise(named_by(labels), "near-named")
-        several = named.groupBy("sk").agg(F.min("label").alias("x"), F.max("label").alias("y"),
-                                          F.count(F.lit(1)).alias("size")).where("x <> y").select("sk", "size")
-        open_ = materialise(named.join(several, "sk"), "near-open")
-        cells = (open_.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("long"))
-                 .withColumn("block", F.pmod(F.xxhash64("row"), "blocks"))
-                 .select("sk", "row", "label", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("o"))
-                 .select("sk", F.least("block", "o").alias("x"), F.greatest("block", "o").alias("y"), "block", "row", "label"))
-        asked = rows.join(cells.select("row").distinct(), "row", "left_semi").select("row", "sketches", F.xxhash64("id", "th").alias("k"))
-        texts = src.select(F.xxhash64("id", "th").alias("k"), "text").join(asked.select("k"), "k", "left_semi").dropDuplicates(["k"])
-        body = materialise(asked.join(texts, "k").drop("k"), "near-texts")
-        found = (cells.join(body, "row").groupBy("sk", "x", "y")
-                 .applyInArrow(_blocks_compared(threshold), "a long, b long"))
-        return materialise(found.distinct(), "near-verified")
-
-    while True:
-        labels = connected(links)
-        named = named_by(labels)
-        groups = named.groupBy("sk", "label").agg(F.min(F.struct("row", "n")).alias("lo"), F.max(F.struct("row", "n")).alias("hi"))
-        several = groups.groupBy("sk").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("sk")
-        open_ = materialise(groups.join(several, "sk"), "near-open")
-        reps = open_.select("sk", "label", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("p"))
-        by_length = Window.partitionBy("sk").orderBy("p.n", "p.row")
-        mate = F.struct("label", "p")
-        near = reps.select("label", "p", F.lead(mate, 1).over(by_length).alias("x"), F.lead(mate, 2).over(by_length).alias("y"),
-                           F.first(mate).over(by_length).alias("z"))
-        near = near.select("label", "p", F.explode(F.array("x", "y", "z")).alias("o"))
-        more = (near.where((F.col("label") != F.col("o.label")) & similar_length(F.col("p.n"), F.col("o.p.n")))
-                .select(F.least("p.row", "o.p.row").alias("a"), F.greatest("p.row", "o.p.row").alias("b")).distinct()
-                .join(tested, ["a", "b"], "left_anti"))
-        more = materialise(more, "near-pairs")
-        if more.isEmpty():
-            break
-        found = materialise(verified(more), "near-verified")
+        first = items.select(F.col("row").alias("a"), F.col("items").alias("ia"))
+        second = items.select(F.col("row").alias("b"), F.col("items").alias("ib"))
+        return materialise(pairs.join(first, "a").join(second, "b").select("a", "b", "ia", "ib").mapInArrow(
+            trimmed(_verified(threshold)), "a long, b long"), "near-verified")
+
+    a, b = F.least("row", "centre").alias("a"), F.greatest("row", "centre").alias("b")
+    meets = (F.col("row") != F.col("centre")) & (
+        F.least("n", "centre_n") >= F.greatest("n", "centre_n") * F.lit(threshold))
+    anchor = F.max_by("centre", F.struct("size", "sk")).alias("centre")
+    tested = materialise(placed.where(meets).groupBy("row").agg(anchor).select(a, b).distinct(), "near-pairs")
+    links = verified(tested)
+
+    def open_pairs(labels: DataFrame) -> DataFrame:
+        """Members that are not in the class of their bucket's centre, untested."""
+        own, other = labels.select(F.col("node").alias("row"), "label"), labels.select(F.col("node").alias("centre"), F.col("label").alias("goal"))
+        named = (placed.where(meets).join(own, "row", "left").join(other, "centre", "left")
+                 .withColumn("label", F.coalesce("label", "row")).withColumn("goal", F.coalesce("goal", "centre")))
+        return named.where("label <> goal").select("row", "centre", "size", "sk", a, b).join(tested, ["a", "b"], "left_anti")
+
+    labels = connected(links)
+    for _ in range(ROUNDS):
+        more = materialise(open_pairs(labels).groupBy("row").agg(anchor).select(a, b).distinct(), "near-pairs")
+        found = verified(more)
         tested = tested.union(more)
         if found.isEmpty():
             break
         links = links.union(found)
-    last = rest(labels)
+        labels = connected(links)
+
+    # The rest, in full: the pair of a bucket of two, and blocks of the larger buckets.
+    couples = verified(open_pairs(labels).where("size = 2").select("a", "b").distinct())
+    named = materialise(placed.where("size > 2").join(labels.withColumnRenamed("node", "row"), "row", "left").select(
+        "sk", "row", "n", F.coalesce("label", "row").alias("label")), "near-named")
+    several = named.groupBy("sk").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_ITEMS)).alias("blocks")).where("x <> y").select("sk", "blocks")
+    cells = (named.join(several, "sk").withColumn("block", F.pmod(F.xxhash64("row"), "blocks"))
+             .select("sk", "row", "label", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("o"))
+             .select("sk", F.least("block", "o").alias("x"), F.greatest("block", "o").alias("y"), "block", "row", "label"))
+    blocks = materialise(cells.join(items, "row").groupBy("sk", "x", "y").applyInArrow(
+        _blocks_compared(threshold), "a long, b long").distinct(), "near-verified")
+    last = couples.union(blocks)
     if not last.isEmpty():
         links = links.union(last)
         labels = connected(links)
@@ -340,10 +333,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, sketches: int = 28,
 
 
 def keep_one(docs: DataFrame, **params) -> DataFrame:
-    """One row of ``docs`` (its own columns) for each class."""
-    kept = near_duplicates(docs, **params).where("kept").select(
-        F.xxhash64("doc_id", "th").alias("_k"))
-    key = F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    first = F.row_number().over(Window.partitionBy("_k").orderBy("doc_id"))
-    return (docs.withColumn("_k", key).withColumn("_nth", first).where("_nth = 1")
-            .join(kept, "_k", "left_semi").select(*docs.columns))
+    """One row of ``docs`` (its own columns) for each class. The columns
+    travel as one struct, so none can clash with the helpers."""
+    kept = near_duplicates(docs, **params).where("kept").select(F.struct(F.col("doc_id").alias("id"), "th").alias("key"))
+    key = F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("th"))
+    own = docs.select(key.alias("key"), F.struct("*").alias("own"))
+    return own.dropDuplicates(["key"]).join(kept, "key", "left_semi").select("own.*")
