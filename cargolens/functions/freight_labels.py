@@ -18,6 +18,12 @@ FREIGHT_RANGES = [
 ABOVE_LABEL = "acima de R$ 10.000,00"
 
 
+# Deadline buckets, as the highest deadline in days and its label, in order.
+DEADLINE_BUCKETS = [(5, ">0"), (10, ">5"), (15, ">10"), (20, ">15"), (25, ">20"), (30, ">25"), (35, ">30"), (40, ">35"),
+                    (45, ">40"), (60, ">45")]
+LATEST_BUCKET = ">60"
+
+
 def freight_range(value: Column) -> Column:
     """Null stays null, 0 is free, then the paid ranges.
 
@@ -31,15 +37,10 @@ def freight_range(value: Column) -> Column:
 
 
 def deadline_bucket(deadline: Column) -> Column:
-    """<=5 (and <=0) is '>0', then steps of 5 up to 45, <=60 '>45', else '>60'.
-
-    Built from the rule instead of a literal table: for 5 < d <= 45 the
-    label is '>' + (ceil(d / 5) * 5 - 5).
-    """
+    """The first bucket whose bound the deadline does not pass (also for
+    deadlines of 0 or less)."""
     d = deadline.try_cast("double")
-    step = (F.ceil(d / 5) * 5 - 5).cast("bigint").cast("string")
-    return (F.when(d.isNull(), F.lit(None).cast("string"))
-            .when(d <= 5, F.lit(">0"))
-            .when(d <= 45, F.concat(F.lit(">"), step))
-            .when(d <= 60, F.lit(">45"))
-            .otherwise(F.lit(">60")))
+    expr = F.when(d.isNull(), F.lit(None).cast("string"))
+    for bound, label in DEADLINE_BUCKETS:
+        expr = expr.when(d <= bound, F.lit(label))
+    return expr.otherwise(F.lit(LATEST_BUCKET))

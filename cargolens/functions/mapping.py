@@ -10,7 +10,7 @@ scan as pushed filters.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,7 +74,8 @@ def regex_clean(raw: Column, options: Mapping, spark=None) -> Column:
     """Every match replaced by ``map[match]`` when the map has it (a null
     value → ''), else kept. Flags default to ``g`` (all matches; without it
     only the first); ``i``, ``m``, ``s`` become inline flags. An empty or
-    invalid pattern returns the text unchanged; null stays null."""
+    invalid pattern returns the text unchanged, and so does one that matches
+    the empty string somewhere in the text; null stays null."""
     regex = str(options.get("regex") or "")
     flags = str(options.get("flags") if options.get("flags") is not None else "g")
     mp = options.get("map") if isinstance(options.get("map"), Mapping) else {}
@@ -99,7 +100,8 @@ def regex_clean(raw: Column, options: Mapping, spark=None) -> Column:
     joined = F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(mapped), F.lit(1))), F.try_element_at(pieces, F.lit(1)),
                          lambda acc, i: F.when(i <= F.size(mapped), F.concat(acc, F.try_element_at(mapped, i),
                                                                           F.try_element_at(pieces, i + 1))).otherwise(acc))
-    return F.when(s.isNull(), _null()).when(F.size(matches) == 0, s).otherwise(joined)
+    empty = F.exists(F.regexp_extract_all(s, F.lit(pattern), 0), lambda x: x == "")
+    return F.when(s.isNull(), _null()).when(empty | (F.size(matches) == 0), s).otherwise(joined)
 
 
 # --- P4, P5, P6, P8 -----------------------------------------------------------------
@@ -310,19 +312,22 @@ def _looks_like_column(s: str) -> bool:
     return bool(s) and not s.startswith("/") and "{" not in s and "," not in s and "??" not in s
 
 
-def source_columns(fields: Mapping) -> list[str]:
-    """The source columns a mapping needs (for a JDBC column list; for
-    DataFrames Catalyst prunes the rest anyway)."""
+def source_columns(fields: Mapping, available: Sequence[str] | None = None) -> list[str]:
+    """The source columns a mapping needs, in order of first use (for a
+    JDBC column list; for DataFrames Catalyst prunes the rest anyway). A
+    comma-separated list (P10) names several; with ``available`` unknown
+    columns, which read as null, are left out."""
     out: list[str] = []
 
     def add(c):
         c = (c or "").strip()
-        if c and c not in out:
+        if c and c not in out and (available is None or c in available):
             out.append(c)
 
     for v in (fields or {}).values():
         if isinstance(v, str):
-            add(v)
+            for c in v.split(","):
+                add(c)
             continue
         if not isinstance(v, Mapping):
             continue

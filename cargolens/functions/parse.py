@@ -163,6 +163,11 @@ def money_2(c: Column) -> Column:
     return half_up(n, 2)
 
 
+def unit_price(unit: Column, total: Column, quantity: Column) -> Column:
+    """The unit price, else total ÷ quantity (null for a quantity of 0)."""
+    return F.coalesce(unit, F.try_divide(total, F.when(quantity != 0, quantity)))
+
+
 def installments(c: Column) -> Column:
     """Default 1, floor, at least 1."""
     n = finite(F.when(ws_trim(c.cast("string")) != "", c.cast("string").try_cast("double")))

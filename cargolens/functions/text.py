@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,9 +13,21 @@ from cargolens.functions.parse import ws_trim
 BR_UFS = ["AC", "AL", "AP", "AM", "BA", "CE", "DF", "ES", "GO", "MA", "MT", "MS", "MG", "PA",
           "PB", "PR", "PE", "PI", "RJ", "RN", "RS", "RO", "RR", "SC", "SP", "SE", "TO"]
 
-# Accented letters and their plain forms (used by the category key, N25).
-ACCENTED = "áàâãäåéèêëíìîïóòôõöúùûüçñýÿ"
-PLAIN = "aaaaaaeeeeiiiiooooouuuucnyy"
+
+def _plain_letters() -> tuple[str, str]:
+    """Lower-case letters that decompose into an ASCII letter and marks, and
+    those letters (Latin blocks of the Unicode tables)."""
+    found = {}
+    for point in [*range(0xC0, 0x250), *range(0x1E00, 0x1F00)]:
+        base = unicodedata.normalize("NFD", chr(point))[0]
+        if base != chr(point) and base.isascii() and base.islower():
+            found[chr(point)] = base
+    return "".join(found), "".join(found.values())
+
+
+MARKED_LETTERS, PLAIN_LETTERS = _plain_letters()
+#: combining marks, and the spacing ones that count as diacritics
+MARKS = r"[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe20-\ufe2f]+|[\^`\u00a8\u00af\u00b4\u00b7\u00b8]"
 
 
 def brazilian_state(c: Column) -> Column:
@@ -111,9 +125,10 @@ def internal_code_variants(c: Column) -> Column:
 
 
 def category_key(c: Column) -> Column:
-    """Lower, accents removed, every run of non-alphanumerics → one space."""
+    """Lower, diacritics removed (composed letters and combining marks
+    alike), every run of non-alphanumerics → one space."""
     s = F.lower(ws_trim(F.coalesce(c, F.lit(""))))
-    s = F.translate(s, ACCENTED, PLAIN)
+    s = F.regexp_replace(F.translate(s, MARKED_LETTERS, PLAIN_LETTERS), MARKS, "")
     s = F.regexp_replace(s, r"[^a-z0-9]+", " ")
     return F.trim(s)
 

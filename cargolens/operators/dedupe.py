@@ -61,11 +61,11 @@ def sku_conflicts(df: DataFrame, sku_col: str, ext_col: str, order: Sequence) ->
     ext = F.col(ext_col)
     owners = df.groupBy(sku_col).agg(F.min(F.struct(o.alias("o"), ext.alias("e"))).alias("_w"),
                                      (F.min(ext) != F.max(ext)).alias("_several"))
-    owner = owners.select(F.col(sku_col).alias("_sku"), F.col("_w.e").alias("_owner"), "_several")
+    owner = owners.select(F.col(sku_col).alias("_owned"), F.col("_w.e").alias("_owner"), "_several")
     last = last_wins(df, [sku_col, ext_col], order)
-    kept = last.join(owner.drop("_several"), (F.col(sku_col) == F.col("_sku")) & (ext == F.col("_owner"))).select(*df.columns)
+    kept = last.join(owner.drop("_several"), (F.col(sku_col) == F.col("_owned")) & (ext == F.col("_owner"))).select(*df.columns)
     contested = owner.where("_several").drop("_several")
-    conflicts = df.join(contested, F.col(sku_col) == F.col("_sku")).where(ext != F.col("_owner")).select(*df.columns)
+    conflicts = df.join(contested, F.col(sku_col) == F.col("_owned")).where(ext != F.col("_owner")).select(*df.columns)
     return kept, conflicts
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cargolens.functions.dates import parse_timestamp
+from cargolens.functions.parse import unit_price
 from cargolens.functions.text import join_non_blank, split_store_reference, tax_id_any
 from cargolens.sources.payload import pick_array, pick_number, pick_object, pick_string
 
@@ -149,7 +150,7 @@ def anymarket_item_fields(item: Column) -> dict[str, Column]:
         "sku_id": F.coalesce(pick_string(item, "$.sku.id"), pick_string(item, "$.sku.partnerId"),
                              pick_string(item, "$.sku.externalId")),
         "ean": pick_string(item, "$.sku.ean"), "title": pick_string(item, "$.sku.title"),
-        "quantity": qty, "unit_price": F.coalesce(unit, F.try_divide(total, F.when(qty != 0, qty))),
+        "quantity": qty, "unit_price": unit_price(unit, total, qty),
         "total": total, "store_reference": store, "external_reference": ext,
     }
 
@@ -192,7 +193,7 @@ def product_skus(df: DataFrame, obj_col: str = "obj", keep: tuple = ()) -> DataF
 def freight_quote_rows(df: DataFrame, obj_col: str = "obj") -> dict[str, DataFrame]:
     """P17 (quotes): the quote row, its delivery options
     (``opcoesEntrega[]``) and its cart items (``carrinho.produto[]``), each
-    with its position."""
+    with its position; elements that are no objects are no rows."""
     v = F.col(obj_col)
     qid = pick_string(v, "$.retorno.idCotacao")
     quote = df.select(qid.alias("quote_id"), pick_string(v, "$.retorno.plataforma").alias("platform"),
@@ -200,7 +201,8 @@ def freight_quote_rows(df: DataFrame, obj_col: str = "obj") -> dict[str, DataFra
                       pick_string(v, "$.retorno.destino.uf").alias("destination_state"),
                       pick_string(v, "$.dadosEntrada.canal").alias("channel"),
                       pick_number(v, "$.dadosEntrada.carrinho.valorNF").alias("invoice_value"))
-    opts = df.select(qid.alias("quote_id"), F.posexplode(pick_array(v, "$.opcoesEntrega")).alias("line_index", "o"))
+    is_object = lambda x: F.schema_of_variant(F.col(x)).startswith("OBJECT")
+    opts = df.select(qid.alias("quote_id"), F.posexplode(pick_array(v, "$.opcoesEntrega")).alias("line_index", "o")).where(is_object("o"))
     o = F.col("o")
     options = opts.select("quote_id", "line_index", pick_number(o, "$.freteCobrar").alias("shipping_value"),
                           pick_number(o, "$.freteReal").alias("real_value"),
@@ -208,7 +210,7 @@ def freight_quote_rows(df: DataFrame, obj_col: str = "obj") -> dict[str, DataFra
                           pick_number(o, "$.prazoEntrega.prazoTransportadora").cast("int").alias("carrier_deadline"),
                           pick_string(o, "$.dadosFrete.transportadoraNome").alias("carrier"))
     its = df.select(qid.alias("quote_id"),
-                    F.posexplode(pick_array(v, "$.dadosEntrada.carrinho.produto")).alias("line_index", "p"))
+                    F.posexplode(pick_array(v, "$.dadosEntrada.carrinho.produto")).alias("line_index", "p")).where(is_object("p"))
     p = F.col("p")
     items = its.select("quote_id", "line_index", pick_string(p, "$.sku").alias("partner_sku"),
                        pick_string(p, "$.idSku").alias("id_sku"), pick_number(p, "$.qt").alias("quantity"),
@@ -222,7 +224,8 @@ def freight_order_items(df: DataFrame, obj_col: str = "obj") -> DataFrame:
     v = F.col(obj_col)
     envios = pick_array(v, "$.envio")
     nested = F.transform(envios, lambda e, i: F.transform(
-        pick_array(e, "$.produtos"), lambda p: F.struct(i.alias("envio_index"), p.alias("p"))))
+        F.filter(pick_array(e, "$.produtos"), lambda p: F.schema_of_variant(p).startswith("OBJECT")),
+        lambda p: F.struct(i.alias("envio_index"), p.alias("p"))))
     ex = df.select(pick_string(v, "$._id").alias("freight_order_id"),
                    F.posexplode(F.flatten(nested)).alias("line_index", "x"))
     p = F.col("x.p")

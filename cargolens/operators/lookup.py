@@ -46,8 +46,7 @@ def header_item_join(headers: DataFrame, items: DataFrame, header_key: str, item
     """Items joined to their header on trimmed text keys; the first header
     per key wins; item columns override same-named header columns.
 
-    Returns (merged rows, orphan items). Raising when every item is an orphan
-    is left to the caller (it needs an action).
+    Returns (merged rows, orphan items); ``require_matches`` checks them.
     """
     h = headers.withColumn("_hk", F.trim(F.col(header_key).cast("string"))).where(F.col("_hk") != "")
     payload = [c for c in h.columns if c != "_hk"]
@@ -61,6 +60,14 @@ def header_item_join(headers: DataFrame, items: DataFrame, header_key: str, item
     return merged, orphans
 
 
+def require_matches(merged: DataFrame, items: DataFrame) -> DataFrame:
+    """Items without a single header are an error, not an empty result
+    (two actions that stop at the first row). Returns ``merged``."""
+    if merged.isEmpty() and not items.isEmpty():
+        raise ValueError("no item matches a header: check the header key and the item reference")
+    return merged
+
+
 def items_for_orders(items: DataFrame, orders: DataFrame, item_ref: str, order_key: str,
                      item_filter: Column | None = None) -> DataFrame:
     """Items of the fetched orders (a semi join, not IN-lists)."""
@@ -117,6 +124,77 @@ def cascade(df: DataFrame, steps: Sequence[tuple[Column, DataFrame]], id_col: st
     return out.withColumn(out_col, F.coalesce(*hits)).drop(*hits)
 
 
+def create_missing_products(items: DataFrame, products: DataFrame, order: Sequence[str], company_col: str = "company_id",
+                            id_col: str = "product_id") -> tuple[DataFrame, DataFrame]:
+    """Items → product by ecommerce id, else ean, else sku; an item that
+    no stored product and no product made by an earlier item matches makes a
+    new one. Returns (items with ``id_col``, new products).
+
+    ``items``: company, ``ecommerce_id, ean, sku, order_code, name,
+    unit_price``; ``products``: id, company, ``ecommerce_id, ean, sku``.
+    ``order`` is the arrival order, unique per item. The new product's sku is
+    the item's, else its ecommerce id, else its order code.
+
+    Which items make a product is settled in rounds. Unmatched items are first
+    reduced to their distinct keys (map-side), the earliest of each; one that
+    is the earliest on every key it has makes a product; those that share a key with it
+    are settled too; the rest go on. That is the result of going through the
+    items one by one, since a maker has no maker before it on any key. Ids go on from
+    the highest stored one in order of company and sku, so a rerun gives the same.
+    """
+    from cargolens.operators.running import dense_positions
+    from cargolens.session import write_once
+    keys = ("ecommerce_id", "ean", "sku")
+    text = lambda c: F.nullif(F.trim(F.col(c).cast("string")), F.lit(""))
+    arrival = F.struct(*order)
+
+    def keyed(c: str) -> Column:
+        return F.when(F.col(c).isNotNull(), F.to_json(F.struct(F.col(company_col).alias("a"), F.col(c).alias("b"))))
+
+    own = items.withColumn("_at", arrival)
+    for k in keys:
+        own = own.withColumn(f"_{k}", text(k))
+    own = own.withColumn("_sku", F.coalesce("_sku", "_ecommerce_id", text("order_code")))
+    stored = products.select(id_col, company_col, *[text(k).alias(k) for k in keys])
+    probe = {k: F.when(F.col(f"_{k}").isNotNull(), F.to_json(F.struct(F.col(company_col).alias("a"), F.col(f"_{k}").alias("b")))) for k in keys}
+    matched = own
+    for k in keys:
+        matched = lookup(matched, probe[k], keyed_dimension(stored, keyed(k), id_col), {id_col: f"_old_{k}"})
+    matched = write_once(matched, "product-items")
+    open_ = matched.where(F.coalesce(*[F.col(f"_old_{k}") for k in keys]).isNull())
+    fields = F.struct("_at", "name", "unit_price")
+    pool = write_once(open_.groupBy(company_col, *[f"_{k}" for k in keys]).agg(F.min(fields).alias("_f")).select(
+        company_col, *[F.col(f"_{k}").alias(k) for k in keys], "_f._at", "_f.name", "_f.unit_price"), "product-pool")
+    makers = None
+    while not pool.isEmpty():
+        first = pool
+        for k in keys:
+            low = pool.where(F.col(k).isNotNull()).groupBy(company_col, k).agg(F.min("_at").alias(f"_low_{k}"))
+            first = first.join(low, [company_col, k], "left")
+        leads = F.lit(True)
+        for k in keys:
+            leads = leads & (F.col(k).isNull() | (F.col("_at") == F.col(f"_low_{k}")))
+        new = write_once(first.where(leads).select(*pool.columns), "product-makers")
+        makers = new if makers is None else makers.unionByName(new)
+        rest = pool
+        for k in keys:
+            rest = rest.join(new.where(F.col(k).isNotNull()).select(company_col, k).distinct(), [company_col, k], "left_anti")
+        pool = write_once(rest.select(*pool.columns), "product-pool")
+    if makers is None:
+        makers = pool
+    top = products.agg(F.coalesce(F.max(id_col), F.lit(0))).first()[0]
+    numbered = dense_positions(makers, [F.col(company_col), F.col("sku"), F.col("_at")], "_n")
+    made = write_once(numbered.withColumn(id_col, (F.col("_n") + top + 1).cast(products.schema[id_col].dataType)), "product-new")
+    new_products = made.select(id_col, company_col, *keys, "name", F.col("unit_price").alias("value"))
+
+    out, hits = matched, []
+    for k in keys:                       # a product counts for the items after its maker only
+        dim = made.where(F.col(k).isNotNull()).select(keyed(k).alias("_key"), id_col, F.col("_at").alias("_made"))
+        out = lookup(out, probe[k], dim, {id_col: f"_new_{k}", "_made": f"_made_{k}"})
+        hits += [F.col(f"_old_{k}"), F.when(F.col(f"_made_{k}") <= F.col("_at"), F.col(f"_new_{k}"))]
+    return out.withColumn(id_col, F.coalesce(*hits)).select(*[c for c in items.columns if c != id_col], id_col), new_products
+
+
 def quote_item_keys(partner_sku: Column, id_sku: Column) -> tuple[Column, Column]:
     """J8 probe keys: (store reference when the sku is a bare integer > 1000,
     sku prefix else idSku)."""
@@ -190,6 +268,21 @@ def supervisor_link(reps: DataFrame, key_col: str, sup_key: Column, id_col: str,
     return out.drop("_sk")
 
 
+def supervisor_link_by_code(reps: DataFrame, code_col: str, sup_key: Column, id_col: str) -> DataFrame:
+    """J14, key = internal code: a supervisor is found by its code as stored
+    or without leading zeros (J5's variants, last rep wins), whichever form
+    the client sends."""
+    codes = reps.select(F.explode(internal_code_variants(F.col(code_col))).alias("_v"), F.col(id_col))
+    dim = keyed_dimension(codes, F.col("_v"), id_col)
+    return lookup(reps, F.trim(sup_key.cast("string")), dim, {id_col: "supervisor_id"})
+
+
+def supervisor_link_by_alias(reps: DataFrame, ext_col: str, aliases_col: str, sup_key: Column, id_col: str) -> DataFrame:
+    """J14, key = external id: a supervisor is found by its external id or by
+    any of its aliases (J4)."""
+    return lookup(reps, F.trim(sup_key.cast("string")), alias_dimension(reps, ext_col, aliases_col, id_col), {id_col: "supervisor_id"})
+
+
 def tenants_with_platform(companies: DataFrame, company_platforms: DataFrame, platforms: DataFrame,
                           slugs: Sequence[str], company_id: str = "company_id") -> DataFrame:
     """Companies linked to a platform whose slug is one of ``slugs``."""

@@ -29,11 +29,10 @@ def group_rows_into_orders(rows: DataFrame, key_col: str, item_order_col: str, s
 
 def order_total_from_lines(lines: DataFrame, key_col: str, qty_col: str, price_col: str) -> DataFrame:
     """A4: Σ int(qty) × round(price, 2) per order (duplicated lines count
-    twice); null when no line has both numbers."""
-    q = to_int_loose(F.col(qty_col).cast("string"))
-    p = half_up(to_number_loose(F.col(price_col).cast("string")), 2)
-    v = (q * p)
-    return lines.groupBy(key_col).agg(F.sum(v).alias("total_from_lines"))
+    twice), added as decimals; null when no line has both numbers."""
+    q = to_int_loose(F.col(qty_col).cast("string")).cast("decimal(18,0)")
+    p = half_up(to_number_loose(F.col(price_col).cast("string")), 2).try_cast("decimal(18,2)")
+    return lines.groupBy(key_col).agg(F.sum((q * p).cast("decimal(28,2)")).cast("double").alias("total_from_lines"))
 
 
 def shipment_summary(shipments: DataFrame, order_col: str, promised_col: str, delivered_col: str,

@@ -61,7 +61,7 @@ def prefix_sum_before(df: DataFrame, group_cols: Sequence[str], order: Sequence[
     cold_out = cold.withColumn(out_col, F.coalesce(F.sum(value_col).over(w), F.lit(0)))
     if hot is None:
         return cold_out
-    return cold_out.unionByName(_ranged_prefix_sum(hot, group_cols, order, value_col, out_col, num_ranges))
+    return cold_out.unionByName(ranged_prefix_sum(hot, group_cols, order, value_col, out_col, num_ranges))
 
 
 def _ranged(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column], num_ranges: int | None) -> DataFrame:
@@ -81,8 +81,11 @@ def _with_offsets(local: DataFrame, offsets: DataFrame, group_cols: Sequence[str
     return local.join(named, same & (F.col("_rid") == F.col("_krid"))).drop("_krid", *[f"_k{i}" for i in range(len(group_cols))])
 
 
-def _ranged_prefix_sum(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
-                       value_col: str, out_col: str, num_ranges: int | None) -> DataFrame:
+def ranged_prefix_sum(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column],
+                      value_col: str, out_col: str, num_ranges: int | None = None) -> DataFrame:
+    """Add ``out_col`` = Σ ``value_col`` over the earlier rows of the group, all
+    groups cut into ranges of (group, order): tasks are even however the rows
+    are spread over groups, at the price of one written copy."""
     ranged = _ranged(df, group_cols, order, num_ranges)
     w_local = Window.partitionBy(*group_cols, "_rid").orderBy(*order) \
         .rowsBetween(Window.unboundedPreceding, -1)
@@ -138,6 +141,19 @@ def row_number_within(df: DataFrame, group_cols: Sequence[str], order: Sequence[
     return out.withColumn(out_col, (F.col("_before") + 1).cast("int")).drop("_one", "_before")
 
 
+def dense_positions(df: DataFrame, order: Sequence[Column], out_col: str, num_ranges: int | None = None) -> DataFrame:
+    """Add ``out_col``, the 0-based position in ``order`` (unique) over the
+    whole table: ranges are numbered locally and shifted by the sizes of the
+    ranges before them (one row a range), so no task sorts the table."""
+    ranged = _ranged(df, [], order, num_ranges)
+    local = F.row_number().over(Window.partitionBy("_rid").orderBy(*order))
+    sizes = ranged.groupBy("_rid").agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.orderBy("_rid").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_rid", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    return (ranged.withColumn("_local", local).join(starts, "_rid")
+            .withColumn(out_col, F.col("_start") + F.col("_local") - 1).drop("_rid", "_local", "_start"))
+
+
 def cents(money: Column) -> Column:
     """N40 as whole cents."""
     return F.round(money_2(money.cast("string")) * 100).cast("bigint")

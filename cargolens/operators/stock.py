@@ -2,16 +2,20 @@
 (A7, I13, I14).
 
 J13 is a similarity join. It is evaluated without a cross join: candidate
-(carrier, term) pairs come from three exact equi-joins whose keys are
-derived from the strings, then every candidate is checked with the exact
-rule. The blocking is complete (no match is missed):
+(carrier, term) pairs come from exact equi-joins whose keys are derived from
+the strings, then every candidate is checked with the exact rule. The
+blocking is complete (no match is missed), and a string has a number of keys
+that is constant or linear in its length:
 
 * equality — the normalised strings themselves;
-* containment (shorter side ≥ 8 chars) — every substring of length ≥ 8 of
-  one side against the whole other side;
-* edit distance ≤ 2 — the symmetric-deletion neighbourhood: two strings
-  within distance k share a string obtained by deleting ≤ k characters
-  from each.
+* containment (shorter side ≥ 8 chars) — the shorter string's *rarest* 8-gram
+  over all strings of both sides must be among the longer one's 8-grams;
+* edit distance ≤ 2, both texts of 9 characters or more — an edit changes at
+  most three 3-grams, so the smallest common 3-gram, in order of rarity, is
+  among the seven rarest of either text;
+* edit distance ≤ d (1 or 2), short texts — a term is cut into d + 1
+  segments, one of which an edited carrier holds unchanged, moved by at most
+  d places; the keys carry the term's length, which differs by at most d.
 """
 
 from __future__ import annotations
@@ -20,37 +24,63 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MIN_CONTAIN = 8
+SHORT = 8               # texts up to this length are cut into segments
+PREFIX = 7              # rarest 3-grams of a longer text: two edits change at most six
 
 
 def norm_text(c: Column) -> Column:
     return F.lower(F.trim(c.cast("string")))
 
 
-def _deletions(s: Column, k: int = 2) -> Column:
-    """All strings made by deleting at most ``k`` (1 or 2) characters."""
+def _grams(s: Column, size: int = MIN_CONTAIN) -> Column:
+    """The distinct substrings of ``size`` characters (none of a shorter text)."""
+    starts = F.sequence(F.lit(1), F.greatest(F.length(s) - size + 1, F.lit(1)))
+    return F.when(F.length(s) >= size, F.array_distinct(F.transform(starts, lambda i: F.substring(s, i, size)))).otherwise(
+        F.array().cast("array<string>"))
+
+
+def _segment(i: Column, length: Column, edits: Column) -> tuple[Column, Column]:
+    """(0-based start, size) of segment ``i`` of a text cut into ``edits`` + 1 parts."""
+    size = F.floor(length / (edits + 1)).cast("int")
+    return i * size, F.when(i < edits, size).otherwise(length - edits * size)
+
+
+def _key(edits: Column, length: Column, i: Column, text: Column) -> Column:
+    return F.concat_ws(":", edits.cast("string"), length.cast("string"), i.cast("string"), text)
+
+
+def _segment_keys(s: Column) -> Column:
+    """Keys of an indexed text: its segments for one edit (where the longer
+    text may have at most 7 characters) and for two (from 8 on)."""
     n = F.length(s)
-    idx = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
-    del1 = F.transform(idx, lambda i: F.concat(F.substring(s, 1, i - 1), s.substr(i + 1, F.length(s))))
-    out = F.array_union(F.array(s), F.when(n > 0, del1).otherwise(F.array().cast("array<string>")))
-    if k >= 2:
-        # Two edits are only allowed when the longer string has ≥ 8 chars, so
-        # both have ≥ 6; shorter strings need the one-deletion keys only.
-        del2 = F.flatten(F.transform(idx, lambda i: F.transform(
-            F.sequence(i + 1, F.greatest(n, i + 1)),
-            lambda j: F.concat(F.substring(s, 1, i - 1), F.substring(s, i + 1, j - i - 1),
-                               s.substr(j + 1, F.length(s))))))
-        out = F.array_union(out, F.when(n >= 6, del2).otherwise(F.array().cast("array<string>")))
-    return out
-
-
-def _long_substrings(s: Column, min_len: int = MIN_CONTAIN) -> Column:
-    """Every substring of length ≥ ``min_len`` (empty when ``s`` is shorter)."""
+
+    def cut(edits: int) -> Column:
+        def one(i):
+            start, size = _segment(i, n, F.lit(edits))
+            return _key(F.lit(edits), n, i, F.substring(s, start + 1, size))
+        return F.transform(F.sequence(F.lit(0), F.lit(edits)), one)
+
+    none = F.array().cast("array<string>")
+    return F.concat(F.when((n >= 3) & (n <= 7), cut(1)).otherwise(none), F.when((n >= 6) & (n <= SHORT + 2), cut(2)).otherwise(none))
+
+
+def _probe_keys(s: Column) -> Column:
+    """Keys under which a text finds those within its allowed edits: for each
+    length in reach, each segment at each shift."""
     n = F.length(s)
-    starts = F.sequence(F.lit(1), F.greatest(n - min_len + 1, F.lit(1)))
-    subs = F.flatten(F.transform(starts, lambda i: F.transform(
-        F.sequence(F.lit(min_len), F.greatest(n - i + 1, F.lit(min_len))),
-        lambda ln: F.substring(s, i, ln))))
-    return F.when(n >= min_len, F.array_distinct(subs)).otherwise(F.array().cast("array<string>"))
+
+    def lengths(m):
+        edits = F.when(F.greatest(n, m) <= 7, F.lit(1)).otherwise(F.lit(2))
+
+        def parts(i):
+            start, size = _segment(i, m, edits)
+            places = F.filter(F.transform(F.sequence(-edits, edits), lambda d: start + d), lambda x: (x >= 0) & (x + size <= n))
+            return F.transform(places, lambda x: _key(edits, m, i, F.substring(s, x + 1, size)))
+        return F.flatten(F.transform(F.sequence(F.lit(0), edits), parts))
+
+    near = F.filter(F.sequence(n - 2, n + 2), lambda m: (m >= 3) & (F.greatest(n, m) >= 4) & (F.least(n, m) <= SHORT)
+                    & ((F.abs(m - n) <= 1) | (F.greatest(n, m) >= 8)))
+    return F.when((n >= 2) & (n <= SHORT + 2), F.array_distinct(F.flatten(F.transform(near, lengths)))).otherwise(F.array().cast("array<string>"))
 
 
 def carrier_matches(a: Column, b: Column) -> Column:
@@ -63,27 +93,33 @@ def carrier_matches(a: Column, b: Column) -> Column:
     return (a != "") & (b != "") & ((a == b) | contain | near)
 
 
-def _block_keys(s: Column, sub_kind: str, whole_kind: str) -> Column:
-    """Tagged blocking keys of one string: deletion variants (``d``), its
-    long substrings (``sub_kind``) and, where it is long enough to be
-    contained, the whole string (``whole_kind``)."""
-    def tagged(kind: str, keys: Column) -> Column:
-        return F.transform(keys, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("key")))
+def candidate_pairs(carriers: DataFrame, terms: DataFrame) -> DataFrame:
+    """``carriers(c)`` × ``terms(t)`` pairs that may match (a superset of the
+    matches, no cross join). Names that share common words meet only if the
+    rarest 8-gram of one is in the other or a whole segment fits."""
+    def keyed(keys: Column, equal: Column) -> Column:
+        return F.explode(F.concat(keys, F.array(F.concat(F.lit("="), equal)))).alias("key")
+
+    near = (carriers.select("c", keyed(_probe_keys(F.col("c")), F.col("c")))
+            .join(terms.select("t", keyed(_segment_keys(F.col("t")), F.col("t"))), "key").select("c", "t"))
 
-    whole = F.when(F.length(s) >= MIN_CONTAIN, F.array(s)).otherwise(F.array().cast("array<string>"))
-    return F.concat(tagged("d", _deletions(s)), tagged(sub_kind, _long_substrings(s)), tagged(whole_kind, whole))
+    def grams(size: int, least: int) -> tuple[DataFrame, DataFrame]:
+        """(c, g, n) and (t, g, n): grams of the texts of ``least`` characters
+        or more, with the number of texts that hold them."""
+        sides = [df.where(F.length(s) >= least).select(s, F.explode(_grams(F.col(s), size)).alias("g")) for df, s in ((carriers, "c"), (terms, "t"))]
+        counts = sides[0].select("g").union(sides[1].select("g")).groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+        return tuple(side.join(counts, "g") for side in sides)
 
+    def rarest(side: DataFrame, name: str, k: int) -> DataFrame:
+        """The ``k`` rarest grams of each text (a text has few, and they are its own)."""
+        ordered = side.groupBy(name).agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "g"))), 1, k).alias("r"))
+        return ordered.select(name, F.explode("r.g").alias("g"))
 
-def candidate_pairs(carriers: DataFrame, terms: DataFrame) -> DataFrame:
-    """``carriers(c)`` × ``terms(t)`` pairs that may match (a superset of the
-    matches, no cross join). Each side is expanded once into tagged keys and
-    the two meet in one equi-join on tag and key: deletions with deletions
-    (``d``), carrier substrings with whole terms (``c``), whole carriers with
-    term substrings (``t``). Names that only share a word never meet, as no
-    substring is held against a substring."""
-    ck = carriers.select("c", F.explode(_block_keys(F.col("c"), "c", "t")).alias("b")).select("c", "b.kind", "b.key")
-    tk = terms.select("t", F.explode(_block_keys(F.col("t"), "t", "c")).alias("b")).select("t", "b.kind", "b.key")
-    return ck.join(tk, ["kind", "key"]).select("c", "t").distinct()
+    cg, tg = grams(MIN_CONTAIN, MIN_CONTAIN)
+    held = rarest(cg, "c", 1).join(tg, "g").select("c", "t").union(rarest(tg, "t", 1).join(cg, "g").select("c", "t"))
+    c3, t3 = grams(3, SHORT + 1)
+    like = rarest(c3, "c", PREFIX).join(rarest(t3, "t", PREFIX), "g").where(F.abs(F.length("c") - F.length("t")) <= 2).select("c", "t")
+    return near.union(held).union(like).distinct()
 
 
 def operator_terms(operators: DataFrame, id_col: str = "operator_id", company_col: str = "company_id",
@@ -187,3 +223,34 @@ def reverse_cancelled(orders: DataFrame, stock: DataFrame, ledger: DataFrame) ->
     keep = ledger.join(cancelled.withColumn("_c", F.lit(True)), "type_id", "left")
     ledger2 = keep.where(~(is_cancelled_mov & F.col("_c").isNotNull())).drop("_c").select(*ledger.columns)
     return {"stock": stock2, "ledger": ledger2}
+
+
+def net_movements(events: DataFrame, stock: DataFrame, ledger: DataFrame, items: DataFrame, operators: DataFrame) -> dict[str, DataFrame]:
+    """I13/I14 over several states of an order in one run. ``events``: ``seq,
+    order_id, origin_id, carrier, status``, ``items``: ``seq, order_id,
+    product_id, quantity`` (the lines an event came with).
+
+    Going through an order's events in turn, a cancellation gives its stock
+    back and a live state moves it unless it is moved already. So only two
+    things matter per (order, stock): whether the run cancels the order at
+    all (then its stored movements go), and the live states after its last
+    cancellation, the first of which to reach that stock moves it. Both are
+    aggregates over the events; no order is gathered.
+    """
+    last = events.where(F.col("status") == "cancelado").groupBy("order_id").agg(F.max("seq").alias("_cut"))
+    given_back = reverse_cancelled(last.select("order_id", F.lit("cancelado").alias("status")), stock, ledger)
+    live = (events.where(F.col("status") != "cancelado").join(last, "order_id", "left")
+            .where(F.col("_cut").isNull() | (F.col("seq") > F.col("_cut"))).drop("_cut"))
+    each = lambda df: df.withColumn("_event", F.to_json(F.struct(F.col("order_id").alias("o"), F.col("seq").alias("s"))))
+    tried = apply_order_stock(
+        each(live).withColumnRenamed("order_id", "_order").withColumnRenamed("_event", "order_id"),
+        each(items).drop("order_id").withColumnRenamed("_event", "order_id"), given_back["stock"], ledger.limit(0), operators)["new_movements"]
+    parsed = tried.select("stock_id", "quantity", "type", F.get_json_object("type_id", "$.o").alias("type_id"),
+                          F.get_json_object("type_id", "$.s").cast("long").alias("seq"))
+    first = parsed.groupBy("stock_id", "type", "type_id").agg(F.min_by("quantity", "seq").alias("quantity"))
+    done = given_back["ledger"].where(F.col("type") == "order").select("stock_id", "type_id").distinct()
+    new = first.join(done, ["stock_id", "type_id"], "left_anti").select(*ledger.columns)
+    delta = new.groupBy("stock_id").agg(F.sum("quantity").alias("_d"))
+    stock2 = (given_back["stock"].join(delta, "stock_id", "left")
+              .withColumn("quantity", F.col("quantity") + F.coalesce(F.col("_d"), F.lit(0))).drop("_d"))
+    return {"stock": stock2, "ledger": given_back["ledger"].unionByName(new), "new_movements": new}

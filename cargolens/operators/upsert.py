@@ -11,28 +11,62 @@ the driver.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cargolens.operators.dedupe import first_wins, last_wins
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Equi join on ``keys`` where a null key meets a null key. ``right``'s
+    other columns must not clash with ``left``'s; the keys are those of
+    ``left`` (for a full outer join, of either side)."""
+    r = right.select(*[F.col(k).alias(f"_k{n}") for n, k in enumerate(keys)], *[c for c in right.columns if c not in keys])
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k{n}")) for n, k in enumerate(keys)])
+    j = left.join(r, same, how)
+    if how in ("left_anti", "left_semi"):
+        return j
+    if how == "full_outer":
+        for n, k in enumerate(keys):
+            j = j.withColumn(k, F.coalesce(F.col(k), F.col(f"_k{n}")))
+    return j.drop(*[f"_k{n}" for n in range(len(keys))])
+
+
+def _arrival(df: DataFrame, order: Sequence | None, keys: Sequence[str]) -> list:
+    """The given arrival order, else all other columns: any fixed order."""
+    return list(order) if order else [c for c in df.columns if c not in keys] or list(keys)
+
 
 def upsert(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
-           policy: dict[str, str] | None = None, default: str = "keep_old_when_null") -> DataFrame:
-    """Full outer join on ``keys``; per column policy:
+           policy: dict[str, str] | None = None, default: str = "keep_old_when_null",
+           order: Sequence | None = None) -> DataFrame:
+    """Full outer join on ``keys`` (null keys meet); per column policy:
 
     * ``keep_old_when_null`` (S5) — ``coalesce(new, old)``;
     * ``overwrite`` (S6) — the incoming value, even null, when the key came in;
     * ``keep_old`` — never touched by incoming rows (e.g. manual fields).
 
-    Output has the target's columns plus ``_action`` ('insert' / 'update' /
-    'keep') for counters.
+    Several incoming rows of one key apply one after the other in ``order``
+    (default: by all their columns): the last row's value is the new one, for
+    S5 columns the last that is not null. Output has the target's columns
+    plus ``_action`` ('insert' / 'update' / 'keep') for counters.
     """
     policy = policy or {}
     cols = [c for c in target.columns if c not in keys]
+    inc_cols = [c for c in cols if c in incoming.columns]
+    at = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"_o{n}") for n, c in enumerate(_arrival(incoming, order, keys))])
+
+    def newest(c: str) -> Column:
+        rule = policy.get(c, default)
+        known = F.lit(True) if rule == "overwrite" else F.col(c).isNotNull()
+        return F.max_by(F.col(c), F.when(known, at)).alias(f"_n_{c}")
+
     t = target.select(*keys, *[F.col(c).alias(f"_o_{c}") for c in cols]).withColumn("_t", F.lit(True))
-    inc_cols = set(incoming.columns)
-    i = incoming.select(*keys, *[F.col(c).alias(f"_n_{c}") for c in cols if c in inc_cols]).withColumn("_i", F.lit(True))
-    j = t.join(i, list(keys), "full_outer")
+    i = incoming.groupBy(*keys).agg(*[newest(c) for c in inc_cols], F.lit(True).alias("_i"))
+    j = null_safe_join(t, i, keys, "full_outer")
     out = []
     for c in cols:
         old = F.col(f"_o_{c}")
@@ -53,16 +87,21 @@ def upsert(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
     return j.select(*keys, *out, action.alias("_action"))
 
 
-def insert_if_absent(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Incoming rows whose key is not stored yet are appended."""
-    new = incoming.join(target.select(*keys), list(keys), "left_anti")
-    return target.unionByName(new.select(*target.columns))
+def insert_if_absent(target: DataFrame, incoming: DataFrame, keys: Sequence[str], order: Sequence | None = None) -> DataFrame:
+    """Incoming rows whose key (null keys included) is not stored yet are
+    appended, the first of each key in ``order`` (default: by all columns)."""
+    new = null_safe_join(incoming, target.select(*keys), keys, "left_anti")
+    return target.unionByName(first_wins(new, list(keys), _arrival(new, order, keys)).select(*target.columns))
 
 
-def only_insert(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows to insert, rows skipped because already present)."""
+def only_insert(target: DataFrame, incoming: DataFrame, keys: Sequence[str],
+                order: Sequence | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows to insert, the first of each new key; rows skipped because
+    their key is already present)."""
     tk = target.select(*keys).distinct()
-    return incoming.join(tk, list(keys), "left_anti"), incoming.join(tk, list(keys), "left_semi")
+    new = null_safe_join(incoming, tk, keys, "left_anti")
+    return (first_wins(new, list(keys), _arrival(new, order, keys)).select(*incoming.columns),
+            null_safe_join(incoming, tk, keys, "left_semi"))
 
 
 def replace_slices(table: DataFrame, fresh: DataFrame, slice_cols: Sequence[str],
@@ -73,15 +112,19 @@ def replace_slices(table: DataFrame, fresh: DataFrame, slice_cols: Sequence[str]
     touched = fresh.select(*slice_cols)
     if slices is not None:
         touched = touched.unionByName(slices.select(*slice_cols))
-    touched = touched.distinct()
-    kept = table.join(touched, list(slice_cols), "left_anti")
+    kept = null_safe_join(table, touched.distinct(), slice_cols, "left_anti")
     return kept.unionByName(fresh.select(*table.columns))
 
 
-def replace_children(items: DataFrame, new_items: DataFrame, parent_key: str) -> DataFrame:
-    """All stored children of the touched parents go; the new ones come in."""
-    touched = new_items.select(parent_key).distinct()
-    return items.join(touched, parent_key, "left_anti").unionByName(new_items.select(*items.columns))
+def replace_children(items: DataFrame, new_items: DataFrame, parent_key: str,
+                     touched_parents: DataFrame | None = None) -> DataFrame:
+    """All stored children of the touched parents go, also of those that
+    bring none (``touched_parents``); the new ones come in."""
+    touched = new_items.select(parent_key)
+    if touched_parents is not None:
+        touched = touched.unionByName(touched_parents.select(parent_key))
+    kept = null_safe_join(items, touched.distinct(), [parent_key], "left_anti")
+    return kept.unionByName(new_items.select(*items.columns))
 
 
 def delete_vanished_children(items: DataFrame, incoming: DataFrame, parent_key: str, ext_col: str,
@@ -124,14 +167,16 @@ def force_range_replace(orders: DataFrame, items: DataFrame, incoming_orders: Da
 
 
 def update_columns_from_values(target: DataFrame, updates: DataFrame, keys: Sequence[str],
-                               columns: Sequence[str], code_col: str | None = None) -> DataFrame:
+                               columns: Sequence[str], code_col: str | None = None, order: Sequence | None = None) -> DataFrame:
     """Set ``columns`` from an update list (left join on ``keys``); when
-    ``code_col`` is given only codes that parse as a number > 0 apply."""
+    ``code_col`` is given only codes that parse as a number > 0 apply. Of
+    several updates of one key the last in ``order`` (default: by the
+    columns) holds."""
     u = updates
     if code_col:
         n = F.trim(F.col(code_col).cast("string")).try_cast("double")
         u = u.where(n.isNotNull() & (n > 0))
-    u = u.select(*keys, *[F.col(c).alias(f"_u_{c}") for c in columns]).dropDuplicates(list(keys))
+    u = last_wins(u, list(keys), order or list(columns)).select(*keys, *[F.col(c).alias(f"_u_{c}") for c in columns])
     j = target.join(u.withColumn("_hit", F.lit(True)), list(keys), "left")
     for c in columns:
         j = j.withColumn(c, F.when(F.col("_hit").isNotNull(), F.col(f"_u_{c}")).otherwise(F.col(c)))

@@ -178,12 +178,26 @@ ALL_CONFIG = {**P1_CONFIG, **P2_CONFIG, **P3_CONFIG, **P4_CONFIG, **P5_CONFIG, *
 
 
 @query("p09_source_columns", oracle=f"""
-select c_custkey, c_name, c_nationkey, c_mktsegment, alt_name, phone_b from {DIRTY_CUSTOMER_SQL} c
+select c_custkey, c_name, c_nationkey, c_mktsegment, alt_name, phone_a, phone_b from {DIRTY_CUSTOMER_SQL} c
 """)
 def p09_source_columns(spark, sf_dir):
     d = _dirty_customer(Tables(spark, sf_dir))
-    needed = [c for c in mp.source_columns(ALL_CONFIG) if c in d.columns and c not in ("phone_a, phone_b",)]
-    return d.select(*needed)
+    return d.select(*mp.source_columns(ALL_CONFIG, available=d.columns))
+
+
+@query("p09_source_column_values", oracle=f"""
+with c as (select * from {DIRTY_CUSTOMER_SQL} x)
+select 'c_custkey' as column_name, count(c_custkey) as n_values from c union all select 'c_name', count(c_name) from c
+union all select 'c_nationkey', count(c_nationkey) from c union all select 'c_mktsegment', count(c_mktsegment) from c
+union all select 'alt_name', count(alt_name) from c union all select 'phone_a', count(phone_a) from c
+union all select 'phone_b', count(phone_b) from c union all select 'no_such_column', 0 union all select 'no_col', 0 union all select 'nope', 0
+""")
+def p09_source_column_values(spark, sf_dir):
+    """The whole set that the mapping needs, with the number of values of each column (0: unknown to the source)."""
+    d = _dirty_customer(Tables(spark, sf_dir))
+    needed = mp.source_columns(ALL_CONFIG)
+    counts = d.agg(*[(F.count(c) if c in d.columns else F.lit(0).cast("bigint")).alias(c) for c in needed])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_values")) for c in needed])).alias("r")).select("r.*")
 
 
 @query("p10_phones_from_csv", oracle=f"""

@@ -224,10 +224,10 @@ _customer_query("n24_internal_code_variants", ["{z}", "{k}", "000", "", None, "A
 # N25 ------------------------------------------------------------------------
 _customer_query("n25_category_key",
                 ["Eletrônicos & Acessórios", "  Ação--Aventura ", "CAMA, MESA e BANHO", "{s} / {n}", "", None,
-                 "Çà é", "Pão_de_Açúcar 2"],
+                 "Çà é", "Pão_de_Açúcar 2", "škoda ŽÅ", "cafe\u0301s a\u0303o", "Ệ-ŵ Ǻ"],
                 T.category_key,
-                f"trim(regexp_replace(translate(lower({ws("coalesce(raw, '')")}), "
-                f"'{T.ACCENTED}', '{T.PLAIN}'), '[^a-z0-9]+', ' ', 'g'))")
+                f"trim(regexp_replace(regexp_replace(strip_accents(lower({ws("coalesce(raw, '')")})), '[\u0300-\u036f]', '', 'g'), "
+                f"'[^a-z0-9]+', ' ', 'g'))")
 
 # N27 ------------------------------------------------------------------------
 _SO = "'^(\\d{4}-\\d{2}-\\d{2})\\s+(\\d{2}:\\d{2}:\\d{2})([+-])(\\d{2})(?::(\\d{2}))?$'"
@@ -406,4 +406,4 @@ def n38_unit_price_fallback(spark, sf_dir):
     unit = F.when(F.col("l_linenumber") == 3, F.lit(None).cast("double")).otherwise(
         F.col("l_extendedprice") / F.col("l_quantity"))
     return li.select("l_orderkey", "l_linenumber",
-                     F.coalesce(unit, F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))).alias("unit_price"))
+                     P.unit_price(unit, F.col("l_extendedprice"), F.col("l_quantity")).alias("unit_price"))

@@ -195,3 +195,116 @@ def i14_stock_reversal(spark, sf_dir):
     t = Tables(spark, sf_dir)
     r = sk.reverse_cancelled(orders_df(t), stock_df(t), ledger_df(t))
     return r["stock"].select("stock_id", "quantity")
+
+
+@query("i13_ledger", oracle=_APPLY_SQL + """
+select stock_id, quantity, type, type_id from ledger union all select stock_id, quantity, type, type_id from new
+""")
+def i13_ledger(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return sk.apply_order_stock(orders_df(t), items_df(t), stock_df(t), ledger_df(t), operators_df(t))["ledger"]
+
+
+@query("i13_order_carriers", oracle=_APPLY_SQL + """
+select ord.order_id, ord.origin_id, coalesce(ops.company_name, ord.carrier) as carrier, ord.status
+from ord left join res on res.order_id = ord.order_id left join ops on ops.company_id = res.logistic_company_id
+""")
+def i13_order_carriers(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return sk.apply_order_stock(orders_df(t), items_df(t), stock_df(t), ledger_df(t), operators_df(t))["orders"].select(
+        "order_id", "origin_id", "carrier", "status")
+
+
+@query("i14_reversed_ledger", oracle=f"""
+with {SQL_BINDINGS}
+select stock_id, quantity, type, type_id from ledger
+where type_id not in (select cast(order_id as varchar) from ord where status = 'cancelado')
+""")
+def i14_reversed_ledger(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return sk.reverse_cancelled(orders_df(t), stock_df(t), ledger_df(t))["ledger"]
+
+
+# Several states of an order in one run: as it came, cancelled (keys % 3 = 0),
+# live again with twice the quantity (keys % 6 = 0), once more (keys % 12 = 0).
+
+def _events(t):
+    o = orders_df(t).where(F.col("status") != "cancelado")
+    k = F.col("order_id")
+    state = lambda seq, status, kept: o.where(kept).select(F.lit(seq).alias("seq"), "order_id", "origin_id", "carrier", F.lit(status).alias("status"))
+    return state(1, "novo", F.lit(True)).unionByName(state(2, "cancelado", k % 3 == 0)).unionByName(state(3, "novo", k % 6 == 0)) \
+        .unionByName(state(4, "entregue", k % 12 == 0))
+
+
+def _event_items(t):
+    i = items_df(t)
+    k = F.col("order_id")
+    return i.withColumn("seq", F.lit(1)).unionByName(i.where(k % 6 == 0).withColumn("quantity", F.col("quantity") * 2).withColumn("seq", F.lit(3))) \
+        .unionByName(i.where(k % 12 == 0).withColumn("quantity", F.col("quantity") * 5).withColumn("seq", F.lit(4)))
+
+
+_NET_SQL = _APPLY_SQL.replace("new as (", "unused_new as (", 1).rsplit("delta as (", 1)[0].rstrip().rstrip(",") + """,
+kept as (select * from ledger where cast(type_id as bigint) % 3 <> 0 or type_id in (select cast(order_id as varchar) from ord where status = 'cancelado')),
+q2 as (select l_orderkey as order_id, l_partkey as product_id,
+  cast(sum(cast(greatest(0, floor(l_quantity * 0.9 * case when l_orderkey % 6 = 0 then 2 else 1 end)) as bigint)) as bigint) as quantity
+  from lineitem where l_linenumber <> 7 and greatest(0, floor(l_quantity * 0.9 * case when l_orderkey % 6 = 0 then 2 else 1 end)) > 0 group by 1, 2),
+new as (select stock2.stock_id, -q2.quantity as quantity, 'order' as type, cast(q2.order_id as varchar) as type_id
+  from q2 join res using (order_id) join stock2 using (origin_id, logistic_company_id, product_id)
+  where (q2.order_id % 3 <> 0 or q2.order_id % 6 = 0)
+    and (stock2.stock_id, cast(q2.order_id as varchar)) not in (select stock_id, type_id from kept)),
+final as (select * from kept union all select * from new),
+moved as (select stock_id, sum(quantity) as d from new group by 1),
+returned as (select stock_id, sum(abs(quantity)) as b from ledger where (stock_id, quantity, type_id) not in (select stock_id, quantity, type_id from kept) group by 1)
+"""
+
+
+@query("i14_net_ledger", oracle=_NET_SQL + "select stock_id, quantity, type, type_id from final")
+def i14_net_ledger(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return sk.net_movements(_events(t), stock_df(t), ledger_df(t), _event_items(t), operators_df(t))["ledger"]
+
+
+@query("i14_net_stock", oracle=_NET_SQL + """
+select stock2.stock_id, cast(stock2.quantity + coalesce(moved.d, 0) + coalesce(returned.b, 0) as bigint) as quantity
+from stock2 left join moved using (stock_id) left join returned using (stock_id)
+""")
+def i14_net_stock(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return sk.net_movements(_events(t), stock_df(t), ledger_df(t), _event_items(t), operators_df(t))["stock"].select("stock_id", "quantity")
+
+
+# Names of common words: operators share them with each other and with the carriers.
+
+_WORD_SQL = """(case {k} % 4 when 0 then 'Transportadora' when 1 then 'Expresso' when 2 then 'Rapido' else 'Transportes' end
+  || ' ' || case {k} % 5 when 0 then 'Nordeste' when 1 then 'Sul' when 2 then 'Rodoviario' when 3 then 'Cargas' else 'Logistica' end
+  || ' ' || case {k} % 3 when 0 then 'Brasil' when 1 then 'Ltda' else 'SA' end)"""
+
+
+def _shared_names(t):
+    word = F.expr(_WORD_SQL.format(k="s_suppkey"))
+    operators = t.supplier.select(F.col("s_suppkey").alias("operator_id"), (F.col("s_suppkey") + 1000).alias("company_id"), word.alias("company_name"),
+                                  F.concat(F.lit("op"), F.col("s_suppkey").cast("string")).alias("slug"),
+                                  F.array(F.concat(word, F.lit(" "), (F.col("s_suppkey") % 7).cast("string"))).alias("synonyms"))
+    name = F.expr(_WORD_SQL.format(k="(o_custkey + 1)"))
+    carrier = F.expr("case o_orderkey % 5 when 0 then n when 1 then substr(n, 3) when 2 then concat(upper(n), ' filial ', o_custkey % 11) "
+                     "when 3 then concat(substr(n, 1, 5), 'x', substr(n, 7)) else concat('op', o_custkey % 40) end")
+    carriers = t.orders.withColumn("n", name).select(carrier.alias("carrier"), (F.col("o_custkey") % 3).alias("origin_id"))
+    return carriers, operators
+
+
+@query("j13_shared_words", oracle=f"""
+with ops as (select s_suppkey as operator_id, 1000 + s_suppkey as company_id, {_WORD_SQL.format(k="s_suppkey")} as company_name from supplier),
+terms as (select distinct operator_id, company_id, t from (select operator_id, company_id, lower(company_name) as t from ops
+  union all select operator_id, company_id, 'op' || cast(operator_id as varchar) from ops
+  union all select operator_id, company_id, lower(company_name) || ' ' || cast(operator_id % 7 as varchar) from ops) x),
+n as (select *, {_WORD_SQL.format(k="(o_custkey + 1)")} as n from orders),
+car as (select distinct lower(trim(case o_orderkey % 5 when 0 then n when 1 then substr(n, 3) when 2 then upper(n) || ' filial ' || cast(o_custkey % 11 as varchar)
+  when 3 then substr(n, 1, 5) || 'x' || substr(n, 7) else 'op' || cast(o_custkey % 40 as varchar) end)) as c, o_custkey % 3 as origin_id from n),
+best as (select c as carrier_norm, origin_id, min(operator_id) as operator_id from car join terms on
+  (c = t or (least(length(c), length(t)) >= 8 and (contains(c, t) or contains(t, c)))
+   or (greatest(length(c), length(t)) >= 4 and levenshtein(c, t) <= case when greatest(length(c), length(t)) <= 7 then 1 else 2 end)) group by 1, 2)
+select best.carrier_norm, best.origin_id, best.operator_id, ops.company_id, ops.company_name from best join ops using (operator_id)
+""")
+def j13_shared_words(spark, sf_dir):
+    carriers, operators = _shared_names(Tables(spark, sf_dir))
+    return sk.match_operators(carriers, operators).select("carrier_norm", "origin_id", "operator_id", "company_id", "company_name")

@@ -47,4 +47,5 @@ def load_all() -> None:
         q_staged,
         q_stream,
         q_pipeline,
+        q_keys,
     )

@@ -13,14 +13,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_landed(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
-    """Landed payload files → ``(source_file, text)``; ``whole_files`` when a
-    file holds one (multi-line) document."""
-    df = spark.read.option("wholetext", "true").text(path) if whole_files else spark.read.text(path)
-    return df.select(F.input_file_name().alias("source_file"), F.col("value").alias("text"))
-
-
-# Repair steps: (pattern, replacement), applied in order after the prefix cut.
+def read_landed(spark: SparkSession, path: str, whole_files: bool = False, stream: bool = False,
+                max_files: int = 100) -> DataFrame:
+    """Landed payload files → ``(source_file, line, text)``, one row per line
+    with a text, or per file when a file holds one (multi-line) document
+    (``whole_files``). ``stream`` gives the same rows as a file stream that
+    takes ``max_files`` new files a trigger. A landed file is one partner
+    page, so it is read whole to number its lines."""
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files) if stream else spark.read
+    files = reader.option("wholetext", "true").text(path).select(F.col("_metadata.file_path").alias("source_file"), "value")
+    if whole_files:
+        return files.select("source_file", F.lit(0).alias("line"), F.col("value").alias("text"))
+    lines = files.select("source_file", F.posexplode(F.split("value", "\r?\n")).alias("line", "text"))
+    return lines.where(F.trim("text") != "")
+
+
+# Repair steps as (pattern, replacement), applied in order after the prefix cut.
 _REPAIR_STEPS = [
     (r"\bNone\b", "null"),
     (r"\bTrue\b", "true"),

@@ -113,3 +113,40 @@ def cursor_sink(spark: SparkSession, passed: str, cursor: str, keys: Sequence[st
 
     return fn
 
+
+def payload_sink(spark: SparkSession, objects: str, quarantine: str, repair: bool = False,
+                 path: str = "$") -> Callable[[DataFrame, int], None]:
+    """S2/S3 per epoch, from rows ``source_file, line, text``: the objects of
+    every page go to ``objects/epoch=<id>`` (as JSON text, with file, line and
+    position), texts that do not parse to ``quarantine/epoch=<id>`` as they
+    came. Both folders belong to one epoch and are overwritten by a replay."""
+    from cargolens.sources import payload as pl
+
+    def fn(batch: DataFrame, epoch_id: int) -> None:
+        parsed = pl.parse_payloads(batch, repair=repair).persist()
+        try:
+            good = pl.expand_objects(parsed.where(F.col("payload").isNotNull()).drop("text"), path=path)
+            good.withColumn("obj", F.to_json("obj")).write.mode("overwrite").parquet(f"{objects}/epoch={epoch_id}")
+            pl.quarantine(parsed).write.mode("overwrite").parquet(f"{quarantine}/epoch={epoch_id}")
+        finally:
+            parsed.unpersist()
+
+    return fn
+
+
+def distinct_pulls(stream: DataFrame, keys: Sequence[str], ts_col: str, delay: str) -> DataFrame:
+    """Overlapping pulls (I1, U6): each key once. The state keeps a key only
+    until the watermark (the newest ``ts_col`` seen less ``delay``) has passed
+    it, so it does not grow with the stream; rows that come in behind the
+    watermark are late duplicates of a closed window and are dropped. ``delay``
+    must cover the overlap of two pulls."""
+    return stream.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
+def append_available(stream: DataFrame, target: str, checkpoint: str) -> list[dict]:
+    """Append everything available now to a Parquet table (the file sink's
+    log makes each epoch count once); returns the progress of each trigger."""
+    q = (stream.writeStream.format("parquet").outputMode("append").option("path", target)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return [p if isinstance(p, dict) else p.__dict__ for p in q.recentProgress]
