@@ -6,18 +6,20 @@ the words of the table; a target stops at ``max_copies`` times its
 source's words and the excess is shared again by weight until none is
 above. A document of a source with target / words = r is due r copies:
 floor(r) whole copies for certain, and one more with inclusion odds
-f / (1 - f), f = r - floor(r). The extra copies are drawn by Pareto order
+proportional to its size: of what a source still wants, long documents are
+likelier to bring a part. The extra copies are drawn by Pareto order
 sampling: documents are ranked by their random odds u / (1 - u) divided by
 their inclusion odds and taken from the top until the source's fixed size
 (its remaining words) is met; the document on the border is taken if that
-brings the source nearer to its target.
+brings the source nearer to its target. The factor that turns sizes into
+odds is common to a source and fixed by that size, so it need not be known
+to rank.
 
-``u`` is a hash of the document id and the seed, so reruns agree.
+``u`` is a hash of the document id, its text and the seed, so reruns agree.
 
-No source is gathered in one task: within a source the rank rises with u,
-so documents are cut into ``bins`` by u (evenly filled whatever the odds),
-sums per (source, bin) say in which bin the border lies, and only the rows
-of that one bin are ordered.
+No source is gathered in one task: rows are cut into ranges of (source,
+rank), each range sums its own words, and the sums of the ranges before it
+are added (one row a range).
 
 Edge cases: a null text has size 0 and is taken 0 words; a null source is
 the last source; a table without words gives targets of 0; equal rows have
@@ -27,10 +29,11 @@ an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cargolens.llm.common import global_index, materialise, n_words_col
+from cargolens.operators.running import ranged_prefix_sum
 
 #: fixed values: weights of the sources in code-point order, repeating
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -61,7 +64,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = 1.5,
 
 
 def pareto_mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, max_copies: float = 2.0,
-               seed: int = 7, bins: int = 4096, id_col: str = "doc_id", text_col: str = "text",
+               seed: int = 7, id_col: str = "doc_id", text_col: str = "text",
                source_col: str = "source") -> DataFrame:
     """doc_id, text_key, source, size, source_size, target, copies, taken."""
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -78,47 +81,33 @@ def pareto_mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, max_copies:
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     due = (rows.join(t, F.col("source").eqNullSafe(F.col("t_source"))).drop("t_source")
            .withColumn("whole", F.floor(ratio).cast("long"))
-           .withColumn("f", ratio - F.col("whole"))
-           .withColumn("wanted", F.col("target") - F.col("whole") * F.col("source_size")))
-    odds = (F.col("u") / (1 - F.col("u"))) / (F.col("f") / (1 - F.col("f")))
-    rank = F.when(F.col("f") > 0, odds / (1 + odds)).otherwise(1.0)
-    due = (due.withColumn("rank", rank)
-           .withColumn("bin", F.least(F.floor(F.col("u") * bins), F.lit(bins - 1)).cast("int")))
-
-    per_bin = due.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.max("wanted").alias("wanted"))
-    upto = F.sum("words").over(Window.partitionBy("source").orderBy("bin"))
-    border = (per_bin.withColumn("upto", upto)
-              .where((F.col("upto") > F.col("wanted")) & (F.col("upto") - F.col("words") <= F.col("wanted")))
-              .groupBy("source").agg(F.min_by(F.struct("bin", (F.col("upto") - F.col("words")).alias("before")), "bin").alias("b"))
-              .select(F.col("source").alias("b_source"), F.col("b.bin").alias("b_bin"), F.col("b.before").alias("b_before")))
-    due = due.join(border, F.col("source").eqNullSafe(F.col("b_source")), "left").drop("b_source")
-    upto_row = F.col("b_before") + F.sum("size").over(
-        Window.partitionBy("source").orderBy("rank", "u", "doc_id", "row").rowsBetween(Window.unboundedPreceding, 0))
-    on_border = (due.where(F.col("bin") == F.col("b_bin")).withColumn("upto", upto_row)
-                 .withColumn("extra", ((F.col("upto") <= F.col("wanted")) | (
-                     (F.col("upto") - F.col("size") < F.col("wanted"))
-                     & (F.col("upto") - F.col("wanted") < F.col("wanted") - (F.col("upto") - F.col("size"))))).cast("long"))
-                 .drop("upto"))
-    others = (due.where(~F.col("bin").eqNullSafe(F.col("b_bin")))
-              .withColumn("extra", ((F.col("f") > 0) & (F.col("b_bin").isNull() | (F.col("bin") < F.col("b_bin")))).cast("long")))
-    copies = F.col("whole") + F.col("extra")
-    return (on_border.unionByName(others)
-            .select("doc_id", "text_key", "source", "size", "source_size", "target",
-                    copies.alias("copies"), (copies * F.col("size")).alias("taken")))
+           .withColumn("wanted", F.col("target") - F.col("whole") * F.col("source_size"))
+           .withColumn("rank", pareto_rank(F.col("u"), F.col("size"))))
+    ranked = ranged_prefix_sum(due, ["source"], [F.col(c) for c in ("rank", "u", "doc_id", "row")], "size", "before")
+    upto, before, wanted = F.col("before") + F.col("size"), F.col("before"), F.col("wanted")
+    drawn = (F.col("size") > 0) & ((upto <= wanted) | ((before < wanted) & (upto - wanted < wanted - before)))
+    copies = F.col("whole") + drawn.cast("long")
+    return ranked.select("doc_id", "text_key", "source", "size", "source_size", "target",
+                         copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+
+
+def pareto_rank(u: Column, size: Column) -> Column:
+    """Random odds over inclusion odds (up to the source's common factor); an
+    empty document comes last."""
+    return F.when(size > 0, u / (1 - u) / size).otherwise(F.lit(float("inf")))
 
 
 def mix_documents(docs: DataFrame, **params) -> DataFrame:
     """The mixed table: each row of ``docs`` (its own columns) as often as
     it was drawn. Rows equal in id, source and text are interchangeable and
-    share their draws out in any order."""
+    share their draws out in any order. The columns travel as one struct, so
+    none can clash with the helpers."""
     drawn = pareto_mix(docs, **params).where(F.col("copies") > 0)
-    drawn = (drawn.groupBy(F.xxhash64("doc_id", "source", "text_key").alias("_k"))
-             .agg(F.sort_array(F.collect_list("copies"), asc=False).alias("_copies")))
-    key = F.xxhash64("doc_id", "source", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    numbered = docs.withColumn("_k", key).withColumn(
-        "_nth", F.row_number().over(Window.partitionBy("_k").orderBy("doc_id")))
-    return (numbered.join(drawn, "_k")
-            .withColumn("_n", F.get(F.col("_copies"), F.col("_nth") - 1).cast("int"))
-            .where(F.col("_n") > 0)
-            .withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("_n"))))
-            .select(*docs.columns))
+    drawn = (drawn.groupBy(F.struct(F.col("doc_id").alias("id"), "source", "text_key").alias("key"))
+             .agg(F.sort_array(F.collect_list("copies"), asc=False).alias("copies")))
+    key = F.struct(F.col("doc_id").alias("id"), "source", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("text_key"))
+    numbered = docs.select(key.alias("key"), F.struct("*").alias("own")).withColumn(
+        "nth", F.row_number().over(Window.partitionBy("key").orderBy("key")))
+    times = F.get(F.col("copies"), F.col("nth") - 1).cast("int")
+    return (numbered.join(drawn, "key").withColumn("times", times).where(F.col("times") > 0)
+            .select("own", F.explode(F.sequence(F.lit(1), F.col("times")))).select("own.*"))
