@@ -1,9 +1,9 @@
 """Exact top-k inner-product search: ball-tree branch and bound per shard.
 
 Vectors are turned into integers, floor(scale * x), and dealt to shards by
-hash; each shard keeps, of equal vectors, the
-k + 1 smallest ids (no later copy can enter a result) and builds a ball
-tree over the distinct ones. A batch of queries walks the tree, the child
+hash; each shard keeps, of equal vectors, the rows of the
+k + 1 smallest ids, at most k of each (no other copy can enter a result),
+and builds a ball tree over the distinct vectors. A batch of queries walks the tree, the child
 of the higher bound first, bound = q . centre + |q| radius; each query
 leaves a node whose bound is below the current kth score (or equal to it with no smaller
 id to offer).
@@ -121,11 +121,15 @@ def _search_shard(k: int):
     """Arrow mapper over rows sorted by (shard, kind): vectors (kind 0)
     build the trees (one for each length), queries (kind 1) meet them in
     batches."""
-    names = ["query_id", "vec_id", "score"]
+    names = ["row", "query_id", "vec_id", "score"]
+
+    def eligible(ids: list[int]) -> list[int]:
+        """Rows of the k + 1 smallest distinct ids, at most k of each."""
+        return [i for i in sorted(set(ids))[:k + 1] for _ in range(min(k, ids.count(i)))] if len(ids) > k else sorted(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, rows, trees = None, {}, None
-        waiting: dict[int, list[tuple[bytes, int, float]]] = {}
+        waiting: dict[int, list[tuple[bytes, int, float, int]]] = {}
 
         def plant() -> dict[int, BallTree]:
             by_dim: dict[int, list[bytes]] = {}
@@ -133,21 +137,21 @@ def _search_shard(k: int):
                 if x:
                     by_dim.setdefault(len(x) // 8, []).append(x)
             return {d: BallTree(np.frombuffer(b"".join(xs), np.int64).reshape(-1, d),
-                                [sorted(rows[x])[:k + 1] for x in xs]) for d, xs in by_dim.items()}
+                                [eligible(rows[x]) for x in xs]) for d, xs in by_dim.items()}
 
         def answer(dim: int) -> Iterator[pa.RecordBatch]:
             asked = waiting.pop(dim, [])
             if asked and dim in trees:
-                own = np.array([i for _, i, _ in asked], np.int64)
-                found = trees[dim].search(np.frombuffer(b"".join(x for x, _, _ in asked), np.int64).reshape(-1, dim),
-                                          own, k, np.array([x for _, _, x in asked]))
-                out = [(int(q), i, -s) for q, hits in zip(own, found) for s, i in hits]
+                own = np.array([a[1] for a in asked], np.int64)
+                found = trees[dim].search(np.frombuffer(b"".join(a[0] for a in asked), np.int64).reshape(-1, dim),
+                                          own, k, np.array([a[2] for a in asked]))
+                out = [(a[3], a[1], i, -s) for a, hits in zip(asked, found) for s, i in hits]
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=names)
 
         for b in batches:
             sh, kind = b.column("shard").to_numpy(), b.column("kind").to_numpy()
-            ids, bound = b.column("vec_id").to_numpy(), b.column("bound").to_numpy()
+            ids, bound, number = (b.column(c).to_numpy() for c in ("vec_id", "bound", "row"))
             vec = b.column("v")
             flat, off = vec.values.to_numpy(), vec.offsets.to_numpy()
             for i in range(b.num_rows):
@@ -162,7 +166,7 @@ def _search_shard(k: int):
                 if trees is None:
                     trees = plant()
                 dim = len(v) // 8
-                waiting.setdefault(dim, []).append((v, int(ids[i]), float(bound[i])))
+                waiting.setdefault(dim, []).append((v, int(ids[i]), float(bound[i]), int(number[i])))
                 if len(waiting[dim]) == QUERY_BATCH:
                     yield from answer(dim)
         if trees is not None:
@@ -178,28 +182,29 @@ def top_k(vectors: DataFrame, k: int = 5, query_every: int = 50, scale: float =
     comp = F.transform(F.col(vector_col), lambda x: F.floor(x.cast("double") * scale))
     finite = F.forall(F.col(vector_col), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     rows = materialise(vectors.where(F.col(vector_col).isNotNull() & F.col(id_col).isNotNull() & finite)
-                       .select(F.col(id_col).cast("long").alias("vec_id"), comp.cast("array<bigint>").alias("v")), "topk-vectors")
+                       .select(F.col(id_col).cast("long").alias("vec_id"), comp.cast("array<bigint>").alias("v"))
+                       .withColumn("row", F.monotonically_increasing_id()), "topk-vectors")
     shards = max(1, -(-rows.count() // shard_rows))
     # Copies of one vector are dealt over up to 64 shards by id.
     data = rows.select(F.pmod(F.xxhash64("v", F.pmod("vec_id", F.lit(64))), F.lit(shards)).cast("int").alias("shard"),
-                       F.lit(0).alias("kind"), "vec_id", "v", F.lit(float("-inf")).alias("bound"))
+                       F.lit(0).alias("kind"), "vec_id", "v", F.lit(float("-inf")).alias("bound"), "row")
     queries = rows.where(F.col("vec_id") % query_every == 0)
     home = F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int")
-    schema = "query_id long, vec_id long, score long"
+    schema = "row long, query_id long, vec_id long, score long"
 
     def searched(asked: DataFrame) -> DataFrame:
         return (data.unionByName(asked).repartition(shards, "shard").sortWithinPartitions("shard", "kind")
                 .mapInArrow(_search_shard(k), schema))
 
     low = F.lit(float("-inf"))
-    first = materialise(searched(queries.select(home.alias("shard"), F.lit(1).alias("kind"), "vec_id", "v", low.alias("bound"))),
+    first = materialise(searched(queries.select(home.alias("shard"), F.lit(1).alias("kind"), "vec_id", "v", low.alias("bound"), "row")),
                         "topk-home")
-    kth = first.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).cast("double").alias("kth"))
+    kth = first.groupBy("row").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).cast("double").alias("kth"))
     others = F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != home)
-    asked = (queries.join(kth, F.col("vec_id") == F.col("query_id"), "left")
+    asked = (queries.join(kth, "row", "left")
              .select(F.explode(others).alias("shard"), F.lit(1).alias("kind"), "vec_id", "v",
-                     F.coalesce(F.col("kth"), low).alias("bound")))
+                     F.coalesce(F.col("kth"), low).alias("bound"), "row"))
     found = first.unionByName(searched(asked)) if shards > 1 else first
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    rank = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("score"), "vec_id"))
     return (found.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
