@@ -26,7 +26,7 @@ A passage that a third of all documents hold is therefore one chunk for
 each task, not one row for each document, in the task of its anchor.
 
 Edge cases: a null text is empty; texts shorter than ``min_length`` keep
-all bytes; a null id counts as larger than any other; rows with one id
+all bytes; a null id counts as the largest id; rows with one id
 (copies of a row) do not remove each other; an empty table gives an empty
 result; other columns are ignored.
 """
@@ -39,7 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cargolens.llm.common import MULT, materialise, mix64, shuffle_partitions, slices, trimmed, utf8_parts
@@ -232,20 +232,20 @@ def _chunks(length: int):
                 row, first, last, fps = row[hit], first[hit], last[hit], fps[hit]
                 whole = data.tobytes()
                 text = [whole[f:e + length] for f, e in zip(first.tolist(), last.tolist())]
-                keys = np.frombuffer(b"".join(hashlib.blake2b(t, digest_size=8).digest() for t in text), "<i8")
-                held.append((ids[a + row], ths[a + row], first - off[row], fps, keys, pa.array(text, pa.binary())))
-        ids, ths, pos, fps, keys = (np.concatenate([h[i] for h in held] or [np.zeros(0, np.int64)]) for i in range(5))
-        text = pa.chunked_array([h[5] for h in held], pa.binary())
+                keys = np.frombuffer(b"".join(hashlib.blake2b(t, digest_size=16).digest() for t in text), "<i8").reshape(-1, 2)
+                held.append((ids[a + row], ths[a + row], first - off[row], fps, keys[:, 0], keys[:, 1], pa.array(text, pa.binary())))
+        ids, ths, pos, fps, keys, more = (np.concatenate([h[i] for h in held] or [np.zeros(0, np.int64)]) for i in range(6))
+        text = pa.chunked_array([h[6] for h in held], pa.binary())
         lead, most = np.zeros(len(ids), bool), np.zeros(len(ids), np.int64)
         if len(ids):
-            order = np.lexsort((ids, keys))
-            begin = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]]))
+            order = np.lexsort((ids, more, keys))
+            begin = np.flatnonzero(_starts(keys[order], more[order]))
             lead[order[begin]] = True
             most[order[begin]] = np.maximum.reduceat(ids[order], begin)
-        return pa.table([pa.array(ids), pa.array(ths), pa.array(pos, pa.int64()), pa.array(keys),
+        return pa.table([pa.array(ids), pa.array(ths), pa.array(pos, pa.int64()), pa.array(keys), pa.array(more),
                          pa.array((fps.astype(np.uint64) & SIX).astype(np.int64)), pa.array(most),
                          pc.if_else(pa.array(lead), text, pa.scalar(None, pa.binary()))],
-                        names=["id", "th", "pos", "chunk", "anchor", "high", "bytes"])
+                        names=["id", "th", "pos", "chunk", "chunk2", "anchor", "high", "bytes"])
     return run
 
 
@@ -300,27 +300,28 @@ def repeat_groups(texts: list[bytes], owners: np.ndarray, length: int):
 
 
 def _marks(length: int):
-    """Chunks of a partition's anchors -> (chunk, from, to, smallest id)."""
+    """Chunks of a partition's anchors -> (chunk, chunk2, from, to, smallest id)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cols = [[], [], [], [], []]
+        cols = [[], [], [], [], [], []]
         for b in batches:
-            for c, name in zip(cols, ("anchor", "chunk", "id", "high", "bytes")):
+            for c, name in zip(cols, ("anchor", "chunk", "chunk2", "id", "high", "bytes")):
                 c.append(b.column(name))
         if not cols[0]:
             return
-        anchor, chunk, low, high = (np.concatenate([x.to_numpy() for x in c]) for c in cols[:4])
-        raw = pa.chunked_array(cols[4])
+        anchor, chunk, chunk2, low, high = (np.concatenate([x.to_numpy() for x in c]) for c in cols[:5])
+        raw = pa.chunked_array(cols[5])
         del cols
-        order = np.lexsort((chunk, anchor))
-        anchor, chunk, low, high = anchor[order], chunk[order], low[order], high[order]
-        begin = np.flatnonzero(np.concatenate([[True], chunk[1:] != chunk[:-1]]))
+        order = np.lexsort((chunk2, chunk, anchor))
+        anchor, chunk, chunk2, low, high = anchor[order], chunk[order], chunk2[order], low[order], high[order]
+        begin = np.flatnonzero(_starts(chunk, chunk2))
         low, high = np.minimum.reduceat(low, begin), np.maximum.reduceat(high, begin)
-        anchor, chunk, text = anchor[begin], chunk[begin], raw.take(pa.array(order[begin]))
+        anchor, text = anchor[begin], raw.take(pa.array(order[begin]))
+        chunk = list(zip(chunk[begin].tolist(), chunk2[begin].tolist()))
         del raw
         sizes = pc.binary_length(text).to_numpy()
         new = np.concatenate([[True], anchor[1:] != anchor[:-1]])
         single = new & np.append(new[1:], True)
-        out = [(int(chunk[i]), 0, int(sizes[i]), int(low[i])) for i in np.flatnonzero(single & (low != high))]
+        out = [(*chunk[i], 0, int(sizes[i]), int(low[i])) for i in np.flatnonzero(single & (low != high))]
         mixed = np.flatnonzero(~single)
         bounds = np.flatnonzero(np.concatenate([new[mixed], [True]])) if len(mixed) else np.zeros(0, np.int64)
         at = 0
@@ -331,9 +332,9 @@ def _marks(length: int):
             for size, least, places in repeat_groups(text.take(pa.array(some)).to_pylist(), low[some], length):
                 for t, s in places:
                     if high[some[t]] > least:
-                        out.append((int(chunk[some[t]]), s, s + size, least))
+                        out.append((*chunk[some[t]], s, s + size, least))
             solo = some[low[some] != high[some]]  # what copies of one chunk share among themselves
-            out += [(int(chunk[i]), 0, int(sizes[i]), int(low[i])) for i in solo]
+            out += [(*chunk[i], 0, int(sizes[i]), int(low[i])) for i in solo]
             if len(out) > 100000:
                 yield _mark_batch(out)
                 out = []
@@ -342,10 +343,15 @@ def _marks(length: int):
     return run
 
 
-def _mark_batch(out: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
-    c, a, b, low = zip(*set(out))
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(low, pa.int64())],
-                                      names=["chunk", "from", "to", "low"])
+def _mark_batch(out: list[tuple[int, int, int, int, int]]) -> pa.RecordBatch:
+    c, d, a, b, low = zip(*set(out))
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(d, pa.int64()), pa.array(a, pa.int32()), pa.array(b, pa.int32()),
+                                       pa.array(low, pa.int64())], names=["chunk", "chunk2", "from", "to", "low"])
+
+
+def _starts(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Where a run of equal (a, b) begins."""
+    return np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
 
 
 def removed_spans(docs: DataFrame, min_length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -358,14 +364,14 @@ def removed_spans(docs: DataFrame, min_length: int = 50, id_col: str = "doc_id",
     repeated = materialise(packed.repartition(n, "bucket").mapInArrow(trimmed(_repeated_anchors(2 * n)), PACKED.format("blk")), "repeat-anchors")
     dealt = src.withColumn("blk", F.pmod(F.col("id").bitwiseXOR(F.col("th")), F.lit(2 * n)).cast("int"))
     chunks = dealt.groupBy("blk").cogroup(repeated.groupBy("blk")).applyInArrow(
-        _chunks(min_length), "id long, th long, pos long, chunk long, anchor long, high long, bytes binary")
+        _chunks(min_length), "id long, th long, pos long, chunk long, chunk2 long, anchor long, high long, bytes binary")
     chunks = materialise(chunks, "repeat-chunks")
-    marks = (chunks.where(F.col("bytes").isNotNull()).select("anchor", "chunk", "id", "high", "bytes")
+    marks = (chunks.where(F.col("bytes").isNotNull()).select("anchor", "chunk", "chunk2", "id", "high", "bytes")
              .repartition(n, "anchor")
-             .mapInArrow(trimmed(_marks(min_length)), "chunk long, from int, to int, low long"))
+             .mapInArrow(trimmed(_marks(min_length)), "chunk long, chunk2 long, from int, to int, low long"))
     marks = materialise(marks, "repeat-marks")
-    places = chunks.select("id", "th", "pos", F.col("chunk").alias("c"))
-    spans = (places.join(marks, F.col("c") == F.col("chunk")).where(F.col("low") < F.col("id"))
+    places = chunks.select(F.col("id"), "th", "pos", "chunk", "chunk2")
+    spans = (places.join(marks, ["chunk", "chunk2"]).where(F.col("low") < F.col("id"))
              .select("id", "th", F.struct((F.col("pos") + F.col("from")).alias("s"), (F.col("pos") + F.col("to")).alias("e")).alias("span"))
              .groupBy("id", "th").agg(F.collect_set("span").alias("spans")))
 
@@ -379,10 +385,10 @@ def removed_spans(docs: DataFrame, min_length: int = 50, id_col: str = "doc_id",
     return materialise(spans.mapInArrow(trimmed(unite), "id long, th long, spans array<struct<s:bigint,e:bigint>>"), "repeat-spans")
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _keyed(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("id"),
-                       F.xxhash64(text).alias("th"), text.alias("text"))
+                       F.xxhash64(text).alias("th"), text.alias("text"), *more)
 
 
 def united(spans) -> list[tuple[int, int]]:
@@ -413,7 +419,7 @@ def united_lists(col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def remove_repeats(docs: DataFrame, min_length: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 per row."""
     spans = removed_spans(docs, min_length, id_col, text_col)
-    src = _keyed(docs, id_col, text_col).withColumn("doc_id", F.col("id"))
+    src = _keyed(docs, id_col, text_col, F.col(id_col).cast("long").alias("doc_id"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -432,16 +438,16 @@ def remove_repeats(docs: DataFrame, min_length: int = 50, id_col: str = "doc_id"
                                               pa.array(np.diff(cut)), pa.array(digests, pa.string())],
                                              names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    done = src.join(spans, ["id", "th"], "left").select("id", "text", "spans").mapInArrow(
+    return src.join(spans, ["id", "th"], "left").select("doc_id", "text", "spans").mapInArrow(
         trimmed(run), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-    return done.withColumn("doc_id", F.when(F.col("doc_id") != LAST_ID, F.col("doc_id")))
 
 
 def without_repeats(docs: DataFrame, min_length: int = 50) -> DataFrame:
     """``docs`` (its own columns) with the repeated strings cut from the
     text, whole characters only; ``n_chars`` follows. A text left without a
-    word leaves the table."""
-    spans = removed_spans(docs, min_length).withColumnRenamed("id", "_id").withColumnRenamed("th", "_th")
+    word leaves the table. The columns travel as one struct, so none can
+    clash with the helpers."""
+    spans = removed_spans(docs, min_length)
 
     @F.pandas_udf("string")
     def cut(text, marks):
@@ -463,13 +469,17 @@ def without_repeats(docs: DataFrame, min_length: int = 50) -> DataFrame:
             out.append(b"".join(kept).decode())
         return pd.Series(out, dtype=object)
 
-    had = docs.withColumn("_i", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID))).withColumn(
-        "_t", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    joined = had.join(spans, (F.col("_i") == F.col("_id")) & (F.col("_t") == F.col("_th")), "left")
-    marks = F.coalesce(F.col("spans"), F.array().cast("array<struct<s:bigint,e:bigint>>"))
-    new = joined.withColumn("_new", F.when(F.col("spans").isNull(), F.col("text")).otherwise(cut(F.coalesce(F.col("text"), F.lit("")), marks)))
-    keep = F.col("spans").isNull() | F.col("_new").rlike("[^\\x20\\x09-\\x0D]")
-    cols = [F.col("_new").alias("text") if c == "text" else
-            F.when(F.col("spans").isNull(), F.col("n_chars")).otherwise(F.char_length("_new")).cast(docs.schema[c].dataType).alias(c)
-            if c == "n_chars" else F.col(c) for c in docs.columns]
-    return new.where(keep).select(*cols)
+    had = _keyed(docs, "doc_id", "text", F.struct("*").alias("own"))
+    marked = F.col("spans").isNotNull()
+    new = had.join(spans, ["id", "th"], "left").withColumn(
+        "new", F.when(marked, cut("text", F.coalesce(F.col("spans"), F.array().cast("array<struct<s:bigint,e:bigint>>")))))
+
+    def column(c: str) -> Column:
+        old = F.col("own").getField(c)
+        if c == "text":
+            return F.when(marked, F.col("new")).otherwise(old).alias(c)
+        if c == "n_chars":
+            return F.when(marked, F.char_length("new")).otherwise(old).cast(docs.schema[c].dataType).alias(c)
+        return old.alias(c)
+
+    return new.where(~marked | F.col("new").rlike("[^\\x20\\x09-\\x0D]")).select(*[column(c) for c in docs.columns])
