@@ -117,11 +117,12 @@ def line_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def keep_good(docs: DataFrame, **params) -> DataFrame:
-    """The rows of ``docs`` (its own columns) that ``line_quality`` keeps."""
-    verdict = line_quality(docs, **params)
-    bad = (verdict.where(~F.col("kept"))
-           .select(F.col("doc_id").alias("_id"), F.col("host").alias("_host"), F.col("text_key").alias("_key")).distinct())
+    """The rows of ``docs`` (its own columns) that ``line_quality`` keeps.
+    The columns travel as one struct, so none can clash with the helpers."""
+    def key(doc_id, host, text_key):
+        return F.struct(F.col(doc_id).alias("id"), F.col(host).alias("host"), text_key.alias("text")).alias("key")
+
+    bad = line_quality(docs, **params).where(~F.col("kept")).select(key("doc_id", "host", F.col("text_key"))).distinct()
     text = F.coalesce(F.col("text"), F.lit(""))
-    key = F.struct(F.xxhash64(text), F.crc32(text.cast("binary")))
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_id"))
-                     & F.col("source").eqNullSafe(F.col("_host")) & (key == F.col("_key")), "left_anti")
+    own = docs.select(key("doc_id", "source", F.struct(F.xxhash64(text), F.crc32(text.cast("binary")))), F.struct("*").alias("own"))
+    return own.join(bad, "key", "left_anti").select("own.*")
