@@ -50,8 +50,37 @@ OVERRIDE_JSON = {
 OVERRIDE_ROWS = [(1, "enviado", "em transporte"), (1, "desconhecido", "pendente"), (2, "cancelado aut", "devolvido")]
 
 
+# The statuses that the maps may give, and what each partner's raw status means (the oracle's own copy).
+EXPECTED_STATUSES = [
+    "novo", "aguardando pagamento", "pendente", "em analise", "aprovado", "faturando", "coletando", "aguardando disponibilidade",
+    "aguardando transporte", "em transporte", "entregue marketplace", "entregue", "devolvido", "cancelado", "frete não atendido",
+    "desmembrado", "bloqueado"]
+EXPECTED_MAPS = {
+    "precode": {
+        "novo": "novo", "analisando": "em analise", "aprovado": "aprovado", "faturando": "faturando", "coletando": "coletando",
+        "em viagem": "em transporte", "entregue": "entregue", "devolvido": "devolvido", "cancelado": "cancelado",
+        "bloqueado": "bloqueado", "retornando": "devolvido", "retornou": "devolvido", "devolvendo": "devolvido",
+        "solicitado devolução": "devolvido", "desmembrado": "desmembrado"},
+    "tray": {
+        "aguardando pagamento": "aguardando pagamento", "aguardando envio": "aguardando transporte",
+        "a enviar": "aguardando transporte", "enviado": "entregue", "finalizado": "entregue", "cancelado": "cancelado",
+        "cancelado aut": "cancelado", "compra em analise": "em analise", "pendente": "pendente",
+        "em monitoramento": "em transporte", "aguardando disponibilidade": "aguardando disponibilidade",
+        "entregue leroy": "entregue marketplace", "frete não atendido": "frete não atendido", "a enviar yapay": "em analise",
+        "aguardando yapay": "aguardando pagamento", "a enviar vindi": "em analise", "aguardando vindi": "aguardando pagamento"},
+    "anymarket": {
+        "CONCLUDED": "entregue", "CANCELED": "cancelado", "CANCELLED": "cancelado", "INVOICED": "faturando",
+        "PAID_WAITING_DELIVERY": "em transporte", "PAID_WAITING_SHIP": "aguardando transporte", "PENDING": "aguardando pagamento"},
+    "panorama": {
+        "1": "aguardando pagamento", "2": "cancelado", "3": "aprovado", "4": "coletando", "5": "faturando", "6": "em transporte",
+        "7": "entregue", "8": "em transporte", "9": "faturando", "10": "aguardando transporte", "11": "em analise",
+        "12": "cancelado", "13": "cancelado", "14": "devolvido", "15": "faturando", "16": "cancelado", "17": "bloqueado",
+        "18": "em analise"},
+}
+
+
 def _dim_values():
-    return ", ".join(f"({_q(p)}, {_q(k)}, {_q(v)})" for p, m in S.PLATFORM_MAPS.items() for k, v in m.items())
+    return ", ".join(f"({_q(p)}, {_q(k)}, {_q(v)})" for p, m in EXPECTED_MAPS.items() for k, v in m.items())
 
 
 _KEY_SQL = """(case platform when 'anymarket' then upper(trim(raw))
@@ -116,7 +145,7 @@ p as (select company_id, pos,
     case when json_type(v, '$.mapped') = 'VARCHAR' and v->>'$.mapped' <> '' then v->>'$.mapped' end) as status
   from e)
 select company_id, status_key, arg_max(status, pos) as status from p
-where status_key is not null and status in ({", ".join(_q(s) for s in S.ORDER_STATUSES)})
+where status_key is not null and status in ({", ".join(_q(s) for s in EXPECTED_STATUSES)})
 group by company_id, status_key
 """)
 def n17_custom_status_map(spark, sf_dir):
