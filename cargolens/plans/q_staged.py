@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from cargolens.operators import staging as st
 from cargolens.operators.incremental import order_dates
-from cargolens.plans.registry import query
+from cargolens.plans import registry
 from cargolens.sources import payload as pl
 from cargolens.sources.tables import Tables
 
@@ -23,6 +23,11 @@ TS = "yyyy-MM-dd HH:mm:ss"
 YEAR = 2026
 
 
+def query(name: str, oracle: str):
+    """Register with the oracle's decimal literals as doubles."""
+    return registry.query(name, oracle=re.sub(r"(?<![\w.'])(\d+\.\d+)(?![\w.:'])", r"\1::double", oracle))
+
+
 def document(template: str, **values: str) -> Column:
     """JSON text: every ``«name»`` of the template replaced by the SQL
     expression of that name (as text, null → ``null``)."""
