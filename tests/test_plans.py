@@ -1,5 +1,6 @@
-"""Plan guards over every registered query (planning only, no execution):
-no cartesian product or nested-loop join, no Python evaluation node."""
+"""Plan guards over every registered query: no cartesian product or nested-loop
+join, no Python evaluation node. The queries are planned, not run; those that
+write staged tables, snapshots or streams do that work while they are built."""
 
 import pytest
 
