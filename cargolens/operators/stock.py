@@ -10,12 +10,13 @@ that is constant or linear in its length:
 * equality — the normalised strings themselves;
 * containment (shorter side ≥ 8 chars) — the shorter string's *rarest* 8-gram
   over all strings of both sides must be among the longer one's 8-grams;
-* edit distance ≤ 2, both texts of 9 characters or more — an edit changes at
+* edit distance ≤ 2, both texts of 13 characters or more — an edit changes at
   most three 3-grams, so the smallest common 3-gram, in order of rarity, is
   among the seven rarest of either text;
-* edit distance ≤ d (1 or 2), short texts — a term is cut into d + 1
-  segments, one of which an edited carrier holds unchanged, moved by at most
-  d places; the keys carry the term's length, which differs by at most d.
+* edit distance ≤ d (1 or 2), short texts (up to 12 characters, and 13 or 14
+  against those) — two texts within d edits have a text in common that
+  either gives by leaving out at most d characters; the keys are these texts
+  (at most 106 a text), so only texts that are nearly alike meet.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MIN_CONTAIN = 8
-SHORT = 8               # texts up to this length are cut into segments
+SHORT = 12              # texts up to this length meet on what is left of them without some characters
 PREFIX = 7              # rarest 3-grams of a longer text: two edits change at most six
 
 
@@ -39,48 +40,29 @@ def _grams(s: Column, size: int = MIN_CONTAIN) -> Column:
         F.array().cast("array<string>"))
 
 
-def _segment(i: Column, length: Column, edits: Column) -> tuple[Column, Column]:
-    """(0-based start, size) of segment ``i`` of a text cut into ``edits`` + 1 parts."""
-    size = F.floor(length / (edits + 1)).cast("int")
-    return i * size, F.when(i < edits, size).otherwise(length - edits * size)
-
-
-def _key(edits: Column, length: Column, i: Column, text: Column) -> Column:
-    return F.concat_ws(":", edits.cast("string"), length.cast("string"), i.cast("string"), text)
-
-
-def _segment_keys(s: Column) -> Column:
-    """Keys of an indexed text: its segments for one edit (where the longer
-    text may have at most 7 characters) and for two (from 8 on)."""
-    n = F.length(s)
-
-    def cut(edits: int) -> Column:
-        def one(i):
-            start, size = _segment(i, n, F.lit(edits))
-            return _key(F.lit(edits), n, i, F.substring(s, start + 1, size))
-        return F.transform(F.sequence(F.lit(0), F.lit(edits)), one)
-
-    none = F.array().cast("array<string>")
-    return F.concat(F.when((n >= 3) & (n <= 7), cut(1)).otherwise(none), F.when((n >= 6) & (n <= SHORT + 2), cut(2)).otherwise(none))
+def _without(s: Column, i: Column) -> Column:
+    """``s`` without its ``i``-th character (1-based)."""
+    return F.concat(F.substring(s, 1, i - 1), F.substring(s, i + 1, F.length(s)))
 
 
 def _probe_keys(s: Column) -> Column:
-    """Keys under which a text finds those within its allowed edits: for each
-    length in reach, each segment at each shift."""
+    """Hashed keys under which a text finds those within its allowed edits:
+    itself and what is left without one or two characters. One edit is allowed
+    where the longer text has at most 7 characters, two from 8 on; the two have
+    keys apart, and a text of 6 (7) meets longer ones with none (one) left out."""
     n = F.length(s)
+    none = F.array().cast("array<string>")
+    places = lambda first: F.sequence(F.lit(first), n)
+    one = F.when(n >= 4, F.transform(places(1), lambda i: _without(s, i))).otherwise(none)
+    two = F.when(n >= 8, F.flatten(F.transform(places(2), lambda j: F.transform(
+        F.sequence(F.lit(1), j - 1), lambda i: _without(_without(s, j), i))))).otherwise(none)
+    keys = lambda edits, *texts: F.transform(F.concat(F.array(s), *texts), lambda x: F.xxhash64(F.lit(edits), x))
+    return F.array_distinct(F.when(n < 3, F.array().cast("array<bigint>")).when(n <= 5, keys(1, one)).when(n == 6, F.concat(keys(1, one), keys(2)))
+                            .when(n == 7, F.concat(keys(1, one), keys(2, one))).when(n <= SHORT + 2, keys(2, one, two))
+                            .otherwise(F.array().cast("array<bigint>")))
 
-    def lengths(m):
-        edits = F.when(F.greatest(n, m) <= 7, F.lit(1)).otherwise(F.lit(2))
-
-        def parts(i):
-            start, size = _segment(i, m, edits)
-            places = F.filter(F.transform(F.sequence(-edits, edits), lambda d: start + d), lambda x: (x >= 0) & (x + size <= n))
-            return F.transform(places, lambda x: _key(edits, m, i, F.substring(s, x + 1, size)))
-        return F.flatten(F.transform(F.sequence(F.lit(0), edits), parts))
 
-    near = F.filter(F.sequence(n - 2, n + 2), lambda m: (m >= 3) & (F.greatest(n, m) >= 4) & (F.least(n, m) <= SHORT)
-                    & ((F.abs(m - n) <= 1) | (F.greatest(n, m) >= 8)))
-    return F.when((n >= 2) & (n <= SHORT + 2), F.array_distinct(F.flatten(F.transform(near, lengths)))).otherwise(F.array().cast("array<string>"))
+_segment_keys = _probe_keys     # both sides have the same keys
 
 
 def carrier_matches(a: Column, b: Column) -> Column:
@@ -96,9 +78,9 @@ def carrier_matches(a: Column, b: Column) -> Column:
 def candidate_pairs(carriers: DataFrame, terms: DataFrame) -> DataFrame:
     """``carriers(c)`` × ``terms(t)`` pairs that may match (a superset of the
     matches, no cross join). Names that share common words meet only if the
-    rarest 8-gram of one is in the other or a whole segment fits."""
+    rarest 8-gram of one is in the other or they are nearly alike."""
     def keyed(keys: Column, equal: Column) -> Column:
-        return F.explode(F.concat(keys, F.array(F.concat(F.lit("="), equal)))).alias("key")
+        return F.explode(F.concat(keys, F.array(F.xxhash64(F.lit("="), equal)))).alias("key")
 
     near = (carriers.select("c", keyed(_probe_keys(F.col("c")), F.col("c")))
             .join(terms.select("t", keyed(_segment_keys(F.col("t")), F.col("t"))), "key").select("c", "t"))
