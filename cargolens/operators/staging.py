@@ -23,7 +23,7 @@ from cargolens.functions import parse as N
 from cargolens.functions import text as T
 from cargolens.operators.flatten import anymarket_carrier, anymarket_item_fields, delivery_complement, last_contact, patient_tax_id
 from cargolens.session import write_once
-from cargolens.sources.payload import pick_array, pick_number, pick_object, pick_string
+from cargolens.sources.payload import once, pick_array, pick_number, pick_object, pick_string
 
 OBJ = "obj"
 
@@ -74,15 +74,15 @@ def _numbers(v: Column, at: str, **paths: str) -> dict[str, Column]:
 
 def numeric_text(v: Column, path: str) -> Column:
     """Text of digits only, else null."""
-    s = pick_string(v, path)
-    return F.when(s.rlike(r"^\d+$"), s)
+    return once(pick_string(v, path), lambda s: F.when(s.rlike(r"^\d+$"), s))
 
 
 def sql_datetime(c: Column, zone: str = D.SAO_PAULO) -> Column:
     """``YYYY-MM-DD HH:mm:ss`` as local time, any other text as an instant."""
-    s = N.ws_trim(c)
-    local = s.rlike(r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}$")
-    return F.when(local, D.date_hour_strict(F.substring(s, 1, 10), F.substring(s, 12, 8), zone)).otherwise(D.parse_timestamp(s))
+    def read(s: Column) -> Column:
+        local = s.rlike(r"^\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}$")
+        return F.when(local, D.date_hour_strict(F.substring(s, 1, 10), F.substring(s, 12, 8), zone)).otherwise(D.parse_timestamp(s))
+    return once(N.ws_trim(c), read)
 
 
 # --- Tray: orders, customers, sold products, catalogue ---------------------------------------
@@ -92,8 +92,9 @@ def stage_tray_orders(objs: DataFrame, as_of_year: int, keep: tuple = ()) -> Dat
     payload, the order date to the cascade I8 (``incremental.order_dates``),
     which reads created_sql, list_date, list_hour and modified."""
     v, o = F.col(OBJ), "$.Order"
-    day = lambda path: D.zero_date_repair(pick_string(v, f"{o}.{path}"), as_of_year)
-    carrier, subsidiary = T.carrier_and_subsidiary(pick_string(v, f"{o}.shipment"))
+    day = lambda path: once(pick_string(v, f"{o}.{path}"), lambda s: D.zero_date_repair(s, as_of_year))
+    shipment = pick_string(v, f"{o}.shipment")
+    carrier, subsidiary = once(shipment, lambda s: T.carrier_and_subsidiary(s)[0]), once(shipment, lambda s: T.carrier_and_subsidiary(s)[1])
     order = _struct({
         **_texts(v, o, external_id="id", customer_ref="customer_id", status_raw="status", list_hour="hour", modified="modified",
                  marketplace_name="point_sale", partner_order_id="external_code", discount_coupon="discount_coupon"),
@@ -126,10 +127,10 @@ def stage_tray_customers(objs: DataFrame, as_of_year: int, keep: tuple = ()) ->
     customer = _struct({
         **_texts(v, c, external_id="id", name="name", email="email", trade_name="company_name"),
         "tax_id": F.coalesce(digits("cpf"), digits("cnpj"), F.concat(F.lit("tray_customer:"), pick_string(v, f"{c}.id"))),
-        "birth_date": D.zero_date_repair(pick_string(v, f"{c}.birth_date"), as_of_year),
-        "gender": N.gender(pick_string(v, f"{c}.gender")), "person_type": N.person_type(pick_string(v, f"{c}.type")),
-        "state": T.brazilian_state(pick_string(v, f"{c}.state")),
-        "active": F.coalesce(N.active_boolean(pick_string(v, f"{c}.status")), N.active_boolean(pick_string(v, f"{c}.active"))),
+        "birth_date": once(pick_string(v, f"{c}.birth_date"), lambda s: D.zero_date_repair(s, as_of_year)),
+        "gender": once(pick_string(v, f"{c}.gender"), N.gender), "person_type": once(pick_string(v, f"{c}.type"), N.person_type),
+        "state": once(pick_string(v, f"{c}.state"), T.brazilian_state),
+        "active": F.coalesce(once(pick_string(v, f"{c}.status"), N.active_boolean), once(pick_string(v, f"{c}.active"), N.active_boolean)),
         "phones": _struct(_texts(v, c, phone="phone", cellphone="cellphone")),
         "delivery": _struct(_texts(v, c, state="state", zip="zip_code", neighborhood="neighborhood", city="city", number="number",
                                    address="address", complement="complement")),
@@ -184,9 +185,10 @@ def stage_precode_orders(objs: DataFrame, keep: tuple = ()) -> DataFrame:
     timeline with its hour, the delivery date the last entry "entregue" (A6);
     ``raw`` is the order without customer and lines."""
     v, c, d = F.col(OBJ), "$.dadosCliente", "$.dadosCliente.dadosEntrega"
-    timeline = F.filter(objects(pick_array(v, "$.dadosAcompanhamento"), lambda e: {
-        "date": D.parse_ymd(pick_string(e, "$.data")), "hour": pick_string(e, "$.hora"),
+    dated = F.filter(objects(pick_array(v, "$.dadosAcompanhamento"), lambda e: {
+        "date": once(pick_string(e, "$.data"), D.parse_ymd), "hour": pick_string(e, "$.hora"),
         "done": F.lower(F.coalesce(pick_string(e, "$.descricao"), F.lit(""))) == "entregue"}), lambda e: e["date"].isNotNull())
+    timeline = F.col("_timeline")           # a column, so that its readers share one evaluation
     first = F.try_element_at(timeline, F.lit(1))
     tax = pick_string(v, f"{c}.cpfCnpj")
     order = _struct({
@@ -212,17 +214,17 @@ def stage_precode_orders(objs: DataFrame, keep: tuple = ()) -> DataFrame:
             "indemnified": F.try_variant_get(v, "$.pedidoIndenizado", "boolean")}),
     })
     customer = F.when(tax.isNotNull(), _struct({
-        "external_id": tax, "tax_id": tax, "state": T.brazilian_state(pick_string(v, f"{d}.uf")),
-        "person_type": N.person_type(pick_string(v, f"{c}.tipo")), "gender": N.gender(pick_string(v, f"{c}.sexo")),
+        "external_id": tax, "tax_id": tax, "state": once(pick_string(v, f"{d}.uf"), T.brazilian_state),
+        "person_type": once(pick_string(v, f"{c}.tipo"), N.person_type), "gender": once(pick_string(v, f"{c}.sexo"), N.gender),
         **_texts(v, c, name="nomeRazao", trade_name="fantasia", birth_date="dataNascimento", email="email"),
-        "active": N.active_boolean(pick_string(v, f"{c}.statusCliente")), "phones": json_of(v, f"{c}.telefones"),
+        "active": once(pick_string(v, f"{c}.statusCliente"), N.active_boolean), "phones": json_of(v, f"{c}.telefones"),
         "raw": json_of(v, c)}))
     lines = objects(pick_array(v, "$.itens"), lambda i: {
         "sku": pick_number(i, "$.sku").cast("bigint"), "unit_price": pick_number(i, "$.valorUnitario"),
         "net_unit_price": pick_number(i, "$.valorUnitarioLiquido"), "quantity": pick_number(i, "$.quantidade"),
         "item_type": pick_string(i, "$.tipo"), "service_ref_sku": pick_string(i, "$.servicoRefSku")})
     rest = F.map_filter(F.try_variant_get(v, "$", "map<string,variant>"), lambda k, _: ~k.isin("dadosCliente", "itens"))
-    return objs.where(is_object(v)).select(
+    return objs.where(is_object(v)).withColumn("_timeline", dated).select(
         *keep, order.alias("order"), customer.alias("customer"),
         F.filter(lines, lambda i: F.coalesce(i["sku"], F.lit(0)) != 0).alias("lines"), F.to_json(rest).alias("raw"))
 
@@ -273,18 +275,18 @@ def stage_panorama_orders(objs: DataFrame, keep: tuple = ()) -> DataFrame:
         **_numbers(v, "$", freight="valorFrete", total="valorTotal", discount="valorDesconto"),
         **_texts(v, e, delivery_address="endereco", delivery_number="numero", delivery_neighborhood="bairro", delivery_zip="cep",
                  delivery_complement="complemento", delivery_city="cidade.nome"),
-        "delivery_state": F.coalesce(T.brazilian_state(state), state),
+        "delivery_state": once(state, lambda s: F.coalesce(T.brazilian_state(s), s)),
         "partner_order_id": pick_string(v, "$.marketplace.codigo"),
         "marketplace_name": pick_string(v, "$.marketplace.marketplace.nome"), "channel": F.lit("marketplace"),
-        "ordered_at": D.short_offset_timestamp(moment), "payment_date": D.brazil_date(D.short_offset_timestamp(moment)),
-        "installments": N.installments(pick_number(v, "$.pedidoPagamento.numeroParcelas")),
+        "ordered_at": once(moment, D.short_offset_timestamp), "payment_date": D.brazil_date(once(moment, D.short_offset_timestamp)),
+        "installments": once(pick_number(v, "$.pedidoPagamento.numeroParcelas"), N.installments),
         "payments": json_of(v, "$.pedidoPagamento"),
         "carrier": pick_string(v, "$.transporte.transportadora.pessoa.nome"),
-        "delivery_forecast": D.brazil_date(D.short_offset_timestamp(pick_string(v, "$.transporte.dataHoraLimite"))),
+        "delivery_forecast": D.brazil_date(once(pick_string(v, "$.transporte.dataHoraLimite"), D.short_offset_timestamp)),
     })
     contacts = pick_array(v, f"{c}.contatos")
     document = pick_string(v, f"{c}.cpfCnpj")
-    tax = F.coalesce(T.tax_id_min11(document), document, F.concat(F.lit("panorama_cliente_"), pick_string(v, "$.id")))
+    tax = F.coalesce(once(document, lambda x: F.coalesce(T.tax_id_min11(x), x)), F.concat(F.lit("panorama_cliente_"), pick_string(v, "$.id")))
     customer = F.when(pick_object(v, c).isNotNull(), _struct({
         "external_id": tax, "tax_id": tax, **_texts(v, c, name="nome", trade_name="nomeFantasia"),
         "person_type": F.when(pick_number(v, f"{c}.tipo") == 2, F.lit("PJ")).otherwise(F.lit("PF")),
@@ -306,16 +308,16 @@ def stage_anymarket_orders(objs: DataFrame, keep: tuple = ()) -> DataFrame:
     product for the cascade J7)."""
     v, s, b = F.col(OBJ), "$.shipping", "$.buyer"
     carrier, subsidiary = anymarket_carrier(v)
-    created = D.parse_timestamp(pick_string(v, "$.createdAt"))
-    promised = D.parse_ymd(pick_string(v, f"{s}.promisedShippingTime"))
+    created = once(pick_string(v, "$.createdAt"), D.parse_timestamp)
+    promised = once(pick_string(v, f"{s}.promisedShippingTime"), D.parse_ymd)
     document = F.coalesce(pick_string(v, f"{b}.documentNumberNormalized"), pick_string(v, f"{b}.document"))
-    tax = F.coalesce(T.tax_id_any(document), F.concat(F.lit("anymarket_buyer:"), pick_string(v, "$.id")))
+    tax = F.coalesce(once(document, T.tax_id_any), F.concat(F.lit("anymarket_buyer:"), pick_string(v, "$.id")))
     order = _struct({
         **_texts(v, "$", external_id="id", status_raw="status"), **_numbers(v, "$", total="total", discount="discount", freight="freight"),
         "customer_ref": tax,
         "partner_order_id": F.coalesce(pick_string(v, "$.marketPlaceId"), pick_string(v, "$.marketPlaceNumber")),
         "marketplace_name": F.coalesce(pick_string(v, "$.accountName"), pick_string(v, "$.marketPlace")),
-        "channel": F.lit("marketplace"), "ordered_at": created, "payment_date": D.parse_ymd(pick_string(v, "$.paymentDate")),
+        "channel": F.lit("marketplace"), "ordered_at": created, "payment_date": once(pick_string(v, "$.paymentDate"), D.parse_ymd),
         **_texts(v, s, delivery_state="state", delivery_zip="zipCode", delivery_neighborhood="neighborhood", delivery_city="city",
                  delivery_number="number"),
         "delivery_address": F.coalesce(pick_string(v, f"{s}.address"), pick_string(v, f"{s}.street")),
@@ -325,8 +327,8 @@ def stage_anymarket_orders(objs: DataFrame, keep: tuple = ()) -> DataFrame:
         "payments": json_of(v, "$.payments"), "tracking": json_of(v, s), "metadata": json_of(v, "$.metadata")})
     customer = _struct({
         "external_id": tax, "tax_id": tax, **_texts(v, b, name="name", email="email", cellphone="cellPhone"),
-        "birth_date": D.parse_ymd(pick_string(v, f"{b}.dateOfBirth")),
-        "person_type": N.person_type(pick_string(v, f"{b}.documentType")), "raw": json_of(v, b)})
+        "birth_date": once(pick_string(v, f"{b}.dateOfBirth"), D.parse_ymd),
+        "person_type": once(pick_string(v, f"{b}.documentType"), N.person_type), "raw": json_of(v, b)})
     lines = objects(pick_array(v, "$.items"), lambda i: {
         **anymarket_item_fields(i), "item_type": F.lit("produto"),
         "ecommerce_id": F.format_string("%d", pick_number(i, "$.product.id").cast("bigint")),
@@ -358,7 +360,7 @@ def stage_freight_quotes(objs: DataFrame, keep: tuple = ()) -> DataFrame:
                  warehouse_name="filialNome", shipping_name="metodoEnvioNome"),
         **_numbers(o, "$.prazoEntrega", carrier_deadline="prazoTransportadora", holiday_deadline="prazoEntregaFeriado",
                    warehouse_deadline="prazoAdicionalFilial"),
-        "has_stock": N.bool_from_unknown(pick_string(o, "$.possuiEstoque")), "raw": json_of(o)}, "line_index")
+        "has_stock": once(pick_string(o, "$.possuiEstoque"), N.bool_from_unknown), "raw": json_of(o)}, "line_index")
     items = objects(pick_array(v, f"{cart}.produto"), lambda p: {
         **_texts(p, "$", partner_sku="sku", category="categoria", aggregator="agrupador", partner_original_sku="skuOriginal"),
         "partner_sku_id": numeric_text(p, "$.idSku"),
@@ -375,16 +377,17 @@ def stage_freight_orders(objs: DataFrame, keep: tuple = ()) -> DataFrame:
     shipments (A5); lines run over all shipments (``line_index`` counts the
     lines, ``envio_index`` is the shipment's position)."""
     v, a = F.col(OBJ), "$.enderecoEntrega"
-    shipments = objects(pick_array(v, "$.envio"), lambda s: {
+    sent = objects(pick_array(v, "$.envio"), lambda s: {
         "promised": sql_datetime(pick_string(s, "$.prazoEntregaPedido")), "delivered": sql_datetime(pick_string(s, "$.dataEntrega")),
         "delta": pick_number(s, "$.diferencaPedidoCotacao"), "value": pick_number(s, "$.notaFiscal.valorTotalProdutos"),
         "products": pick_array(s, "$.produtos")}, "envio_index")
+    shipments = F.col("_shipments")         # a column, so that its readers share one evaluation
     each = lambda name: F.transform(shipments, lambda s: s[name])
     values = F.filter(each("value"), lambda x: x.isNotNull())
     ordered, promised = sql_datetime(pick_string(v, "$.data")), F.array_max(each("promised"))
     order = _struct({
         **_texts(v, "$", external_id="_id", store_name="nomeLoja", quote_id="idCotacao", channel="canal"),
-        "order_code": T.order_code_tail(pick_string(v, "$.numeroPedido")), "ordered_at": ordered,
+        "order_code": once(pick_string(v, "$.numeroPedido"), T.order_code_tail), "ordered_at": ordered,
         "date": D.brazil_date(ordered), "time": D.brazil_time(ordered),
         **_numbers(v, "$", freight_amount="valorFretePedido", freight_cost="valorFreteReal", delta_quote="valorFreteDiferencaPedidoCotacao"),
         "invoice_value": F.when(F.size(values) > 0, F.aggregate(values, F.lit(0.0), lambda x, y: x + y)),
@@ -402,7 +405,7 @@ def stage_freight_orders(objs: DataFrame, keep: tuple = ()) -> DataFrame:
         "title": pick_string(x["p"], "$.titulo"), "variation": pick_string(x["p"], "$.variacao"),
         "category": F.coalesce(pick_string(x["p"], "$.categoria"), pick_string(x["p"], "$.categoriaCadastro")),
         "raw": json_of(x["p"])}))
-    return objs.where(pick_string(v, "$._id").isNotNull()).select(
+    return objs.where(pick_string(v, "$._id").isNotNull()).withColumn("_shipments", sent).select(
         *keep, order.alias("order"), lines.alias("lines"), json_of(v).alias("raw"))
 
 
@@ -434,7 +437,7 @@ def stage_bookings(events: DataFrame, transactions: DataFrame, keep: tuple = ())
     order = _struct({
         "external_id": F.col("_id"), "order_code": F.col("_id"), "status_code": pick_string(v, "$.status"),
         "ordered_at": D.local_datetime_fixed_offset(pick_string(v, "$.date"), pick_string(v, "$.start_time")),
-        "total": F.when(has, N.money_2(pick_string(t, "$.value"))), "payment_date": pick_string(t, "$.pay_date"),
+        "total": F.when(has, once(pick_string(t, "$.value"), N.money_2)), "payment_date": pick_string(t, "$.pay_date"),
         "channel": F.lit("iclinic"), "customer_ref": pick_string(v, f"{p}.id"),
         "metadata": _struct({**_texts(v, "$", date_added="date_added", added_by="added_by", description="description",
                                       end_time="end_time", patient_email="patient_email", raw_status="status"),
@@ -446,7 +449,7 @@ def stage_bookings(events: DataFrame, transactions: DataFrame, keep: tuple = ())
         "external_id": pick_string(v, f"{p}.id"), "tax_id": patient_tax_id(F.coalesce(pick_string(v, f"{p}.code"), F.lit("")),
                                                                           pick_string(v, f"{p}.id")),
         **_texts(v, p, trade_name="name", email="email", birth_date="birth_date"),
-        "gender": F.when(gender.isin("F", "M", "B"), gender),
+        "gender": once(gender, lambda g: F.when(g.isin("F", "M", "B"), g)),
         "phones": F.when(mobile.isNotNull() | home.isNotNull(), F.struct(mobile.alias("mobile"), home.alias("home"))),
         "active": F.lit(True), "segmentation": F.lit("iclinic_patient"), "raw": json_of(v, p)})
     return j.select(*keep, order.alias("order"), patient.alias("customer"), F.when(has, sold).otherwise(planned).alias("lines"),
@@ -470,7 +473,7 @@ def booking_items(bookings: DataFrame) -> DataFrame:
 def stage_tray_details(objs: DataFrame, as_of_year: int, keep: tuple = ()) -> DataFrame:
     """Order details fetched one by one, for the order-date cascade (I8)."""
     v = F.coalesce(pick_object(F.col(OBJ), "$.Order"), pick_object(F.col(OBJ), "$.order"), F.col(OBJ))
-    detail = _struct({"external_id": pick_string(v, "$.id"), "date": D.zero_date_repair(pick_string(v, "$.date"), as_of_year),
+    detail = _struct({"external_id": pick_string(v, "$.id"), "date": once(pick_string(v, "$.date"), lambda s: D.zero_date_repair(s, as_of_year)),
                       "hour": pick_string(v, "$.hour"), "modified": pick_string(v, "$.modified"),
                       "created_sql": pick_string(v, "$.MarketplaceOrder[0].created")})
     return objs.where(is_object(F.col(OBJ))).select(*keep, detail.alias("detail"), json_of(F.col(OBJ)).alias("raw"))

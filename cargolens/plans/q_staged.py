@@ -38,7 +38,13 @@ def document(template: str, **values: str) -> Column:
 
 
 def objects_of(df: DataFrame, template: str, path: str = "$", **values: str) -> DataFrame:
-    return pl.expand_objects(pl.parse_payloads(df.select(document(template, **values).alias("text"))), path=path)
+    return pl.expand_objects(pl.parse_payloads(dealt(df).select(document(template, **values).alias("text"))), path=path)
+
+
+def dealt(df: DataFrame) -> DataFrame:
+    """The rows dealt evenly over all tasks: a file of few row groups is read
+    by few tasks, and the work per document is far more than its bytes tell."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def at(c: str) -> Column:
@@ -490,7 +496,7 @@ def _bookings(spark, sf_dir):
         status="if(o_orderkey % 10 = 9, 'na', 'ok')", insurance="element_at(array('{\"name\": \"Plano\"}', '\"Texto\"', 'null'), cast(o_orderkey % 3 + 1 as int))",
         patient="if(o_orderkey % 8 = 0, if(o_orderkey % 16 = 0, null, 0), o_custkey)", code="if(o_custkey % 2 = 0, '', concat('P', o_custkey))",
         gender="element_at(array('f', ' M ', 'outro'), cast(o_custkey % 3 + 1 as int))", phone="if(o_custkey % 5 = 0, null, concat('\"11', o_custkey, '\"'))")
-    paid = t.orders.where("o_orderkey % 4 <> 3").select("o_orderkey", F.when(F.col("o_orderkey") % 4 == 2, F.lit("{}")).otherwise(document(
+    paid = dealt(t.orders.where("o_orderkey % 4 <> 3")).select("o_orderkey", F.when(F.col("o_orderkey") % 4 == 2, F.lit("{}")).otherwise(document(
         TRANSACTION, discount="if(o_orderkey % 3 = 0, '', string(o_orderkey % 90 + 0.335D))", value="o_totalprice", day=DAY, v1="o_orderkey % 40 + 0.1")).alias("text"))
     transactions = pl.expand_objects(pl.parse_payloads(paid)).select(F.col("o_orderkey").cast("string").alias("event_id"), "obj")
     return st.staged(st.stage_bookings(events, transactions), "bookings")

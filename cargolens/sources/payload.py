@@ -76,18 +76,23 @@ def expand_objects(df: DataFrame, payload_col: str = "payload", path: str = "$")
     return ex.where(F.col("obj").isNotNull())
 
 
+def once(value: Column, make) -> Column:
+    """``make(value)`` with the value computed once per row. A VARIANT is
+    decoded anew by each expression that reads it, and inside conditions and
+    lambdas nothing is shared between expressions."""
+    return F.try_element_at(F.transform(F.array(value), make), F.lit(1))
+
+
 # --- P18 pickers ---------------------------------------------------------------------
 
 def pick_string(v: Column, path: str) -> Column:
     """Trimmed text, or null when missing/blank (numbers are rendered as text)."""
-    s = F.trim(F.try_variant_get(v, path, "string"))
-    return F.when(s != "", s)
+    return once(F.trim(F.try_variant_get(v, path, "string")), lambda s: F.when(s != "", s))
 
 
 def pick_number(v: Column, path: str) -> Column:
     """A finite number (numeric text accepted), else null."""
-    d = F.try_variant_get(v, path, "double")
-    return F.when(~F.isnan(d) & (F.abs(d) != F.lit(float("inf"))), d)
+    return once(F.try_variant_get(v, path, "double"), lambda d: F.when(~F.isnan(d) & (F.abs(d) != F.lit(float("inf"))), d))
 
 
 def pick_array(v: Column, path: str) -> Column:
@@ -97,5 +102,4 @@ def pick_array(v: Column, path: str) -> Column:
 
 def pick_object(v: Column, path: str) -> Column:
     """An object (kept as VARIANT), or null when missing or not an object."""
-    o = F.try_variant_get(v, path, "variant")
-    return F.when(F.schema_of_variant(o).startswith("OBJECT"), o)
+    return once(F.try_variant_get(v, path, "variant"), lambda o: F.when(F.schema_of_variant(o).startswith("OBJECT"), o))
