@@ -143,6 +143,7 @@ def create_missing_products(items: DataFrame, products: DataFrame, order: Sequen
     the highest stored one in order of company and sku, so a rerun gives the same.
     """
     from cargolens.operators.running import dense_positions
+    from cargolens.operators.upsert import null_safe_join
     from cargolens.session import write_once
     keys = ("ecommerce_id", "ean", "sku")
     text = lambda c: F.nullif(F.trim(F.col(c).cast("string")), F.lit(""))
@@ -157,13 +158,14 @@ def create_missing_products(items: DataFrame, products: DataFrame, order: Sequen
     own = own.withColumn("_sku", F.coalesce("_sku", "_ecommerce_id", text("order_code")))
     stored = products.select(id_col, company_col, *[text(k).alias(k) for k in keys])
     probe = {k: F.when(F.col(f"_{k}").isNotNull(), F.to_json(F.struct(F.col(company_col).alias("a"), F.col(f"_{k}").alias("b")))) for k in keys}
-    matched = own
+    # all lookups run on the distinct keys; the items themselves move once, to meet them
+    scope = [company_col, *[f"_{k}" for k in keys]]
+    matched = own.groupBy(*scope).agg(F.min(F.struct("_at", "name", "unit_price")).alias("_f"))
     for k in keys:
         matched = lookup(matched, probe[k], keyed_dimension(stored, keyed(k), id_col), {id_col: f"_old_{k}"})
-    matched = write_once(matched, "product-items")
+    matched = write_once(matched, "product-keys")
     open_ = matched.where(F.coalesce(*[F.col(f"_old_{k}") for k in keys]).isNull())
-    fields = F.struct("_at", "name", "unit_price")
-    pool = write_once(open_.groupBy(company_col, *[f"_{k}" for k in keys]).agg(F.min(fields).alias("_f")).select(
+    pool = write_once(open_.select(
         company_col, *[F.col(f"_{k}").alias(k) for k in keys], "_f._at", "_f.name", "_f.unit_price"), "product-pool")
     makers = None
     while not pool.isEmpty():
@@ -187,11 +189,12 @@ def create_missing_products(items: DataFrame, products: DataFrame, order: Sequen
     made = write_once(numbered.withColumn(id_col, (F.col("_n") + top + 1).cast(products.schema[id_col].dataType)), "product-new")
     new_products = made.select(id_col, company_col, *keys, "name", F.col("unit_price").alias("value"))
 
-    out, hits = matched, []
+    out, hits = matched.drop("_f"), []
     for k in keys:                       # a product counts for the items after its maker only
         dim = made.where(F.col(k).isNotNull()).select(keyed(k).alias("_key"), id_col, F.col("_at").alias("_made"))
         out = lookup(out, probe[k], dim, {id_col: f"_new_{k}", "_made": f"_made_{k}"})
         hits += [F.col(f"_old_{k}"), F.when(F.col(f"_made_{k}") <= F.col("_at"), F.col(f"_new_{k}"))]
+    out = null_safe_join(own.drop(id_col), out, scope, "left")
     return out.withColumn(id_col, F.coalesce(*hits)).select(*[c for c in items.columns if c != id_col], id_col), new_products
 
 
