@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cargolens.session import write_once
+
 MIN_CONTAIN = 8
 SHORT = 12              # texts up to this length meet on what is left of them without some characters
 PREFIX = 7              # rarest 3-grams of a longer text: two edits change at most six
@@ -115,6 +117,14 @@ def operator_terms(operators: DataFrame, id_col: str = "operator_id", company_co
         .where(F.col("t").isNotNull() & (F.col("t") != "")).distinct()
 
 
+def _dealt_texts(df: DataFrame, name: str) -> DataFrame:
+    """The distinct texts of a one-column table, written once and dealt over all
+    tasks: the blocking reads them many times, and a text of few bytes makes
+    dozens of keys, so tasks cut by bytes would be few and long."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return write_once(df.repartition(n, *df.columns).distinct(), name)
+
+
 def match_operators(carriers: DataFrame, operators: DataFrame, stock: DataFrame | None = None,
                     carrier_col: str = "carrier", origin_col: str = "origin_id") -> DataFrame:
     """The first operator (lowest id) with a term matching each
@@ -126,11 +136,11 @@ def match_operators(carriers: DataFrame, operators: DataFrame, stock: DataFrame
     logistic_company_id``. Output: ``carrier_norm, origin_id, operator_id,
     company_id, company_name``.
     """
-    pairs_in = carriers.select(norm_text(F.col(carrier_col)).alias("carrier_norm"), F.col(origin_col).alias("origin_id")) \
-        .where(F.col("carrier_norm") != "").distinct()
-    distinct_c = pairs_in.select(F.col("carrier_norm").alias("c")).distinct()
-    terms = operator_terms(operators)
-    distinct_t = terms.select("t").distinct()
+    pairs_in = write_once(carriers.select(norm_text(F.col(carrier_col)).alias("carrier_norm"), F.col(origin_col).alias("origin_id"))
+                          .where(F.col("carrier_norm") != "").distinct(), "carrier-origins")
+    distinct_c = _dealt_texts(pairs_in.select(F.col("carrier_norm").alias("c")), "carrier-texts")
+    terms = write_once(operator_terms(operators), "operator-terms")
+    distinct_t = _dealt_texts(terms.select("t"), "operator-texts")
     cand = candidate_pairs(distinct_c, distinct_t).where(carrier_matches(F.col("c"), F.col("t")))
     hits = cand.join(terms, "t").select(F.col("c").alias("carrier_norm"), "operator_id", "company_id").distinct()
     m = pairs_in.join(hits, "carrier_norm")
