@@ -112,10 +112,10 @@ def anymarket_carrier(v: Column) -> tuple[Column, Column]:
     subsidiary); without tracking, the first item's first shipping carrier,
     falling back to its shipping type when missing or UNKNOWN."""
     tracking = pick_object(v, "$.tracking")
-    first_ship = F.try_element_at(pick_array(v, "$.items[0].shippings"), F.lit(1))
-    ship_carrier = pick_string(first_ship, "$.shippingCarrierNormalized")
+    first_ship = "$.items[0].shippings[0]"
+    ship_carrier = pick_string(v, f"{first_ship}.shippingCarrierNormalized")
     from_ship = F.when(ship_carrier.isNull() | (ship_carrier == "UNKNOWN"),
-                       F.coalesce(pick_string(first_ship, "$.shippingtype"), ship_carrier)).otherwise(ship_carrier)
+                       F.coalesce(pick_string(v, f"{first_ship}.shippingtype"), ship_carrier)).otherwise(ship_carrier)
     carrier = F.when(tracking.isNotNull(), pick_string(v, "$.tracking.carrier")).otherwise(from_ship)
     subsidiary = F.when(tracking.isNotNull(), pick_string(v, "$.tracking.deliveryMethodName"))
     return carrier, subsidiary
@@ -241,12 +241,20 @@ def patient_tax_id(code: Column, patient_id: Column, prefix: str = "ICLINIC-P-")
     return F.when(c != "", c).otherwise(F.concat(F.lit(prefix), patient_id.cast("string")))
 
 
+def contact_fields(contact) -> Column:
+    """Type (``tipo``) and text of a contact."""
+    return F.struct(pick_number(contact, "$.tipo").alias("kind"), pick_string(contact, "$.contato").alias("contact"))
+
+
 def last_contact(contacts: Column, kind: int, must_contain: str | None = None) -> Column:
     """The last contact of a type (``tipo``) — e.g. the last e-mail
-    (type 1, containing '@') or the last phone (type 2)."""
+    (type 1, containing '@') or the last phone (type 2) — of an array of VARIANT."""
+    return last_contact_of(F.transform(contacts, contact_fields), kind, must_contain)
+
+
+def last_contact_of(contacts: Column, kind: int, must_contain: str | None = None) -> Column:
+    """``last_contact`` of an array of ``contact_fields``."""
     def ok(c):
-        cond = (pick_number(c, "$.tipo") == kind) & pick_string(c, "$.contato").isNotNull()
-        if must_contain:
-            cond = cond & (F.instr(pick_string(c, "$.contato"), must_contain) > 0)
-        return cond
-    return pick_string(F.try_element_at(F.filter(contacts, ok), F.lit(-1)), "$.contato")
+        cond = (c["kind"] == kind) & c["contact"].isNotNull()
+        return cond & (F.instr(c["contact"], must_contain) > 0) if must_contain else cond
+    return F.try_element_at(F.filter(contacts, ok), F.lit(-1))["contact"]
