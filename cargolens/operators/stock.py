@@ -77,6 +77,13 @@ def carrier_matches(a: Column, b: Column) -> Column:
     return (a != "") & (b != "") & ((a == b) | contain | near)
 
 
+def _dealt(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that is dealt out by key, never broadcast. The
+    planner takes a text and the dozens of rows it is exploded to for the same
+    size, so by its guess the driver would gather tables of hundreds of MB."""
+    return df.hint("merge")
+
+
 def candidate_pairs(carriers: DataFrame, terms: DataFrame) -> DataFrame:
     """``carriers(c)`` × ``terms(t)`` pairs that may match (a superset of the
     matches, no cross join). Names that share common words meet only if the
@@ -85,14 +92,14 @@ def candidate_pairs(carriers: DataFrame, terms: DataFrame) -> DataFrame:
         return F.explode(F.concat(keys, F.array(F.xxhash64(F.lit("="), equal)))).alias("key")
 
     near = (carriers.select("c", keyed(_probe_keys(F.col("c")), F.col("c")))
-            .join(terms.select("t", keyed(_segment_keys(F.col("t")), F.col("t"))), "key").select("c", "t"))
+            .join(_dealt(terms.select("t", keyed(_segment_keys(F.col("t")), F.col("t")))), "key").select("c", "t"))
 
     def grams(size: int, least: int) -> tuple[DataFrame, DataFrame]:
         """(c, g, n) and (t, g, n): grams of the texts of ``least`` characters
         or more, with the number of texts that hold them."""
         sides = [df.where(F.length(s) >= least).select(s, F.explode(_grams(F.col(s), size)).alias("g")) for df, s in ((carriers, "c"), (terms, "t"))]
         counts = sides[0].select("g").union(sides[1].select("g")).groupBy("g").agg(F.count(F.lit(1)).alias("n"))
-        return tuple(side.join(counts, "g") for side in sides)
+        return tuple(side.join(_dealt(counts), "g") for side in sides)
 
     def rarest(side: DataFrame, name: str, k: int) -> DataFrame:
         """The ``k`` rarest grams of each text (a text has few, and they are its own)."""
@@ -100,9 +107,9 @@ def candidate_pairs(carriers: DataFrame, terms: DataFrame) -> DataFrame:
         return ordered.select(name, F.explode("r.g").alias("g"))
 
     cg, tg = grams(MIN_CONTAIN, MIN_CONTAIN)
-    held = rarest(cg, "c", 1).join(tg, "g").select("c", "t").union(rarest(tg, "t", 1).join(cg, "g").select("c", "t"))
+    held = rarest(cg, "c", 1).join(_dealt(tg), "g").select("c", "t").union(rarest(tg, "t", 1).join(_dealt(cg), "g").select("c", "t"))
     c3, t3 = grams(3, SHORT + 1)
-    like = rarest(c3, "c", PREFIX).join(rarest(t3, "t", PREFIX), "g").where(F.abs(F.length("c") - F.length("t")) <= 2).select("c", "t")
+    like = rarest(c3, "c", PREFIX).join(_dealt(rarest(t3, "t", PREFIX)), "g").where(F.abs(F.length("c") - F.length("t")) <= 2).select("c", "t")
     return near.union(held).union(like).distinct()
 
 
@@ -142,8 +149,8 @@ def match_operators(carriers: DataFrame, operators: DataFrame, stock: DataFrame
     terms = write_once(operator_terms(operators), "operator-terms")
     distinct_t = _dealt_texts(terms.select("t"), "operator-texts")
     cand = candidate_pairs(distinct_c, distinct_t).where(carrier_matches(F.col("c"), F.col("t")))
-    hits = cand.join(terms, "t").select(F.col("c").alias("carrier_norm"), "operator_id", "company_id").distinct()
-    m = pairs_in.join(hits, "carrier_norm")
+    hits = write_once(cand.join(_dealt(terms), "t").select(F.col("c").alias("carrier_norm"), "operator_id", "company_id").distinct(), "operator-hits")
+    m = pairs_in.join(_dealt(hits), "carrier_norm")
     if stock is not None:
         allowed = stock.select("origin_id", F.col("logistic_company_id").alias("company_id")).distinct() \
             .withColumn("_allowed", F.lit(True))
