@@ -22,15 +22,18 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cargolens.functions.dates import local_date
 from cargolens.functions.freight_labels import deadline_bucket, freight_range
+from cargolens.session import write_once
 
 ROLLUP_KEYS = ["company_id", "date", "channel", "state", "freight_range",
                "deadline_bucket", "courier", "product_id"]
+QUOTES_A_PORTION = 8_000_000
 
 
 def cheapest_option(options: DataFrame, quote_col: str = "freight_quote_id") -> DataFrame:
@@ -250,6 +253,28 @@ def freight_rollup(quotes: DataFrame, options: DataFrame, items: DataFrame, orde
     )
 
 
+def rollup_in_portions(quotes: DataFrame, options: DataFrame, items: DataFrame, orders: DataFrame,
+                       quotes_each: int = QUOTES_A_PORTION) -> DataFrame:
+    """A1 (all of ``quotes``) on disks that do not hold the shuffles of all
+    quotes at once. Quotes are dealt by the hash of their id to portions of
+    about ``quotes_each``; options and items of a portion are known from their
+    own rows, before any shuffle. Every measure is a sum over (quote, line)
+    pairs, and a quote is in one portion, so the portions' rollups add up. Each
+    is written, its shuffle files go, and the next one begins.
+    """
+    n = -(-quotes.count() // quotes_each)
+    if n <= 1:
+        return freight_rollup(quotes, options, items, orders)
+
+    def portion(df: DataFrame, key: str, i: int) -> DataFrame:
+        return df.where(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(n)) == i)
+
+    parts = [write_once(freight_rollup(portion(quotes, "id", i), portion(options, "freight_quote_id", i),
+                                       portion(items, "quote_id", i), orders), "rollup-portion") for i in range(n)]
+    return reduce(DataFrame.unionByName, parts).groupBy(*ROLLUP_KEYS).agg(
+        *[F.sum(c).alias(c) for c in ("total_simulations", "total_orders", "total_value_simulations", "total_value_orders")])
+
+
 def rollup_to_sink(rollup: DataFrame) -> DataFrame:
     """Cast the rollup to the stored column types (numeric(18,2), int)."""
     return rollup.select(

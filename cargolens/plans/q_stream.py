@@ -60,7 +60,7 @@ def st01_stream_freight_rollup(spark, sf_dir):
         landed = spark.read.parquet(landing).drop("year")
         slice_quotes = landed.join(touched.withColumnRenamed("date", "_d").withColumnRenamed("company_id", "_c"),
                                    (F.col("company_id") == F.col("_c")) & (F.col("date") == F.col("_d")), "left_semi")
-        return fr.freight_rollup(slice_quotes, options, items, orders)
+        return fr.rollup_in_portions(slice_quotes, options, items, orders)
 
     stream = mb.file_stream(spark, landing, spark.read.parquet(landing).schema, max_files=16)
     mb.run_available(stream, mb.slice_refresh_sink(spark, target, ["company_id", "date"], compute),

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cargolens.operators.dedupe import first_wins
-from cargolens.session import checkpoint_dir
+from cargolens.session import checkpoint_dir, dropping_shuffles, write_once
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -42,7 +42,8 @@ def land_files(df: DataFrame, path: str, partition_col: Column | None = None, pa
     writer = w.write.mode("overwrite")
     if partition_col is not None:
         writer = writer.partitionBy(partition_name)
-    writer.parquet(path)
+    with dropping_shuffles(df.sparkSession):
+        writer.parquet(path)
     return path
 
 
@@ -76,14 +77,15 @@ def insert_if_absent_sink(spark: SparkSession, target: str, keys: Sequence[str],
 def slice_refresh_sink(spark: SparkSession, target: str, slice_cols: Sequence[str],
                        compute: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
     """A1 + S9 per epoch: recompute the slices the epoch touched (``compute``
-    receives the touched slice keys) and replace them with a dynamic
-    partition overwrite."""
+    receives the touched slice keys, written once) and replace them with a
+    dynamic partition overwrite. No shuffle files are left to the next epoch."""
 
     def fn(batch: DataFrame, epoch_id: int) -> None:
-        touched = batch.select(*slice_cols).distinct()
+        touched = write_once(batch.select(*slice_cols).distinct(), "touched")
         out = compute(touched)
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*slice_cols).parquet(target))
+        with dropping_shuffles(out.sparkSession):
+            (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy(*slice_cols).parquet(target))
 
     return fn
 
