@@ -33,7 +33,7 @@ from cargolens.session import write_once
 
 ROLLUP_KEYS = ["company_id", "date", "channel", "state", "freight_range",
                "deadline_bucket", "courier", "product_id"]
-QUOTES_A_PORTION = 8_000_000
+QUOTES_A_PORTION = 4_000_000
 
 
 def cheapest_option(options: DataFrame, quote_col: str = "freight_quote_id") -> DataFrame:
